@@ -106,7 +106,7 @@ def fold_submit_log(log: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """One row per run with every kind of id in its log; ``runs`` keeps runs without any."""
     ids = ids_of_parts(fold_parts(log))
     if runs is not None:
-        ids = runs.select("run_id").join(ids, "run_id", "left")
+        ids = runs.select("run_id").join(ids.hint("merge"), "run_id", "left")
     return ids.withColumn("pod_notices", F.coalesce("pod_notices", F.lit(0)))
 
 
@@ -114,11 +114,13 @@ def route_ids(flagged_runs: DataFrame, ids: DataFrame) -> DataFrame:
     """Keep on each run only the ids its route looks for.
 
     A run's route is the same on all its lines, so folding first and routing after gives
-    what routing every line would, and only one row per run meets the join.
+    what routing every line would, and only one row per run meets the join. Both sides
+    grow with the number of runs, so neither is ever broadcast; the fold already has the
+    partitioning and the order a merge join needs.
     """
     route = F.col("route")
     clash = [c for c in ids.columns if c != "run_id" and c in flagged_runs.columns]
-    joined = flagged_runs.drop(*clash).join(ids, "run_id", "left")
+    joined = flagged_runs.drop(*clash).join(ids.hint("merge"), "run_id", "left")
     return joined.withColumns({
         "application_id": F.when(route == "app", F.col("application_id")),
         "driver_pod": F.when(route == "pod", F.col("driver_pod")),

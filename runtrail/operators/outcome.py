@@ -45,7 +45,7 @@ def classify_runs(routed: DataFrame, stops: DataFrame) -> DataFrame:
         named = F.concat(F.lit(fixed.DRIVER_PREFIX), state) if value is None else F.lit(value)
         outcome = outcome.when(holds, named)
         reason = reason.when(holds, why)
-    return routed.join(stops, "run_id", "left").withColumns({
+    return routed.join(stops.hint("merge"), "run_id", "left").withColumns({
         "outcome": outcome.otherwise(fixed.SUCCESS),
         "reason": reason,
     })

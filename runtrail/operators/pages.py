@@ -30,7 +30,7 @@ def history_address(ids: DataFrame, history: DataFrame, base: str) -> DataFrame:
     )
     known = ids.select("run_id", "application_id").where(F.col("application_id").isNotNull())
     address = replies.executors_address(base, F.col("application_id"), F.col("attempts"))
-    return known.join(counted, "run_id", "left").select(
+    return known.join(counted.hint("merge"), "run_id", "left").select(
         "run_id", "application_id", "attempts", address.alias("executors_address")
     )
 

@@ -84,7 +84,7 @@ def stop_polls(states: DataFrame) -> DataFrame:
 
 def with_running(runs: DataFrame, stops: DataFrame) -> DataFrame:
     """All given runs; those whose tracking has not stopped are STILL_RUNNING."""
-    return runs.join(stops, "run_id", "left").withColumns({
+    return runs.join(stops.hint("merge"), "run_id", "left").withColumns({
         "tracked_state": F.coalesce("tracked_state", F.lit(fixed.STILL_RUNNING)),
         "gave_up": F.coalesce("gave_up", F.lit(False)),
     })

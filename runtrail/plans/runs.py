@@ -48,7 +48,8 @@ def run_report(runs, connections, submit_log, status_polls, app_info, log_pages)
     outcomes = mask_commands(run_outcomes(runs, connections, submit_log, status_polls))
     report = log_fetch_plan(error_texts(poll_addresses(executable_path(outcomes))))
     pages = first_log_text(log_pages).select("run_id", "log_text")
-    report = report.join(app_log_address(app_info), "run_id", "left").join(pages, "run_id", "left")
+    for facts in (app_log_address(app_info), pages):
+        report = report.join(facts.hint("merge"), "run_id", "left")
     return report.select(
         "run_id", "conn_id", "master", "deploy_mode", "queue", "namespace", "executable",
         "masked_command", "application_id", "driver_pod", "exit_code", "driver_id",

@@ -21,6 +21,12 @@ class Derived:
 
 _RUN = "o_orderkey"
 
+# The columns the tables are derived from.
+BASES = {
+    "nation": "n_nationkey bigint",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
+}
+
 DERIVED = {
     # The connections of the last nations are left out, so that some lookups miss.
     "connections": Derived(
@@ -171,26 +177,29 @@ def derive(base: DataFrame, name: str) -> DataFrame:
     return rows.select(*[F.expr(text).alias(column) for column, text in table.columns.items()])
 
 
-def derived_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The named table over the given folder.
+def _spread(base: DataFrame, table: Derived) -> DataFrame:
+    """Orders by key over all tasks: the given file may be a single task's work, and the
+    narrow rows are the cheap ones to move, before texts are built and rows multiplied."""
+    if table.base != "orders":
+        return base
+    tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return base.repartition(tasks, "o_orderkey")
 
-    Orders are spread before they are multiplied: the narrow rows are the cheap ones to move.
-    """
+
+def derived_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The named table over the given folder."""
     table = DERIVED[name]
-    base = spark.read.parquet(f"{sf_dir}/{table.base}.parquet")
-    if table.numbers:
-        base = base.select("o_orderkey", "o_custkey").repartition(
-            int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey"
-        )
-    return derive(base, name)
+    base = spark.read.schema(BASES[table.base]).parquet(f"{sf_dir}/{table.base}.parquet")
+    return derive(_spread(base, table), name)
 
 
 def derived_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named table as a stream over the base table's files."""
-    base = DERIVED[name].base
-    schema = spark.read.parquet(f"{sf_dir}/{base}.parquet").schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", f"{base}.parquet")
-    return derive(files.parquet(sf_dir), name)
+    table = DERIVED[name]
+    files = spark.readStream.schema(BASES[table.base]).option(
+        "pathGlobFilter", f"{table.base}.parquet"
+    )
+    return derive(_spread(files.parquet(sf_dir), table), name)
 
 
 def derived_sql(*names: str) -> str:

@@ -1,0 +1,129 @@
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+from runtrail import fixed_values as fixed
+from runtrail.functions import text
+
+
+def test_whitespace_is_what_str_strip_removes():
+    spaces = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
+    assert fixed.WHITESPACE == spaces
+
+
+@pytest.mark.parametrize("line, stripped", [
+    ("\t x　\n", "x"),
+    ("\x1ca\x1f", "a"),
+    ("​ a", "​ a"),
+    (fixed.WHITESPACE + "a b" + fixed.WHITESPACE, "a b"),
+    ("  ", ""),
+    (None, None),
+])
+def test_strip_line(apply, line, stripped):
+    assert apply(text.strip_line, [line]) == [stripped]
+
+
+@pytest.mark.parametrize("command, tokens", [
+    ('a "b c" d', ["a", '"b', 'c"', "d"]),
+    ("  a   b\t\x1cc ", ["a", "b", "c"]),
+    ("", []),
+    ("   ", []),
+])
+def test_tokenize(apply, command, tokens):
+    assert apply(text.tokenize, [command]) == [tokens]
+    assert command.split() == tokens
+
+
+@pytest.mark.parametrize("function, line, found", [
+    (text.application_id, "application_1_2 application_3", "application_1_2"),
+    (text.application_id, "spark.application_name", "application_"),
+    (text.application_id, "Application_1", None),
+    (text.application_id, "the application started", None),
+    (text.application_id, None, None),
+    (text.driver_pod, "pod name: a-b-driver-c-driver", "a-b-driver"),
+    (text.driver_pod, "pod name: x-driver", None),
+    (text.driver_pod, "\t pod name: job x-7-driver z", "job x-7-driver"),
+    (text.exit_code, "exit code: 137 (x)", 137),
+    (text.exit_code, "Exit Code: 5", None),
+    (text.exit_digits, "exit code: 99999999999999999999", "99999999999999999999"),
+    (text.exit_code, "exit code: 99999999999999999999", None),
+    (text.driver_id, "Driver driver-2024-0001 submitted as driver-9", "driver-2024-0001"),
+    (text.driver_id, "driver-x", None),
+    (text.driver_id, "my-driver-", None),
+])
+def test_ids_in_a_line(apply, function, line, found):
+    assert apply(function, [line]) == [found]
+
+
+def test_strict_application_id(apply):
+    def strict(c):
+        return text.application_id(c, strict=True)
+
+    assert apply(strict, ["spark.application_name application_17_4"]) == ["application_17_4"]
+    assert apply(strict, ["spark.application_name"]) == [None]
+
+
+def split_state(line):
+    """The state the slow way."""
+    parts = line.strip().split(" : ")
+    if "driverState" not in line or len(parts) < 2:
+        return None
+    return parts[1].replace(",", "").replace('"', "").strip()
+
+
+@pytest.mark.parametrize("line", [
+    '"driverState" : "RUNNING",',
+    '   "driverState" : "FINISHED" ,  ',
+    "driverState",
+    '"driverState": "RUNNING"',
+    "driverState : ",
+    "driverState : A : B",
+    " : driverState : X",
+    "driverState : X : ",
+    'driverState : ","',
+    '"state" : "RUNNING"',
+    "",
+])
+def test_driver_state(apply, line):
+    assert apply(text.driver_state, [line]) == [split_state(line)]
+    malformed = "driverState" in line and split_state(line) is None
+    assert apply(text.malformed_state, [line]) == [malformed]
+
+
+@pytest.mark.parametrize("html, found", [
+    ("<pre>a</pre><PRE class='o'>b &lt;1&gt; &amp;lt; &#39;</PRE >", "b <1> &lt; '"),
+    ("<preface>q</preface>", None),
+    ("<html>wait</html>", None),
+    ("<pre>first</pre> <!-- <pre>no</pre> -->", "first"),
+    ("<!-- <pre>no</pre> -->", None),
+    ("<script>x = '<pre>no</pre>'</script><pre>yes</pre>", "yes"),
+    ("<pre>first</pre><style>/*<pre>no</pre>*/</style>", "first"),
+    ("<pre>open\nto the end", "open\nto the end"),
+    ("<pre>outer<pre>inner</pre></pre>", "inner"),
+    ("<pre>a<b>c</b>&lt;d&gt;</pre>", "ac<d>"),
+    ("<pre></pre>", ""),
+    (None, None),
+])
+def test_last_pre(apply, html, found):
+    assert apply(text.last_pre, [html]) == [found]
+
+
+@pytest.mark.parametrize("line, found", [
+    ("INFO 完成 rows=3", "完成 rows=3"),
+    ("错误: 表 retry 重试", "错误: 表 retry 重试"),
+    ("plain", None),
+    ("龥 last, 龦 outside", "龥 last, 龦 outside"),
+    ("龦 outside", None),
+    ("完 成", "完 成"),
+])
+def test_cjk_text(apply, line, found):
+    assert apply(text.cjk_text, [line]) == [found]
+
+
+def test_cjk_texts_of_bytes(spark):
+    logs = [(1, "a 完成\nb\n错误 x\r y\n".encode()), (2, b"\xff\xfe"), (3, b"plain")]
+    rows = spark.createDataFrame(logs, "run_id bigint, log binary")
+    found = {r.run_id: r.t for r in rows.select("run_id", text.cjk_texts(F.col("log")).alias("t"))
+             .collect()}
+    assert found == {1: ["完成", "错误 x\r y"], 2: None, 3: []}
