@@ -1,0 +1,132 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from runtrail import schemas
+from plan_checks import rows_written_to_shuffle
+from runtrail.operators import fold
+
+IDS = ["application_id", "driver_pod", "exit_code", "driver_id"]
+
+
+def follow(lines, route):
+    """The ids of one run the slow way: line by line, remembering what was found."""
+    found = dict.fromkeys(IDS)
+    notice, pods = None, 0
+    for number, line in lines:
+        if route == "app":
+            if match := re.search("application[0-9_]+", line):
+                found["application_id"] = match[0]
+                notice = notice or (number, match[0])
+        elif route == "pod":
+            if match := re.search("pod name: (.+?-[a-z0-9]+-driver)", line):
+                found["driver_pod"] = match[1]
+                pods += 1
+            if match := re.search(r"exit code: (\d+)", line):
+                code = int(match[1])
+                found["exit_code"] = code if code < 2**63 else None
+        elif route == "driver" and found["driver_id"] is None:
+            if match := re.search(r"driver-[0-9\-]+", line):
+                found["driver_id"] = match[0]
+    return found | {
+        "announced_line_no": notice and notice[0],
+        "announced_application_id": notice and notice[1],
+        "pod_notices": pods,
+    }
+
+
+def random_lines(rng, count):
+    words = ["application_{}_{}", "pod name: job-{}-{}-driver", "exit code: {}", "driver-{}-{}",
+             "INFO", "Exit Code: {}", "application", "exit code: 99999999999999999999"]
+    for number in range(count):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 3)))
+        yield number, " " + re.sub(r"\{\}", lambda _: str(rng.randint(0, 9)), text)
+
+
+@pytest.fixture
+def logs():
+    rng = random.Random(3)
+    routes = ["app", "pod", "driver", None]
+    return {
+        run: (rng.choice(routes), list(random_lines(rng, rng.choice([0, 1, 3, 8, 40]))))
+        for run in range(120)
+    }
+
+
+def frames(spark, logs):
+    lines = [(run, n, line) for run, (_, text) in logs.items() for n, line in text]
+    random.Random(5).shuffle(lines)
+    runs = [(run, route) for run, (route, _) in logs.items()]
+    return (
+        spark.createDataFrame(lines, schemas.SUBMIT_LOG).repartition(3),
+        spark.createDataFrame(runs, "run_id bigint, route string"),
+    )
+
+
+def test_fold_routed_log_follows_each_line(spark, logs):
+    log, runs = frames(spark, logs)
+    rows = {r.run_id: r.asDict() for r in fold.fold_routed_log(log, runs).collect()}
+    for run, (route, lines) in logs.items():
+        assert rows[run] == {"run_id": run, "route": route} | follow(lines, route)
+
+
+def test_routing_lines_before_folding_gives_the_same(spark, logs):
+    log, runs = frames(spark, logs)
+    routed = fold.route_lines(log, runs)
+
+    def pick(best, name):
+        return best(F.when(F.col(name).isNotNull(), F.struct("line_no", name)))[name].alias(name)
+
+    per_line = routed.groupBy("run_id").agg(
+        pick(F.max, "application_id"), pick(F.max, "driver_pod"), pick(F.min, "driver_id"),
+    )
+    per_run = fold.fold_routed_log(log, runs).select(*per_line.columns)
+    with_lines = per_run.join(log.select("run_id").distinct(), "run_id", "left_semi")
+    assert sorted(per_line.collect(), key=str) == sorted(with_lines.collect(), key=str)
+
+
+def test_runs_without_lines_stay(spark, logs):
+    log, runs = frames(spark, logs)
+    rows = fold.fold_submit_log(log, runs).collect()
+    assert sorted(r.run_id for r in rows) == sorted(logs)
+    empty = next(r for r in rows if not logs[r.run_id][1])
+    assert [empty[c] for c in IDS] == [None] * 4 and empty.pod_notices == 0
+
+
+def test_a_later_huge_exit_code_hides_an_earlier_zero(spark):
+    log = spark.createDataFrame(
+        [(1, 1, "exit code: 0"), (1, 2, "exit code: 99999999999999999999")], schemas.SUBMIT_LOG
+    )
+    assert fold.fold_submit_log(log).first().exit_code is None
+
+
+def test_merging_parts_is_folding_the_whole(spark, logs):
+    log, _ = frames(spark, logs)
+    halves = [fold.fold_parts(log.where(F.col("line_no") % 2 == n)) for n in (0, 1)]
+    merged = fold.ids_of_parts(fold.merge_parts(halves[0].unionByName(halves[1])))
+    whole = fold.fold_submit_log(log)
+    assert sorted(merged.collect(), key=str) == sorted(whole.collect(), key=str)
+
+
+def test_a_run_with_most_lines_reaches_the_shuffle_as_one_row_per_task(spark):
+    """Half of all lines are one run's; each task passes on one row of it."""
+    hot = spark.range(0, 40000, 1, 4).select(
+        F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("run_id"),
+        F.col("id").cast("int").alias("line_no"),
+        F.concat(F.lit("application_1_"), F.col("id").cast("string")).alias("line"),
+    )
+    tasks = hot.select("run_id", F.spark_partition_id().alias("task")).distinct().count()
+    folded = fold.fold_parts(hot)
+    row = folded.where("run_id = 7").first()
+    assert row.last_application.value == "application_1_39998"
+    assert row.first_application.value == "application_1_0"
+    assert rows_written_to_shuffle(folded) == tasks
+
+
+def test_line_numbers_may_be_any_ordered_value(spark):
+    rows = [(1, ("b", 1), "application_1"), (1, ("a", 9), "application_2")]
+    log = spark.createDataFrame(rows, "run_id bigint, line_no struct<file:string,row:int>, line string")
+    row = fold.fold_submit_log(log).first()
+    assert (row.application_id, row.announced_application_id) == ("application_1", "application_2")

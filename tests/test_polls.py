@@ -1,0 +1,106 @@
+import random
+
+from runtrail import schemas
+from runtrail.operators import polls
+
+FINAL = ["FINISHED", "UNKNOWN", "KILLED", "FAILED", "ERROR"]
+
+
+def state_line(state):
+    return f'  "driverState" : "{state}",'
+
+
+def rows_of(run, replies):
+    """Poll rows of a run from (returncode, lines) replies."""
+    return [
+        (run, poll, n, line, rc)
+        for poll, (rc, lines) in enumerate(replies, 1) for n, line in enumerate(lines, 1)
+    ]
+
+
+def follow(replies):
+    """How the tracking of one run ends, the slow way: (state, poll, misses)."""
+    misses = 0
+    for poll, (rc, lines) in enumerate(replies, 1):
+        named = [line.split(" : ")[1].strip('", ') for line in lines if line and "driverState" in line]
+        state = named[-1] if named else "UNKNOWN"
+        if rc:
+            misses += 1
+            if misses > 10:
+                return "POLL_GAVE_UP", poll, misses
+        if state in FINAL:
+            return state, poll, misses
+    return "STILL_RUNNING", None, None
+
+
+def track(spark, runs):
+    rows = [row for run, replies in runs.items() for row in rows_of(run, replies)]
+    random.Random(1).shuffle(rows)
+    frame = spark.createDataFrame(rows, schemas.STATUS_POLLS).repartition(3)
+    return {
+        r.run_id: (r.tracked_state, r.stop_poll, r.misses) for r in polls.track_polls(frame).collect()
+    }
+
+
+def test_tracking_by_hand(spark):
+    running, done = [state_line("RUNNING")], [state_line("FINISHED")]
+    runs = {
+        1: [(1, running)] * 11,
+        2: [(1, running)] * 10 + [(1, done)],
+        3: [(1, running)] * 10 + [(0, done)],
+        4: [(28, ["curl: (28) timed out"])],
+        5: [(0, [None])],
+        6: [(0, running)] * 30,
+        7: [(0, running)] * 30 + [(0, [state_line("KILLED"), state_line("RELAUNCHING")]), (0, done)],
+        8: [(0, ["driverState"])],
+        9: [(1, running), (0, running)] * 11,
+        10: [(0, done), (1, running)],
+    }
+    assert track(spark, runs) == {
+        1: ("POLL_GAVE_UP", 11, 11),
+        2: ("POLL_GAVE_UP", 11, 11),
+        3: ("FINISHED", 11, 10),
+        4: ("UNKNOWN", 1, 1),
+        5: ("UNKNOWN", 1, 0),
+        6: ("STILL_RUNNING", None, None),
+        7: ("FINISHED", 32, 0),
+        8: ("UNKNOWN", 1, 0),
+        9: ("POLL_GAVE_UP", 21, 11),
+        10: ("FINISHED", 1, 0),
+    }
+
+
+def test_tracking_random_runs(spark):
+    rng = random.Random(11)
+    states = ["RUNNING"] * 12 + ["SUBMITTED", "RELAUNCHING", ""] + FINAL
+    runs = {}
+    for run in range(200):
+        failing, length = rng.choice([0, 0.3, 0.9, 1]), rng.randint(1, 40)
+        finals = rng.random() < 0.6
+        runs[run] = [
+            (rng.choice([1, -9, 28]) if rng.random() < failing else 0,
+             [state_line(rng.choice(states if finals else states[:15])) for _ in range(rng.randint(1, 2))])
+            for _ in range(length)
+        ]
+    expected = {run: follow(replies) for run, replies in runs.items()}
+    assert {state for state, _, _ in expected.values()} == {*FINAL, "POLL_GAVE_UP", "STILL_RUNNING"}
+    assert track(spark, runs) == expected
+
+
+def test_fold_polls(spark):
+    rows = rows_of(1, [
+        (0, [state_line("RUNNING"), state_line("KILLED"), "}"]), (3, ["{"]), (0, ["driverState"]),
+        (0, ["driverState", state_line("RUNNING")]),
+    ])
+    folded = polls.fold_polls(spark.createDataFrame(rows, schemas.STATUS_POLLS))
+    assert sorted(tuple(r) for r in folded.collect()) == [
+        (1, 1, "KILLED", 0, False), (1, 2, "UNKNOWN", 3, False), (1, 3, "UNKNOWN", 0, True),
+        (1, 4, "RUNNING", 0, True),
+    ]
+
+
+def test_runs_that_were_never_polled_are_running(spark):
+    frame = spark.createDataFrame(rows_of(1, [(0, [state_line("ERROR")])]), schemas.STATUS_POLLS)
+    runs = spark.createDataFrame([(1,), (2,)], "run_id bigint")
+    tracked = polls.track_polls(frame, runs).orderBy("run_id").collect()
+    assert [r.tracked_state for r in tracked] == ["ERROR", "STILL_RUNNING"]
