@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runtrail import fixed_values as fixed
-from runtrail.functions.text import driver_state, malformed_state
+from runtrail.functions.text import driver_state, names_state
 
 # The miss after the tolerated ones ends the tracking.
 LAST_MISS = fixed.TOLERATED_MISSES + 1
@@ -16,13 +16,13 @@ def poll_parts(polls: DataFrame) -> DataFrame:
     lines = polls.select(
         "run_id", "poll_no", "line_no", "returncode",
         driver_state(line).alias("state"),
-        malformed_state(line).alias("malformed"),
+        names_state(line).alias("names_state"),
     )
     pick = F.when(F.col("state").isNotNull(), F.struct("line_no", "state"))
     return lines.groupBy("run_id", "poll_no").agg(
         F.max(pick).alias("last_state"),
         F.max("returncode").alias("returncode"),
-        F.max("malformed").alias("malformed"),
+        F.max(F.col("names_state") & F.col("state").isNull()).alias("malformed"),
     )
 
 

@@ -1,3 +1,4 @@
+import random
 import sys
 
 import pytest
@@ -83,12 +84,16 @@ def split_state(line):
     "driverState : X : ",
     'driverState : ","',
     '"state" : "RUNNING"',
+    'x : driverState : "A",',
+    ' : "driverState" : "A",',
+    '"driverState" : A : ",',
+    '\t"driverState" :  : "A"',
+    "driverState : A ,\u3000",
     "",
 ])
 def test_driver_state(apply, line):
     assert apply(text.driver_state, [line]) == [split_state(line)]
-    malformed = "driverState" in line and split_state(line) is None
-    assert apply(text.malformed_state, [line]) == [malformed]
+    assert apply(text.names_state, [line, None]) == ["driverState" in line, False]
 
 
 @pytest.mark.parametrize("html, found", [
@@ -127,3 +132,10 @@ def test_cjk_texts_of_bytes(spark):
     found = {r.run_id: r.t for r in rows.select("run_id", text.cjk_texts(F.col("log")).alias("t"))
              .collect()}
     assert found == {1: ["完成", "错误 x\r y"], 2: None, 3: []}
+
+
+def test_driver_state_of_random_lines(apply):
+    rng = random.Random(4)
+    parts = ["driverState", " : ", ": ", " :", " ", ",", '"', "A", "\u3000", "\t", '",']
+    lines = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    assert apply(text.driver_state, lines) == [split_state(line) for line in lines]
