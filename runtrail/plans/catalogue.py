@@ -196,6 +196,16 @@ def cjk_lines(spark, sf_dir):
     return pages.cjk_lines(derived_table(spark, sf_dir, "pod_log"))
 
 
+def cjk_lines_of_bytes(spark, sf_dir):
+    """Pod logs as bytes; every tenth is cut inside a character and so is not UTF-8."""
+    log = F.encode("log", "UTF-8")
+    broken = F.concat(log, F.unhex(F.lit("E9")))
+    logs = derived_table(spark, sf_dir, "pod_log_text").select(
+        "run_id", F.when(F.col("run_id") % 10 == 3, broken).otherwise(log).alias("log")
+    )
+    return pages.cjk_lines_of_bytes(logs)
+
+
 def run_report(spark, sf_dir):
     names = ("runs", "connections", "submit_log", "status_polls", "app_info", "log_pages")
     return plans.run_report(*_tables(*names)(spark, sf_dir))
@@ -228,6 +238,13 @@ def stream_track(spark, sf_dir):
     return parts.read_track(spark, f"{folder}/parts").select("run_id", *TRACKED)
 
 
+def stream_line_ids(spark, sf_dir):
+    folder = new_folder(spark, "line-ids")
+    found = fold.extract_line_ids(derived_stream(spark, sf_dir, "submit_log"))
+    tables.stream_facts(found, f"{folder}/facts", f"{folder}/state").awaitTermination()
+    return spark.read.schema(found.schema).parquet(f"{folder}/facts")
+
+
 # --- sources and sinks: written to a fresh folder, read back ----------------------------
 
 
@@ -260,8 +277,8 @@ QUERIES = {
         resolve_connections_via_operator, deployment_flags, executable_path, env_overlay,
         mask_command, tokenize_command, error_text, poll_address, fold_polls, track_polls,
         log_fetch_plan, cleanup_actions, app_log_address, first_history_reply, history_address,
-        driver_log_links, first_log_text, cjk_lines, run_report, stream_fold,
-        stream_fold_stateful, stream_track, sink_run_facts,
+        driver_log_links, first_log_text, cjk_lines, cjk_lines_of_bytes, run_report, stream_fold,
+        stream_fold_stateful, stream_track, stream_line_ids, sink_run_facts,
     )
 } | {
     "read_submit_log": _landed("submit_log", "parquet"),

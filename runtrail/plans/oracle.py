@@ -252,6 +252,12 @@ SELECTS = {
     "cjk_lines": ("pod_log", r"""
         SELECT run_id, line_no, regexp_extract(line, '[\x{4E00}-\x{9FA5}]+.*', 0) AS cjk_text
         FROM pod_log WHERE regexp_matches(line, '[\x{4E00}-\x{9FA5}]')"""),
+    "cjk_lines_of_bytes": ("pod_log_text", r"""
+        SELECT run_id, CAST(generate_subscripts(texts, 1) - 1 AS INTEGER) AS text_no,
+          unnest(texts) AS cjk_text
+        FROM (SELECT run_id,
+            regexp_extract_all(log, '[\x{4E00}-\x{9FA5}]+[^\n]*') AS texts
+          FROM pod_log_text WHERE run_id % 10 <> 3)"""),
     "run_report": (
         ("fetches", "programs", "masked", "errors", "addresses", "log_addresses", "page_texts"), """
         SELECT f.run_id, f.conn_id, f.master, f.deploy_mode, f.queue, f.namespace, p.executable,
@@ -265,6 +271,7 @@ SELECTS = {
         LEFT JOIN page_texts t ON f.run_id = t.run_id"""),
     "stream_fold": ("folded", f"SELECT {_FOLDED} FROM folded"),
     "stream_fold_stateful": ("folded", f"SELECT {_FOLDED} FROM folded"),
+    "stream_line_ids": ("line_ids", "SELECT * FROM line_ids"),
     "stream_track": ("tracked", f"SELECT {_TRACKED} FROM tracked"),
     "sink_run_facts": ("resolved", """
         SELECT r.run_id, r.master, r."binary",

@@ -165,6 +165,16 @@ DERIVED = {
                 ELSE '' END""",
         },
     ),
+    # Whole pod logs; a carriage return does not end a Chinese text.
+    "pod_log_text": Derived(
+        base="orders",
+        columns={
+            "run_id": _RUN,
+            "log": """CONCAT('24/01/01 INFO 处理完成 rows=', CAST(o_custkey AS STRING), CHR(10),
+                CASE WHEN o_orderkey % 3 = 0 THEN CONCAT('WARN no match', CHR(10)) ELSE '' END,
+                '错误: 表不存在', CHR(13), ' retry 重试', CHR(10), 'end ', CAST(o_orderkey AS STRING))""",
+        },
+    ),
 }
 
 
@@ -194,12 +204,13 @@ def derived_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def derived_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The named table as a stream over the base table's files."""
+    """The named table as a stream over the base table's files.
+
+    The pattern matches the one name; Spark streams a pattern whether it is a file or a folder.
+    """
     table = DERIVED[name]
-    files = spark.readStream.schema(BASES[table.base]).option(
-        "pathGlobFilter", f"{table.base}.parquet"
-    )
-    return derive(_spread(files.parquet(sf_dir), table), name)
+    files = spark.readStream.schema(BASES[table.base])
+    return derive(_spread(files.parquet(f"{sf_dir}/{table.base}.[p]arquet"), table), name)
 
 
 def derived_sql(*names: str) -> str:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from runtrail import schemas
 
@@ -73,3 +74,17 @@ def write_facts(facts: DataFrame, path: str, date: str = "run_date", mode="appen
     The rebalance hint lets Spark size the files and split a day that holds most rows.
     """
     facts.hint("rebalance", date).write.mode(mode).partitionBy(date).parquet(path)
+
+
+def stream_facts(
+    facts: DataFrame, path: str, checkpoint: str, date: str | None = None, trigger=None
+) -> StreamingQuery:
+    """Write facts of single lines as they arrive, each once, partitioned by date if given."""
+    writer = facts.writeStream.outputMode("append").format("parquet")
+    if date is not None:
+        writer = writer.partitionBy(date)
+    return (
+        writer.option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start(path)
+    )

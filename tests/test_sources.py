@@ -5,11 +5,11 @@ from conftest import SMALL
 from runtrail import schemas
 from runtrail.operators import fold
 from runtrail.sources import tables
-from runtrail.sources.derived import DERIVED, derived_stream, derived_table
+from runtrail.sources.derived import derived_stream, derived_table
 from runtrail.streaming.workdir import new_folder
 
 
-@pytest.mark.parametrize("name", DERIVED)
+@pytest.mark.parametrize("name", schemas.TABLES)
 def test_derived_tables_have_the_stated_schema(spark, name):
     kinds = [(f.name, f.dataType) for f in derived_table(spark, SMALL, name).schema]
     assert kinds == [(f.name, f.dataType) for f in schemas.TABLES[name]]
@@ -78,6 +78,20 @@ def test_facts_are_partitioned_by_date(spark, tmp_path):
     assert len(day.inputFiles()) and day.count() == 33
 
 
+def test_streamed_facts_are_written_once_by_date(spark, tmp_path):
+    day = F.concat(F.lit("2024-01-0"), F.col("run_id") % 2 + 1).cast("date").alias("run_date")
+    lines = spark.createDataFrame([(n, 1, f"driver-{n}") for n in range(20)], schemas.SUBMIT_LOG)
+    for _ in range(2):
+        lines.write.mode("append").parquet(f"{tmp_path}/in")
+        stream = tables.stream_table(spark, "submit_log", f"{tmp_path}/in")
+        found = fold.line_ids(stream).select("run_id", "driver_id", day)
+        tables.stream_facts(
+            found, f"{tmp_path}/out", f"{tmp_path}/state", date="run_date"
+        ).awaitTermination()
+    read = spark.read.parquet(f"{tmp_path}/out")
+    assert read.count() == 40 and read.where("run_date = '2024-01-02'").count() == 20
+
+
 def test_stream_of_a_derived_table_is_a_stream(spark):
     stream = derived_stream(spark, SMALL, "submit_log")
     assert stream.isStreaming and stream.columns == ["run_id", "line_no", "line"]
