@@ -8,27 +8,24 @@ from runtrail.functions.command import executable, overlay
 from runtrail.functions.replies import as_map
 
 
-def _present(column):
-    return column.isNotNull() & (column != "")
-
-
 def _lookup(connections):
     """One row per connection with its settings taken out of ``extra``, read once each."""
     extra = as_map(F.col("extra"), connections.schema["extra"].dataType)
-    has_port = F.coalesce(F.col("port"), F.lit(0)) != 0
-    address = F.concat_ws(":", "host", F.when(has_port, F.col("port").cast("string")))
-    settings = connections.select("conn_id", "host", "port", extra.alias("extra"))
-    return settings.select(
+
+    def setting(key):
+        return f"try_element_at(extra, '{key}')"
+
+    return connections.select("conn_id", "host", "port", extra.alias("extra")).selectExpr(
         "conn_id",
-        F.when(F.col("host").isNotNull(), address).alias("conn_master"),
-        F.try_element_at("extra", F.lit(fixed.EXTRA_QUEUE)).alias("queue"),
-        F.try_element_at("extra", F.lit(fixed.EXTRA_DEPLOY_MODE)).alias("deploy_mode"),
-        F.try_element_at("extra", F.lit(fixed.EXTRA_SPARK_HOME)).alias("spark_home"),
-        F.coalesce(F.map_contains_key("extra", fixed.EXTRA_SPARK_BINARY), F.lit(False))
-        .alias("conn_has_binary"),
-        F.try_element_at("extra", F.lit(fixed.EXTRA_SPARK_BINARY)).alias("conn_binary"),
-        F.try_element_at("extra", F.lit(fixed.EXTRA_NAMESPACE)).alias("conn_namespace"),
-        F.lit(True).alias("conn_found"),
+        """CASE WHEN host IS NULL THEN NULL WHEN coalesce(port, 0) != 0
+            THEN concat(host, ':', port) ELSE host END AS conn_master""",
+        f"{setting(fixed.EXTRA_QUEUE)} AS queue",
+        f"{setting(fixed.EXTRA_DEPLOY_MODE)} AS deploy_mode",
+        f"{setting(fixed.EXTRA_SPARK_HOME)} AS spark_home",
+        f"map_contains_key(extra, '{fixed.EXTRA_SPARK_BINARY}') AS conn_has_binary",
+        f"{setting(fixed.EXTRA_SPARK_BINARY)} AS conn_binary",
+        f"{setting(fixed.EXTRA_NAMESPACE)} AS conn_namespace",
+        "true AS conn_found",
     )
 
 
@@ -44,30 +41,19 @@ def resolve_connections(runs: DataFrame, connections: DataFrame, via_operator=Fa
     adaptive skew join splits a connection that many runs share.
     """
     conf = as_map(F.col("conf"), runs.schema["conf"].dataType)
-    own_binary = F.col("spark_binary")
-    if via_operator:
-        own_binary = F.coalesce(own_binary, F.lit(fixed.DEFAULT_BINARY))
-    found = F.coalesce(F.col("conn_found"), F.lit(False))
-    has_namespace = F.coalesce(
-        F.map_contains_key("conf_map", fixed.NAMESPACE_CONF), F.lit(False)
-    )
     joined = runs.withColumn("conf_map", conf).join(_lookup(connections), "conn_id", "left")
-    resolved = {
-        "conn_found": found,
-        "master": F.when(found, F.col("conn_master")).otherwise(fixed.DEFAULT_MASTER),
-        "queue": F.col("queue"),
-        "deploy_mode": F.col("deploy_mode"),
-        "spark_home": F.col("spark_home"),
-        "binary": F.when(_present(own_binary), own_binary)
-        .when(found & F.col("conn_has_binary"), F.col("conn_binary"))
-        .otherwise(fixed.DEFAULT_BINARY),
-        "namespace": F.when(
-            has_namespace, F.try_element_at("conf_map", F.lit(fixed.NAMESPACE_CONF))
-        ).otherwise(F.col("conn_namespace")),
-    }
-    return joined.select(
-        *[F.col(name) for name in runs.columns],
-        *[value.alias(name) for name, value in resolved.items()],
+    own_binary = f"coalesce(spark_binary, '{fixed.DEFAULT_BINARY if via_operator else ''}')"
+    return joined.selectExpr(
+        *runs.columns,
+        "coalesce(conn_found, false) AS conn_found",
+        f"CASE WHEN conn_found THEN conn_master ELSE '{fixed.DEFAULT_MASTER}' END AS master",
+        "queue", "deploy_mode", "spark_home",
+        f"""CASE WHEN {own_binary} != '' THEN {own_binary}
+            WHEN conn_has_binary THEN conn_binary
+            ELSE '{fixed.DEFAULT_BINARY}' END AS binary""",
+        f"""CASE WHEN map_contains_key(conf_map, '{fixed.NAMESPACE_CONF}')
+            THEN try_element_at(conf_map, '{fixed.NAMESPACE_CONF}')
+            ELSE conn_namespace END AS namespace""",
     )
 
 
@@ -77,25 +63,18 @@ def deployment_flags(resolved: DataFrame) -> DataFrame:
     Branch order matters: YARN in cluster mode first, then Kubernetes, then a tracked
     standalone driver. The flags themselves may overlap.
     """
-    master = F.col("master")
-    cluster = F.coalesce(F.col("deploy_mode") == fixed.CLUSTER_MODE, F.lit(False))
-
-    def marked(text):
-        return F.coalesce(master.contains(text), F.lit(False))
-
-    return (
-        resolved.withColumns({
-            "is_yarn": marked(fixed.YARN_MARK),
-            "is_k8s": marked(fixed.K8S_MARK),
-            "is_tracked": marked(fixed.STANDALONE_MARK) & cluster,
-            "invalid_connection": master.isNull(),
-        })
-        .withColumn(
-            "route",
-            F.when(F.col("is_yarn") & cluster, "app")
-            .when(F.col("is_k8s"), "pod")
-            .when(F.col("is_tracked"), "driver"),
-        )
+    cluster = f"deploy_mode <=> '{fixed.CLUSTER_MODE}'"
+    return resolved.selectExpr(
+        "*",
+        f"coalesce(contains(master, '{fixed.YARN_MARK}'), false) AS is_yarn",
+        f"coalesce(contains(master, '{fixed.K8S_MARK}'), false) AS is_k8s",
+        f"""coalesce(contains(master, '{fixed.STANDALONE_MARK}'), false) AND {cluster}
+            AS is_tracked""",
+        "master IS NULL AS invalid_connection",
+    ).selectExpr(
+        "*",
+        f"""CASE WHEN is_yarn AND {cluster} THEN 'app' WHEN is_k8s THEN 'pod'
+            WHEN is_tracked THEN 'driver' END AS route""",
     )
 
 

@@ -59,20 +59,15 @@ def fold_parts(log: DataFrame) -> DataFrame:
     )
 
     def at_line(name):
-        pick = F.struct(F.col("line_no"), F.col(name).alias("value"))
-        return F.when(F.col(name).isNotNull(), pick)
-
-    return (
-        line_ids(log.where(candidate))
-        .groupBy("run_id")
-        .agg(
-            F.max(at_line("application_id")).alias("last_application"),
-            F.min(at_line("application_id")).alias("first_application"),
-            F.max(at_line("driver_pod")).alias("last_pod"),
-            F.count("driver_pod").alias("pod_notices"),
-            F.max(at_line("exit_digits")).alias("last_exit"),
-            F.min(at_line("driver_id")).alias("first_driver"),
-        )
+        return f"CASE WHEN {name} IS NOT NULL THEN struct(line_no, {name} AS value) END"
+
+    return line_ids(log.where(candidate)).groupBy("run_id").agg(
+        F.expr(f"max({at_line('application_id')}) AS last_application"),
+        F.expr(f"min({at_line('application_id')}) AS first_application"),
+        F.expr(f"max({at_line('driver_pod')}) AS last_pod"),
+        F.expr("count(driver_pod) AS pod_notices"),
+        F.expr(f"max({at_line('exit_digits')}) AS last_exit"),
+        F.expr(f"min({at_line('driver_id')}) AS first_driver"),
     )
 
 
@@ -90,14 +85,14 @@ def merge_parts(parts: DataFrame) -> DataFrame:
 
 def ids_of_parts(parts: DataFrame) -> DataFrame:
     """The ids of each run, and what was announced about them while the log was read."""
-    return parts.select(
+    return parts.selectExpr(
         "run_id",
-        F.col("last_application.value").alias("application_id"),
-        F.col("last_pod.value").alias("driver_pod"),
-        F.col("last_exit.value").try_cast("bigint").alias("exit_code"),
-        F.col("first_driver.value").alias("driver_id"),
-        F.col("first_application.value").alias("announced_application_id"),
-        F.col("first_application.line_no").alias("announced_line_no"),
+        "last_application.value AS application_id",
+        "last_pod.value AS driver_pod",
+        "try_cast(last_exit.value AS bigint) AS exit_code",
+        "first_driver.value AS driver_id",
+        "first_application.value AS announced_application_id",
+        "first_application.line_no AS announced_line_no",
         "pod_notices",
     )
 
@@ -118,19 +113,19 @@ def route_ids(flagged_runs: DataFrame, ids: DataFrame) -> DataFrame:
     grow with the number of runs, so neither is ever broadcast; the fold already has the
     partitioning and the order a merge join needs.
     """
-    route = F.col("route")
     clash = [c for c in ids.columns if c != "run_id" and c in flagged_runs.columns]
+    kept = [c for c in flagged_runs.columns if c not in clash]
     joined = flagged_runs.drop(*clash).join(ids.hint("merge"), "run_id", "left")
-    return joined.withColumns({
-        "application_id": F.when(route == "app", F.col("application_id")),
-        "driver_pod": F.when(route == "pod", F.col("driver_pod")),
-        "exit_code": F.when(route == "pod", F.col("exit_code")),
-        "driver_id": F.when(route == "driver", F.col("driver_id")),
-        "announced_application_id": F.when(route == "app", F.col("announced_application_id")),
-        "announced_line_no": F.when(route == "app", F.col("announced_line_no")),
-        "pod_notices": F.when(route == "pod", F.coalesce("pod_notices", F.lit(0)))
-        .otherwise(F.lit(0)),
-    })
+    return joined.selectExpr(
+        *kept,
+        "CASE WHEN route = 'app' THEN application_id END AS application_id",
+        "CASE WHEN route = 'pod' THEN driver_pod END AS driver_pod",
+        "CASE WHEN route = 'pod' THEN exit_code END AS exit_code",
+        "CASE WHEN route = 'driver' THEN driver_id END AS driver_id",
+        "CASE WHEN route = 'app' THEN announced_application_id END AS announced_application_id",
+        "CASE WHEN route = 'app' THEN announced_line_no END AS announced_line_no",
+        "CASE WHEN route = 'pod' THEN coalesce(pod_notices, 0L) ELSE 0L END AS pod_notices",
+    )
 
 
 def fold_routed_log(log: DataFrame, flagged_runs: DataFrame) -> DataFrame:

@@ -27,28 +27,25 @@ def classify_runs(routed: DataFrame, stops: DataFrame) -> DataFrame:
     A run on Kubernetes fails unless its exit code is known to be 0, and a tracked run
     that has not stopped is still running.
     """
-    tracked = F.col("is_tracked")
-    bad_return = F.coalesce(F.col("returncode") != 0, F.lit(False))
-    bad_exit = F.col("is_k8s") & ~F.col("exit_code").eqNullSafe(F.lit(0))
-    state = F.col("tracked_state")
     cases = [
-        (bad_return, fixed.SUBMIT_FAILED, "return code"),
-        (bad_exit & F.col("exit_code").isNull(), fixed.SUBMIT_FAILED, "no exit code"),
-        (bad_exit, fixed.SUBMIT_FAILED, "exit code"),
-        (tracked & F.col("driver_id").isNull(), fixed.NO_DRIVER_ID, "no driver id"),
-        (tracked & state.isNull(), fixed.STILL_RUNNING, "no final poll"),
-        (tracked & F.col("gave_up"), fixed.POLL_GAVE_UP, "failed polls"),
-        (tracked & (state != fixed.GOOD_STATE), None, "driver state"),
+        ("returncode != 0", fixed.SUBMIT_FAILED, "return code"),
+        ("is_k8s AND exit_code IS NULL", fixed.SUBMIT_FAILED, "no exit code"),
+        ("is_k8s AND exit_code != 0", fixed.SUBMIT_FAILED, "exit code"),
+        ("is_tracked AND driver_id IS NULL", fixed.NO_DRIVER_ID, "no driver id"),
+        ("is_tracked AND tracked_state IS NULL", fixed.STILL_RUNNING, "no final poll"),
+        ("is_tracked AND gave_up", fixed.POLL_GAVE_UP, "failed polls"),
+        (f"is_tracked AND tracked_state != '{fixed.GOOD_STATE}'", None, "driver state"),
     ]
-    outcome = reason = F
-    for holds, value, why in cases:
-        named = F.concat(F.lit(fixed.DRIVER_PREFIX), state) if value is None else F.lit(value)
-        outcome = outcome.when(holds, named)
-        reason = reason.when(holds, why)
-    return routed.join(stops.hint("merge"), "run_id", "left").withColumns({
-        "outcome": outcome.otherwise(fixed.SUCCESS),
-        "reason": reason,
-    })
+    state = f"concat('{fixed.DRIVER_PREFIX}', tracked_state)"
+    outcomes = " ".join(
+        f"WHEN {holds} THEN {repr(value) if value else state}" for holds, value, _ in cases
+    )
+    reasons = " ".join(f"WHEN {holds} THEN '{reason}'" for holds, _, reason in cases)
+    return routed.join(stops.hint("merge"), "run_id", "left").selectExpr(
+        "*",
+        f"CASE {outcomes} ELSE '{fixed.SUCCESS}' END AS outcome",
+        f"CASE {reasons} END AS reason",
+    )
 
 
 def error_texts(classified: DataFrame) -> DataFrame:

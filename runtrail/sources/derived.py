@@ -8,7 +8,6 @@ exploding a sequence, without a join; the SQL text lists the numbers.
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -183,8 +182,8 @@ def derive(base: DataFrame, name: str) -> DataFrame:
     table = DERIVED[name]
     rows = base.where(table.where) if table.where else base
     for column, last in table.numbers.items():
-        rows = rows.withColumn(column, F.explode(F.sequence(F.lit(1), F.lit(last))))
-    return rows.select(*[F.expr(text).alias(column) for column, text in table.columns.items()])
+        rows = rows.selectExpr("*", f"explode(sequence(1, {last})) AS {column}")
+    return rows.selectExpr(*[f"{text} AS {column}" for column, text in table.columns.items()])
 
 
 def _spread(base: DataFrame, table: Derived) -> DataFrame:
