@@ -87,14 +87,9 @@ def test_text_never_reaches_a_shuffle(landed, big):
         assert "Scan" not in step or "line#" not in step.rsplit("+-", 1)[-1]
 
 
-def test_hot_run_in_routing_is_split(spark, big):
-    """One run holds nearly all lines; the join reads it in several pieces."""
-    lines = spark.range(0, 200000, 1, 8).select(
-        F.when(F.col("id") % 50 == 0, F.col("id")).otherwise(1).alias("run_id"),
-        F.col("id").cast("int").alias("line_no"),
-        F.concat(F.lit("application_1_"), F.col("id").cast("string")).alias("line"),
-    )
-    runs = spark.range(0, 200000, 1, 4).select(F.col("id").alias("run_id"), F.lit("app").alias("route"))
+@pytest.fixture
+def tiny_partitions(spark, big):
+    """Makes Spark see a partition as skewed at test size."""
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
@@ -102,14 +97,38 @@ def test_hot_run_in_routing_is_split(spark, big):
     }
     for name, value in settings.items():
         spark.conf.set(name, value)
-    try:
-        routed = fold.route_lines(lines, runs)
-        routed.collect()
-        assert "skew=true" in plan_text(routed)
-        assert routed.where("application_id IS NOT NULL").count() == 200000
-    finally:
-        for name in settings:
-            spark.conf.unset(name)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def test_hot_run_in_routing_is_split(spark, tiny_partitions):
+    """One run holds nearly all lines; the join reads it in several pieces."""
+    lines = spark.range(0, 200000, 1, 8).select(
+        F.when(F.col("id") % 50 == 0, F.col("id")).otherwise(1).alias("run_id"),
+        F.col("id").cast("int").alias("line_no"),
+        F.concat(F.lit("application_1_"), F.col("id").cast("string")).alias("line"),
+    )
+    runs = spark.range(0, 200000, 1, 4).select(F.col("id").alias("run_id"), F.lit("app").alias("route"))
+    routed = fold.route_lines(lines, runs)
+    routed.collect()
+    assert "skew=true" in plan_text(routed)
+    assert routed.where("application_id IS NOT NULL").count() == 200000
+
+
+def test_hot_connection_is_split_where_connections_are_too_large_to_broadcast(spark, tiny_partitions):
+    """Nearly all runs share one connection."""
+    runs = spark.range(0, 200000, 1, 8).selectExpr(
+        "id AS run_id", "CASE WHEN id % 50 = 0 THEN concat('c', id) ELSE 'c0' END AS conn_id",
+        "CAST(NULL AS string) AS spark_binary", "CAST(NULL AS string) AS conf",
+    )
+    connections = spark.range(0, 200000, 1, 4).selectExpr(
+        "concat('c', id) AS conn_id", "concat('h', id) AS host", "1 AS port", "'{}' AS extra",
+    )
+    resolved = plans.flagged_runs(runs, connections).select("run_id", "master")
+    resolved.collect()
+    assert "skew=true" in plan_text(resolved)
+    assert resolved.where("master = 'h0:1'").count() == 196001
 
 
 def test_hot_run_in_tracking_is_cut_to_eleven_polls_in_each_task(spark):
