@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runtrail.llm.decontaminate import find_contamination
+from runtrail.llm.language import held_out, learn_languages, predict_languages
 from runtrail.llm.lines import dedup_lines
 from runtrail.llm.mixing import mix_sizes
 from runtrail.llm.quality import judge_quality
+from runtrail.llm.simhash import near_duplicates
 from runtrail.llm.urls import Rule, filter_urls
 
 URL_RULES = [
@@ -34,6 +36,18 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    parser = learn_languages(docs.where(~held_out(F.col("doc_id"))))
+    return predict_languages(docs, parser).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "pieces_per_symbol"
+    )
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), width=3, distance=3)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_table(spark, sf_dir, "documents")).drop("text", "rejected_by")
 
@@ -56,6 +70,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_language": op3_language,
+    "op4_near_dedup": op4_near_dedup,
     "op5_quality": op5_quality,
     "op7_url_filter": op7_url_filter,
     "op8_mix": op8_mix,
