@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runtrail.llm.common import words_of
 from runtrail.llm.decontaminate import find_contamination
 from runtrail.llm.language import held_out, learn_languages, predict_languages
 from runtrail.llm.lines import dedup_lines
 from runtrail.llm.mixing import mix_sizes
 from runtrail.llm.quality import judge_quality
 from runtrail.llm.simhash import near_duplicates
+from runtrail.llm.substrings import find_repeats
 from runtrail.llm.urls import Rule, filter_urls
 
 URL_RULES = [
@@ -36,6 +38,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_repeats(_table(spark, sf_dir, "documents"), width=35)
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.array_join(words_of(F.col("text")), " "), 256).alias("kept_sha256")
+    )
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     parser = learn_languages(docs.where(~held_out(F.col("doc_id"))))
@@ -70,6 +79,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_language": op3_language,
     "op4_near_dedup": op4_near_dedup,
     "op5_quality": op5_quality,
