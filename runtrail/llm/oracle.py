@@ -107,8 +107,20 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM j GROUP BY row, doc_id
 """
 
+WARC = r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, coalesce(html, '') AS payload FROM pages),
+f AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload) END AS first_id FROM p)
+SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM f
+"""
+
 ORACLE = {
     "op5_quality": QUALITY,
+    "op6_warc": WARC,
     "op7_url_filter": URLS,
     "op8_mix": MIX,
     "op10_line_dedup": LINES,

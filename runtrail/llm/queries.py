@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runtrail.llm import language, toxicity
 from runtrail.llm.common import words_of
 from runtrail.llm.decontaminate import find_contamination
-from runtrail.llm.language import held_out, learn_languages, predict_languages
+from runtrail.llm.language import learn_languages, predict_languages
 from runtrail.llm.lines import dedup_lines
 from runtrail.llm.mixing import mix_sizes
 from runtrail.llm.quality import judge_quality
 from runtrail.llm.simhash import near_duplicates
 from runtrail.llm.substrings import find_repeats
+from runtrail.llm.toxicity import learn_toxicity, score_toxicity
 from runtrail.llm.urls import Rule, filter_urls
+from runtrail.llm.warc import read_records, write_archives
 
 URL_RULES = [
     Rule("net", "/", "block"),
@@ -47,9 +50,9 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    parser = learn_languages(docs.where(~held_out(F.col("doc_id"))))
+    parser = learn_languages(docs.where(~language.held_out(F.col("doc_id"))))
     return predict_languages(docs, parser).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "pieces_per_symbol"
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "pieces_per_symbol"
     )
 
 
@@ -61,6 +64,15 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_table(spark, sf_dir, "documents")).drop("text", "rejected_by")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    return read_records(write_archives(pages)).select(
+        F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"), URL_RULES, F.coalesce(F.expr(TRACKED), F.lit(False)))
 
@@ -69,6 +81,15 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sizes(_table(spark, sf_dir, "documents")).drop("source")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = learn_toxicity(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+    return score_toxicity(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduped = dedup_lines(_table(spark, sf_dir, "documents"))
     return deduped.select(
@@ -83,7 +104,9 @@ QUERIES = {
     "op3_language": op3_language,
     "op4_near_dedup": op4_near_dedup,
     "op5_quality": op5_quality,
+    "op6_warc": op6_warc,
     "op7_url_filter": op7_url_filter,
     "op8_mix": op8_mix,
+    "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
