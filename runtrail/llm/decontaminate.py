@@ -252,6 +252,18 @@ def shard_results(texts: list[bytes | None], blocks: Iterable[Block]) -> list[tu
     return out
 
 
+def without_spans(text: bytes | None, spans: list[dict]) -> bytes | None:
+    """The text without its hit words and what stands between those of a span."""
+    if not spans:
+        return text
+    places = [m.span() for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", text)]
+    out, at = [], 0
+    for s in spans:
+        out.append(text[at:places[s["start"]][0]])
+        at = places[s["end"] - 1][1]
+    return b"".join([*out, text[at:]])
+
+
 def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list:
     """Broadcasts of (item id as string, text), each of at most ``block_bytes`` or one item."""
     sc = benchmark.sparkSession.sparkContext
@@ -276,10 +288,12 @@ _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", width: int = 10,
-    block_bytes: int = 4 << 20, shard_bytes: int = SHARD_BYTES, carry: tuple[str, ...] = (),
+    block_bytes: int = 4 << 20, shard_bytes: int = SHARD_BYTES, cut: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per document: ``doc_id``, ``text``, ``n_words``, ``n_hit``, ``spans`` (word offsets, end
     exclusive, merged) and ``items`` (ids as strings, sorted), and the carried columns in ``rest``.
+    With ``cut``, the text has lost its spans.
     """
     docs = narrow(docs, id_col, text_col, carry)
     blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_bytes)
@@ -302,8 +316,13 @@ def find_contamination(
                     pa.array([f[2] for f in found], pa.list_(_SPAN)),
                     pa.array([f[3] for f in found], pa.list_(pa.string())),
                 ]
+                columns = {name: part.column(name) for name in part.schema.names}
+                if cut:
+                    columns["text"] = pa.array(
+                        [without_spans(t, f[2]) for t, f in zip(texts[start:stop], found)], pa.binary()
+                    ).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *arrays], [*part.schema.names, "n_words", "n_hit", "spans", "items"]
+                    [*columns.values(), *arrays], [*part.schema.names, "n_words", "n_hit", "spans", "items"]
                 )
                 start = stop
 
@@ -311,15 +330,3 @@ def find_contamination(
     schema = T.StructType(list(docs.schema.fields))
     schema = schema.add("n_words", "long").add("n_hit", "long").add("spans", T.ArrayType(span))
     return docs.mapInArrow(search, schema.add("items", T.ArrayType(T.StringType())))
-
-
-def without_spans(text: str | None, spans: list) -> str | None:
-    """The text without its hit words and what stands between them; one space in their place."""
-    if not spans:
-        return text
-    places = [m.span() for m in re.finditer("[0-9A-Za-z\x80-\U0010ffff]+", text)]
-    out, at = [], 0
-    for s in spans:
-        out.append(text[at:places[s["start"]][0]])
-        at = places[s["end"] - 1][1]
-    return "".join([*out, text[at:]]) if len(out) else text
