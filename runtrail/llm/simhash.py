@@ -187,10 +187,8 @@ def _grouped(prints: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row"))
     distinct = written(prints.groupBy("fp").agg(first.alias("first")), "fingerprints")
     roots = components(fuzzy_links(distinct, distance))
-    rooted = written(
-        distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-            "fp", "first", F.coalesce("root", "fp").alias("root")
-        ), "fingerprint-roots",
+    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     return rooted, rooted.groupBy("root").agg(F.min("first").alias("owner"))
 
