@@ -157,7 +157,7 @@ class ToxicModel:
 
 def learn_toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    max_rows: int = 20000, n_terms: int = 1500, n_voters: int = 120, least: int = 5,
+    max_rows: int = 20000, n_terms: int = 1500, n_voters: int = 120, least: int = 3,
 ) -> ToxicModel:
     """A model from the labelled rows; ``labels`` has an id and a label of 0 or 1."""
     plain = labels.select(labels[id_col].alias("doc_id"), labels[label_col].alias("label"))
@@ -178,11 +178,13 @@ def learn_toxicity(
     misses = {r.term: r.n for r in term_counts(clean, sorted(hits)).collect()}
 
     def strength(term: str) -> tuple[float, float]:
-        a, b = hits[term] + 0.5, misses.get(term, 0) + 0.5
-        odds = math.log(a / (n_toxic - a + 1.0)) - math.log(b / (n_clean - b + 1.0))
-        return odds, odds * math.sqrt(hits[term])
+        """How much more often toxic rows hold the term, as a logarithm; and that by its weight."""
+        often = math.log((hits[term] + 0.5) / (n_toxic + 1)) - math.log((misses.get(term, 0) + 0.5) / (n_clean + 1))
+        return often, often * math.sqrt(hits[term])
 
-    ranked = sorted(hits, key=lambda t: (-abs(strength(t)[1]), t))[:n_terms]
+    # Terms that either class holds as often say nothing, but would share the intercept.
+    telling = [t for t in hits if abs(strength(t)[0]) > 0.7]
+    ranked = sorted(telling, key=lambda t: (-abs(strength(t)[1]), t))[:n_terms]
     voters = [t for t in ranked if strength(t)[0] > 2.0][:n_voters]
     number = {t: i for i, t in enumerate(ranked)}
     pa_row = T.StructType().add("label", "integer").add("terms", T.ArrayType(T.IntegerType()))
