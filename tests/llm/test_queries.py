@@ -1,0 +1,129 @@
+"""The named queries: SQL twins, plain versions, held-out accuracy; and the pipeline."""
+
+import brute
+import duckdb
+import pytest
+from conftest import SCHEMA, as_set, rows
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from runtrail.llm.oracle import ORACLE
+from runtrail.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+NATIVE = ("op5_quality", "op7_url_filter", "op10_line_dedup")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in ("documents", "pages"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    return connection
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+
+
+def test_entry_points():
+    assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql())
+    assert len(QUERIES) == 10
+
+
+@pytest.mark.parametrize("name", ORACLE)
+def test_query_equals_its_twin(spark, duck, name):
+    ours = QUERIES[name](spark, SMALL).toArrow()
+    theirs = duck.sql(ORACLE[name]).to_arrow_table()
+    columns = sorted(ours.column_names)
+    assert columns == sorted(theirs.column_names)
+    for c in columns:
+        assert str(ours.schema.field(c).type) == str(theirs.schema.field(c).type)
+    values = lambda t: sorted(zip(*[t[c].to_pylist() for c in columns]), key=str)
+    assert values(ours) == values(theirs)
+
+
+@pytest.mark.parametrize("name", NATIVE)
+def test_native_plans_hold_no_python(spark, name):
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_decontaminate(spark, small):
+    items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    expected = [(i, n, h, len(own), brute.sha(",".join(own)), h > 0) for i, n, h, own in brute.contamination(small, items)]
+    assert as_set(QUERIES["op1_decontaminate"](spark, SMALL), "*") == sorted(expected, key=str)
+
+
+def test_substring_dedup(spark, small):
+    expected = [(i, n, r, brute.sha(kept)) for i, n, r, kept in brute.substrings(small, 35)]
+    assert as_set(QUERIES["op2_substring_dedup"](spark, SMALL), "*") == sorted(expected, key=str)
+
+
+def test_language_accuracy_on_rows_held_out(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang")
+    found = QUERIES["op3_language"](spark, SMALL).join(docs, "doc_id").where("held_out").collect()
+    assert sum(r.lang == r.lang_pred for r in found) > 0.95 * len(found) > 0
+
+
+def test_near_dedup(spark, small):
+    ids, texts = zip(*small)
+    prints = [brute.simhash(t) for t in texts]
+    expected = zip(ids, (f"{p:016x}" for p in prints), brute.groups(ids, prints))
+    assert as_set(QUERIES["op4_near_dedup"](spark, SMALL), "*") == sorted(expected, key=str)
+
+
+def test_toxicity_accuracy_on_rows_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    found = QUERIES["op9_toxicity"](spark, sf).join(labels, "doc_id").where("held_out").collect()
+    right = sum(r.predicted == 1 and r.toxic == 1 for r in found)
+    assert right > 0.8 * sum(r.toxic for r in found) and right > 0.9 * sum(r.predicted for r in found)
+
+
+def write_tables(spark, folder, frame):
+    frame.write.parquet(f"{folder}/documents.parquet")
+    items = [(1, "the cat sat on the mat and looked at the dog that slept"), (2, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+def test_pipeline_stage_by_stage(spark, docs, tmp_path):
+    folder = write_tables(spark, str(tmp_path / "in"), docs)
+    frame = docs
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = [tuple(r) for r in frame.select("doc_id", "text").collect()]
+        stage(spark, frame, folder).write.parquet(str(tmp_path / str(number)))
+        frame = spark.read.parquet(str(tmp_path / str(number)))
+        after = sorted(((r.doc_id, r.text or "") for r in frame.collect()), key=str)
+        ids = [i for i, _ in before]
+        if name == "language ID":
+            letters = [(i, t) for i, t in before if t and any(c.isalpha() for c in t)]
+            assert set(after) <= set(letters) and {1, 2, 3, 13} <= {i for i, _ in after}
+        elif name == "line dedup":
+            assert after == sorted(((i, t) for i, _, _, t in brute.lines(before)), key=str)
+        elif name == "near dedup":
+            groups = set(brute.groups(ids, [brute.simhash(t) for _, t in before]))
+            assert sorted((i for i, _ in after), key=str) == sorted(groups, key=str)
+        elif name == "decontamination":
+            found = brute.contamination(before, [(1, "the cat sat on the mat and looked at the dog that slept")])
+            assert {i for i, n, h, _ in found if not h or h < n} == {i for i, _ in after}
+            assert not any(h for _, _, h, _ in brute.contamination(after, [(1, "the cat sat on the mat and looked at the dog that slept")]))
+        if name != "mixing":
+            assert frame.columns == docs.columns
+            assert all(r.n_chars is None or r.n_chars == len(r.text) for r in frame.collect())
+        else:
+            assert sum(r.mix_taken for r in frame.collect()) > sum(len(brute.BLANK_WORD.findall(t or "")) for _, t in before)
+
+
+def test_pipeline_runs_on_empty_tables(spark, empty, tmp_path):
+    assert corpus_pipeline.run(spark, write_tables(spark, str(tmp_path / "none"), empty)).count() == 0
+
+
+def test_pipeline_repeats_itself(spark, docs, tmp_path):
+    folder = write_tables(spark, str(tmp_path / "in"), docs)
+    runs = [as_set(corpus_pipeline.run(spark, folder).drop("rest", "row"), "*") for _ in range(2)]
+    assert runs[0] == runs[1] and SCHEMA and rows()
