@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 
 from runtrail.llm.common import ascii_lower, written
 
+#: Share of keys that pass a level wrongly, after the first level.
+LATER_RATE = 1 / 16
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -103,11 +106,11 @@ def build_cascade(keys: DataFrame) -> list[Level]:
     n_in, n_out = inside.count(), outside.count()
     levels: list[Level] = []
     while n_in:
-        rate = 0.25
+        rate = LATER_RATE
         if not levels and n_out:
             rate = min(0.5, max(n_in / n_out / math.sqrt(2), 2.0**-20))
         levels.append(_level(len(levels), inside, n_in, rate))
-        wrong = written(outside.where(levels[-1].passes()), "bloom-wrong")
+        wrong = outside.where(levels[-1].passes()).persist()
         inside, outside, n_in = wrong, inside, wrong.count()
     return levels
 
