@@ -1,8 +1,8 @@
 """Values the results depend on.
 
-Fixed values: states, limits, defaults, patterns and message formats. They are
-given by the launcher, the cluster managers and their services, so they must
-not be changed.
+Fixed values: states, limits, defaults, patterns and message formats. They are given by the tool
+whose runs are modelled, by the launcher, the cluster managers and their services, so they must not
+be changed. The limits are defaults of arguments.
 """
 
 # Connection defaults.
@@ -25,13 +25,10 @@ REST_PORT_MARK = ":6066"
 CLUSTER_MODE = "cluster"
 
 # Driver states.
-DRIVER_STATES = (
-    "SUBMITTED", "RUNNING", "FINISHED", "RELAUNCHING",
-    "UNKNOWN", "KILLED", "FAILED", "ERROR",
-)
 FINAL_STATES = ("FINISHED", "UNKNOWN", "KILLED", "FAILED", "ERROR")
 GOOD_STATE = "FINISHED"
 NO_STATE = "UNKNOWN"
+MALFORMED_STATE = "MALFORMED"
 
 # Limits.
 TOLERATED_MISSES = 10
@@ -78,8 +75,13 @@ NOT_MARKUP = (
     r"|<script\b.*?</script\s*>"
     r"|<style\b.*?</style\s*>"
 )
-TAG = r"<[^>]*>"
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+MAY_HIDE_MARKUP = r"(?i)<!--|<script\b|<style\b"
+# A tag starts only before a letter, a declaration before ! or ?; any other bracket is text.
+TAG = r"(?s)</?[A-Za-z][^>]*>|<[!?][^>]*>"
+ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", "\xa0"),
+    ("&amp;", "&"),
+)
 
 # Chinese text in a pod log: from the first such character to the end of the line.
 CJK_MARK = r"[\u4E00-\u9FA5]"
@@ -91,13 +93,14 @@ SUBMIT_ERROR = "Cannot execute: %s. Error code is: %d."
 NO_DRIVER_ERROR = (
     "No driver id is known: something went wrong when executing the spark submit command"
 )
-POLL_ERROR = "Failed to poll for the driver status 10 times: returncode = %d"
+POLL_ERROR = "Failed to poll for the driver status %d times: returncode = %d"
 DRIVER_ERROR = "ERROR : Driver %s badly exited with status %s"
 
 # Run outcomes.
 SUBMIT_FAILED = "SUBMIT_FAILED"
 NO_DRIVER_ID = "NO_DRIVER_ID"
 POLL_GAVE_UP = "POLL_GAVE_UP"
+POLL_MALFORMED = "POLL_MALFORMED"
 STILL_RUNNING = "STILL_RUNNING"
 DRIVER_PREFIX = "DRIVER_"
 SUCCESS = "SUCCESS"

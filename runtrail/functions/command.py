@@ -43,8 +43,8 @@ def driver_error(driver_id: Column, state: Column):
     return F.format_string(fixed.DRIVER_ERROR, driver_id, state)
 
 
-def poll_error(returncode: Column):
-    return F.format_string(fixed.POLL_ERROR, returncode)
+def poll_error(returncode: Column, tolerated: int = fixed.TOLERATED_MISSES):
+    return F.format_string(fixed.POLL_ERROR, F.lit(tolerated), returncode)
 
 
 def overlay(base: Column, over: Column):

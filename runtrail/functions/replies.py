@@ -7,10 +7,21 @@ from runtrail import fixed_values as fixed
 
 
 def as_map(column: Column, kind):
-    """Settings as ``map<string,string>``, from a map or from JSON text."""
+    """Settings as ``map<string,string>``, from a map or from JSON text.
+
+    JSON text may repeat a key; as in any JSON reader the last one counts.
+    """
     if kind.typeName() == "map":
         return column
-    return F.from_json(column, "map<string,string>")
+    read = F.from_json(column, "map<string,string>")
+    keys = F.map_keys(read)
+    backwards = F.reverse(keys)
+    last = F.filter(
+        F.map_entries(read),
+        lambda entry, at: at == F.size(keys) - F.array_position(backwards, entry["key"]),
+    )
+    repeats = F.size(F.array_distinct(keys)) < F.size(keys)
+    return F.when(repeats, F.map_from_entries(last)).otherwise(read)
 
 
 def container_log_address(body: Column):

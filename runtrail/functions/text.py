@@ -65,6 +65,14 @@ def names_state(line: Column):
     return F.coalesce(line.contains(fixed.STATE_TEXT), F.lit(False))
 
 
+def has_pre(html: Column):
+    """Whether a page has a ``<pre>`` block, without parsing the usual page."""
+    markup = F.regexp_replace(html, fixed.NOT_MARKUP, "")
+    return html.rlike(fixed.PRE_MARK) & F.when(
+        html.rlike(fixed.MAY_HIDE_MARKUP), markup.rlike(fixed.PRE_MARK)
+    ).otherwise(F.lit(True))
+
+
 def last_pre(html: Column):
     """Text of the last ``<pre>`` block of a page; NULL where the page has none.
 

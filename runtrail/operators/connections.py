@@ -8,6 +8,20 @@ from runtrail.functions.command import executable, overlay
 from runtrail.functions.replies import as_map
 
 
+def _one_each(connections):
+    """One row per connection. Of repeated ones the first by host, port and settings counts.
+
+    The id is built anew afterwards: a join on it then shuffles both its sides, and only so
+    can Spark split a connection that many runs share.
+    """
+    kind = connections.schema["extra"].dataType
+    extra = F.to_json("extra") if kind.typeName() == "map" else F.col("extra")
+    row = F.min_by(F.struct("host", "port", "extra"), F.struct("host", "port", extra))
+    return connections.groupBy("conn_id").agg(
+        row.alias("row"), (F.count("*") > 1).alias("conn_repeated")
+    ).select(F.concat(F.lit(""), "conn_id").alias("conn_id"), "row.*", "conn_repeated")
+
+
 def _lookup(connections):
     """One row per connection with its settings taken out of ``extra``, read once each."""
     extra = as_map(F.col("extra"), connections.schema["extra"].dataType)
@@ -15,8 +29,10 @@ def _lookup(connections):
     def setting(key):
         return f"try_element_at(extra, '{key}')"
 
-    return connections.select("conn_id", "host", "port", extra.alias("extra")).selectExpr(
-        "conn_id",
+    return _one_each(connections).select(
+        "conn_id", "host", "port", extra.alias("extra"), "conn_repeated"
+    ).selectExpr(
+        "conn_id", "conn_repeated",
         """CASE WHEN host IS NULL THEN NULL WHEN coalesce(port, 0) != 0
             THEN concat(host, ':', port) ELSE host END AS conn_master""",
         f"{setting(fixed.EXTRA_QUEUE)} AS queue",
@@ -32,7 +48,8 @@ def _lookup(connections):
 def resolve_connections(runs: DataFrame, connections: DataFrame, via_operator=False) -> DataFrame:
     """Add master, queue, deploy_mode, spark_home, binary and namespace to each run.
 
-    Runs whose connection is unknown get the defaults. A setting that is present but
+    Runs whose connection is unknown get the defaults; ``conn_repeated`` marks those whose
+    connection has several rows, of which one counts. A setting that is present but
     null stays null. ``via_operator`` models runs started through the task type, whose
     own binary defaults to the launcher's name and so hides the connection's.
 
@@ -46,6 +63,7 @@ def resolve_connections(runs: DataFrame, connections: DataFrame, via_operator=Fa
     return joined.selectExpr(
         *runs.columns,
         "coalesce(conn_found, false) AS conn_found",
+        "coalesce(conn_repeated, false) AS conn_repeated",
         f"CASE WHEN conn_found THEN conn_master ELSE '{fixed.DEFAULT_MASTER}' END AS master",
         "queue", "deploy_mode", "spark_home",
         f"""CASE WHEN {own_binary} != '' THEN {own_binary}

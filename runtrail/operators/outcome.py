@@ -24,16 +24,21 @@ def classify_runs(routed: DataFrame, stops: DataFrame) -> DataFrame:
     """Add outcome and reason to runs that carry flags and ids.
 
     ``stops`` holds the runs whose tracking has stopped. The first case that holds counts.
-    A run on Kubernetes fails unless its exit code is known to be 0, and a tracked run
-    that has not stopped is still running.
+    Nothing is decided before the launcher has returned. A run on Kubernetes fails unless its
+    exit code is known to be 0, and a tracked run that has not stopped is still running.
+    What the polls say is NULL for runs that are never tracked: not standalone, without a
+    driver id, or not submitted.
     """
     cases = [
+        ("returncode IS NULL", fixed.STILL_RUNNING, "no return code"),
         ("returncode != 0", fixed.SUBMIT_FAILED, "return code"),
         ("is_k8s AND exit_code IS NULL", fixed.SUBMIT_FAILED, "no exit code"),
         ("is_k8s AND exit_code != 0", fixed.SUBMIT_FAILED, "exit code"),
         ("is_tracked AND driver_id IS NULL", fixed.NO_DRIVER_ID, "no driver id"),
-        ("is_tracked AND tracked_state IS NULL", fixed.STILL_RUNNING, "no final poll"),
+        ("is_tracked AND stop_poll IS NULL", fixed.STILL_RUNNING, "no final poll"),
         ("is_tracked AND gave_up", fixed.POLL_GAVE_UP, "failed polls"),
+        (f"is_tracked AND tracked_state = '{fixed.MALFORMED_STATE}'", fixed.POLL_MALFORMED,
+         "malformed status"),
         (f"is_tracked AND tracked_state != '{fixed.GOOD_STATE}'", None, "driver state"),
     ]
     state = f"concat('{fixed.DRIVER_PREFIX}', tracked_state)"
@@ -41,14 +46,23 @@ def classify_runs(routed: DataFrame, stops: DataFrame) -> DataFrame:
         f"WHEN {holds} THEN {repr(value) if value else state}" for holds, value, _ in cases
     )
     reasons = " ".join(f"WHEN {holds} THEN '{reason}'" for holds, _, reason in cases)
-    return routed.join(stops.hint("merge"), "run_id", "left").selectExpr(
+    joined = routed.join(stops.hint("merge"), "run_id", "left").withColumn(
+        "tracking", F.expr("is_tracked AND driver_id IS NOT NULL AND returncode <=> 0")
+    )
+    followed = {c: F.when(F.col("tracking"), F.col(c)) for c in stops.columns if c != "run_id"}
+    followed["tracked_state"] = F.when(
+        F.col("tracking"), F.coalesce("tracked_state", F.lit(fixed.STILL_RUNNING))
+    )
+    return joined.withColumns(followed).drop("tracking").selectExpr(
         "*",
         f"CASE {outcomes} ELSE '{fixed.SUCCESS}' END AS outcome",
         f"CASE {reasons} END AS reason",
     )
 
 
-def error_texts(classified: DataFrame) -> DataFrame:
+def error_texts(
+    classified: DataFrame, tolerated: int = fixed.TOLERATED_MISSES
+) -> DataFrame:
     """Add the message of each failed run; it needs ``masked_command``."""
     outcome = F.col("outcome")
     text = (
@@ -57,7 +71,7 @@ def error_texts(classified: DataFrame) -> DataFrame:
             command.submit_error(F.col("masked_command"), F.col("returncode")),
         )
         .when(outcome == fixed.NO_DRIVER_ID, fixed.NO_DRIVER_ERROR)
-        .when(outcome == fixed.POLL_GAVE_UP, command.poll_error(F.col("stop_returncode")))
+        .when(outcome == fixed.POLL_GAVE_UP, command.poll_error(F.col("stop_returncode"), tolerated))
         .when(
             outcome.startswith(fixed.DRIVER_PREFIX),
             command.driver_error(F.col("driver_id"), F.col("tracked_state")),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from runtrail import fixed_values as fixed
 from runtrail.functions import replies
-from runtrail.functions.text import cjk_text, cjk_texts, has_cjk, last_pre
+from runtrail.functions.text import cjk_text, cjk_texts, has_cjk, has_pre, last_pre
 
 
 def app_log_address(app_info: DataFrame) -> DataFrame:
@@ -14,19 +14,41 @@ def app_log_address(app_info: DataFrame) -> DataFrame:
     )
 
 
-def first_history_reply(history: DataFrame) -> DataFrame:
-    """The first good reply within the allowed tries, NULL for runs that got none."""
-    good = (F.col("status_code") == fixed.HTTP_OK) & (
-        F.col("attempt") <= fixed.HISTORY_ATTEMPTS
-    )
+def _within(max_attempts):
+    return F.lit(True) if max_attempts is None else F.col("attempt") <= max_attempts
+
+
+def _beyond(max_attempts):
+    """How many rows of a run lie past the limit."""
+    return F.count_if(~_within(max_attempts)).alias("beyond_limit")
+
+
+def first_history_reply(
+    history: DataFrame, max_attempts: int | None = fixed.HISTORY_ATTEMPTS
+) -> DataFrame:
+    """The first good reply within ``max_attempts`` tries, NULL for runs that got none.
+
+    None allows every try; ``beyond_limit`` counts the tries that were left out.
+    """
+    good = (F.col("status_code") == fixed.HTTP_OK) & _within(max_attempts)
     first = F.min(F.when(good, F.struct("attempt", "body"))).alias("first")
-    return history.groupBy("run_id").agg(first).select("run_id", "first.attempt", "first.body")
+    return history.groupBy("run_id").agg(first, _beyond(max_attempts)).select(
+        "run_id", "first.attempt", "first.body", "beyond_limit"
+    )
+
 
+def history_address(
+    ids: DataFrame, history: DataFrame, base: str,
+    max_attempts: int | None = fixed.HISTORY_ATTEMPTS,
+) -> DataFrame:
+    """Address of the executor list for each run with an application id and a good reply.
 
-def history_address(ids: DataFrame, history: DataFrame, base: str) -> DataFrame:
-    """Address of the executor list for each run with an application id and a good reply."""
-    counted = first_history_reply(history).select(
-        "run_id", replies.attempt_count(F.col("body")).alias("attempts")
+    Replies shrink to their number of attempts before they are shuffled.
+    """
+    good = (F.col("status_code") == fixed.HTTP_OK) & _within(max_attempts)
+    count = F.struct("attempt", replies.attempt_count(F.col("body")).alias("attempts"))
+    counted = history.groupBy("run_id").agg(F.min(F.when(good, count)).alias("first")).select(
+        "run_id", "first.attempts"
     )
     known = ids.select("run_id", "application_id").where(F.col("application_id").isNotNull())
     address = replies.executors_address(base, F.col("application_id"), F.col("attempts"))
@@ -44,16 +66,18 @@ def driver_log_links(executors: DataFrame) -> DataFrame:
     )
 
 
-def first_log_text(pages: DataFrame) -> DataFrame:
-    """Last ``<pre>`` text of the first allowed page that has one, NULL if none has."""
-    allowed = F.col("attempt") <= fixed.PAGE_ATTEMPTS
-    texts = pages.select(
-        "run_id", "attempt", F.when(allowed, last_pre(F.col("html"))).alias("log_text")
-    )
-    pick = F.when(F.col("log_text").isNotNull(), F.struct("attempt", "log_text"))
-    return (
-        texts.groupBy("run_id").agg(F.min(pick).alias("first"))
-        .select("run_id", "first.attempt", "first.log_text")
+def first_log_text(
+    pages: DataFrame, max_attempts: int | None = fixed.PAGE_ATTEMPTS
+) -> DataFrame:
+    """Last ``<pre>`` text of the first page within ``max_attempts`` tries that has one, NULL if
+    none has. None allows every try; ``beyond_limit`` counts the pages that were left out.
+
+    The page is chosen by its mark and only the chosen one is parsed.
+    """
+    pick = F.when(_within(max_attempts) & has_pre(F.col("html")), F.struct("attempt", "html"))
+    first = pages.groupBy("run_id").agg(F.min(pick).alias("first"), _beyond(max_attempts))
+    return first.select(
+        "run_id", "first.attempt", last_pre(F.col("first.html")).alias("log_text"), "beyond_limit"
     )
 
 
@@ -66,6 +90,13 @@ def cjk_lines(pod_log: DataFrame) -> DataFrame:
 
 
 def cjk_lines_of_bytes(pod_log: DataFrame) -> DataFrame:
-    """The same for pod logs given whole as bytes; a log that is not UTF-8 gives no lines."""
-    texts = F.posexplode(cjk_texts(F.col("log"))).alias("text_no", "cjk_text")
-    return pod_log.select("run_id", texts)
+    """The same for pod logs given whole as bytes.
+
+    A log that is not UTF-8 gives one row without text, marked ``invalid_utf8``.
+    """
+    texts = F.posexplode_outer(cjk_texts(F.col("log"))).alias("text_no", "cjk_text")
+    invalid = F.col("log").isNotNull() & F.try_validate_utf8(F.col("log")).isNull()
+    rows = pod_log.select("run_id", invalid.alias("invalid_utf8"), "log").select(
+        "run_id", texts, "invalid_utf8"
+    )
+    return rows.where(F.col("cjk_text").isNotNull() | F.col("invalid_utf8"))

@@ -6,9 +6,6 @@ from pyspark.sql import functions as F
 from runtrail import fixed_values as fixed
 from runtrail.functions.text import driver_state, names_state
 
-# The miss after the tolerated ones ends the tracking.
-LAST_MISS = fixed.TOLERATED_MISSES + 1
-
 
 def poll_parts(polls: DataFrame) -> DataFrame:
     """Mergeable picks per poll: the last state line and the return code."""
@@ -50,38 +47,51 @@ def fold_polls(polls: DataFrame) -> DataFrame:
     return states_of_parts(poll_parts(polls))
 
 
-def stop_polls(states: DataFrame) -> DataFrame:
-    """The poll at which the tracking of a run stops, for the runs where it does.
+def follow_polls(states: DataFrame, tolerated: int = fixed.TOLERATED_MISSES) -> DataFrame:
+    """All polled runs, with the poll at which their tracking stops, if it does.
 
-    A poll counts if its state is final or its call failed. Tracking stops within the
-    first eleven that count: at the first final state, or at the eleventh failed call,
-    which wins even over a final state. So only the eleven earliest of them are needed,
-    and Spark cuts each run to that many inside every task before the shuffle.
+    A poll counts if its state is final, its status line is malformed or its call failed.
+    Tracking stops at the first final state, at the first malformed line, or at the failed
+    call after the ``tolerated`` ones, which wins even over a final state. So of those that
+    count only the earliest, one more than tolerated, are needed, and Spark cuts each run to
+    that many inside every task before the shuffle. They come first in the window's order, so
+    a run without any still keeps a row: one pass finds all runs and their stops.
     """
-    final = F.col("state").isin(*fixed.FINAL_STATES)
+    last_miss = tolerated + 1
+    malformed = F.coalesce("malformed", F.lit(False))
+    final = F.col("state").isin(*fixed.FINAL_STATES) | malformed
     missed = F.coalesce(F.col("returncode") != 0, F.lit(False))
-    in_order = Window.partitionBy("run_id").orderBy("poll_no")
+    in_order = Window.partitionBy("run_id").orderBy(~(final | missed), "poll_no")
     counted = (
-        states.where(final | missed)
-        .withColumn("counted", F.row_number().over(in_order))
-        .where(F.col("counted") <= LAST_MISS)
-        .where(final | (F.col("counted") == LAST_MISS))
+        states.withColumn("counted", F.row_number().over(in_order))
+        .where(F.col("counted") <= last_miss)
     )
     misses = F.col("counted") - F.when(missed, 0).otherwise(1)
-    stop = F.struct("poll_no", "state", "returncode", misses.alias("misses"))
-    first = counted.groupBy("run_id").agg(F.min(stop).alias("stop"))
-    gave_up = F.col("stop.misses") >= LAST_MISS
+    gives_up = missed & ~malformed & (misses >= last_miss)
+    state = F.when(malformed, fixed.MALFORMED_STATE).otherwise(F.col("state"))
+    stop = F.struct(
+        "poll_no", state.alias("state"), "returncode", misses.alias("misses"),
+        gives_up.alias("gave_up"),
+    )
+    first = counted.groupBy("run_id").agg(F.min(F.when(final | gives_up, stop)).alias("stop"))
     return first.select(
         "run_id",
-        F.when(gave_up, fixed.POLL_GAVE_UP).otherwise(F.col("stop.state")).alias("tracked_state"),
+        F.when(F.col("stop").isNull(), fixed.STILL_RUNNING)
+        .when(F.col("stop.gave_up"), fixed.POLL_GAVE_UP)
+        .otherwise(F.col("stop.state")).alias("tracked_state"),
         F.col("stop.state").alias("driver_state"),
         F.col("stop.poll_no").alias("stop_poll"),
         F.col("stop.returncode").alias("stop_returncode"),
         F.col("stop.misses").alias("misses"),
-        gave_up.alias("gave_up"),
+        F.coalesce("stop.gave_up", F.lit(False)).alias("gave_up"),
     )
 
 
+def stop_polls(states: DataFrame, tolerated: int = fixed.TOLERATED_MISSES) -> DataFrame:
+    """The same for the runs whose tracking has stopped."""
+    return follow_polls(states, tolerated).where(F.col("stop_poll").isNotNull())
+
+
 def with_running(runs: DataFrame, stops: DataFrame) -> DataFrame:
     """All given runs; those whose tracking has not stopped are STILL_RUNNING."""
     return runs.join(stops.hint("merge"), "run_id", "left").withColumns({
@@ -90,7 +100,11 @@ def with_running(runs: DataFrame, stops: DataFrame) -> DataFrame:
     })
 
 
-def track_polls(polls: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+def track_polls(
+    polls: DataFrame, runs: DataFrame | None = None, tolerated: int = fixed.TOLERATED_MISSES
+) -> DataFrame:
     """How the tracking of each run ended, for ``runs`` or every run that was polled."""
-    seen = polls if runs is None else runs
-    return with_running(seen.select("run_id").distinct(), stop_polls(fold_polls(polls)))
+    followed = follow_polls(fold_polls(polls), tolerated)
+    if runs is None:
+        return followed
+    return with_running(runs.select("run_id").distinct(), followed)

@@ -81,7 +81,7 @@ RESOLVED = ("master", "queue", "deploy_mode", "spark_home", "binary", "namespace
 
 def resolve_connections(spark, sf_dir):
     resolved = conn.resolve_connections(*_tables("runs", "connections")(spark, sf_dir))
-    return resolved.select("run_id", "conn_id", "conn_found", *RESOLVED)
+    return resolved.select("run_id", "conn_id", "conn_found", "conn_repeated", *RESOLVED)
 
 
 def resolve_connections_via_operator(spark, sf_dir):

@@ -25,6 +25,7 @@ BLOCKS = {
         FROM line_ids GROUP BY run_id"""),
     "resolved": (("runs", "connections"), """
         SELECT r.*, c.conn_id IS NOT NULL AS conn_found,
+          (SELECT count(*) FROM connections d WHERE d.conn_id = r.conn_id) > 1 AS conn_repeated,
           CASE WHEN c.conn_id IS NULL THEN 'yarn'
             WHEN coalesce(c.port, 0) <> 0 THEN c.host || ':' || CAST(c.port AS VARCHAR)
             ELSE c.host END AS master,
@@ -97,32 +98,43 @@ BLOCKS = {
           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS misses
         FROM polls"""),
     "stops": (("counted_polls",), """
-        SELECT run_id, CASE WHEN misses >= 11 THEN 'POLL_GAVE_UP' ELSE state END AS tracked_state,
+        SELECT run_id, CASE WHEN gave_up THEN 'POLL_GAVE_UP' ELSE state END AS tracked_state,
           state AS driver_state, poll_no AS stop_poll, returncode AS stop_returncode,
-          CAST(misses AS INTEGER) AS misses, misses >= 11 AS gave_up
-        FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY poll_no) AS nth
+          CAST(misses AS INTEGER) AS misses, gave_up
+        FROM (SELECT run_id, poll_no, returncode, misses, misses >= 11 AND NOT malformed AS gave_up,
+            CASE WHEN malformed THEN 'MALFORMED' ELSE state END AS state,
+            row_number() OVER (PARTITION BY run_id ORDER BY poll_no) AS nth
           FROM counted_polls
-          WHERE misses >= 11 OR state IN ('FINISHED', 'UNKNOWN', 'KILLED', 'FAILED', 'ERROR'))
+          WHERE misses >= 11 OR malformed
+            OR state IN ('FINISHED', 'UNKNOWN', 'KILLED', 'FAILED', 'ERROR'))
         WHERE nth = 1"""),
     "tracked": (("polls", "stops"), """
         SELECT p.run_id, coalesce(s.tracked_state, 'STILL_RUNNING') AS tracked_state,
           s.driver_state, s.stop_poll, s.misses, coalesce(s.gave_up, false) AS gave_up
         FROM (SELECT DISTINCT run_id FROM polls) p LEFT JOIN stops s ON p.run_id = s.run_id"""),
     "outcomes": (("routed", "stops"), """
-        SELECT r.*, s.tracked_state, s.stop_returncode, s.misses,
-          CASE WHEN r.returncode <> 0 OR (r.is_k8s AND r.exit_code IS DISTINCT FROM 0)
+        SELECT r.*, s.stop_returncode,
+          CASE WHEN r.is_tracked AND r.driver_id IS NOT NULL AND r.returncode = 0
+            THEN coalesce(s.tracked_state, 'STILL_RUNNING') END AS tracked_state,
+          CASE WHEN r.is_tracked AND r.driver_id IS NOT NULL AND r.returncode = 0
+            THEN s.misses END AS misses,
+          CASE WHEN r.returncode IS NULL THEN 'STILL_RUNNING'
+            WHEN r.returncode <> 0 OR (r.is_k8s AND r.exit_code IS DISTINCT FROM 0)
               THEN 'SUBMIT_FAILED'
             WHEN r.is_tracked AND r.driver_id IS NULL THEN 'NO_DRIVER_ID'
             WHEN r.is_tracked AND s.run_id IS NULL THEN 'STILL_RUNNING'
             WHEN r.is_tracked AND s.gave_up THEN 'POLL_GAVE_UP'
+            WHEN r.is_tracked AND s.tracked_state = 'MALFORMED' THEN 'POLL_MALFORMED'
             WHEN r.is_tracked AND s.driver_state <> 'FINISHED' THEN 'DRIVER_' || s.driver_state
             ELSE 'SUCCESS' END AS outcome,
-          CASE WHEN r.returncode <> 0 THEN 'return code'
+          CASE WHEN r.returncode IS NULL THEN 'no return code'
+            WHEN r.returncode <> 0 THEN 'return code'
             WHEN r.is_k8s AND r.exit_code IS NULL THEN 'no exit code'
             WHEN r.is_k8s AND r.exit_code <> 0 THEN 'exit code'
             WHEN r.is_tracked AND r.driver_id IS NULL THEN 'no driver id'
             WHEN r.is_tracked AND s.run_id IS NULL THEN 'no final poll'
             WHEN r.is_tracked AND s.gave_up THEN 'failed polls'
+            WHEN r.is_tracked AND s.tracked_state = 'MALFORMED' THEN 'malformed status'
             WHEN r.is_tracked AND s.driver_state <> 'FINISHED' THEN 'driver state' END AS reason
         FROM routed r LEFT JOIN stops s ON r.run_id = s.run_id"""),
     "fetches": (("outcomes",), """
@@ -145,13 +157,16 @@ BLOCKS = {
           THEN replace(master, 'spark://', 'http://') || '/v1/submissions/status/' || driver_id
           END AS poll_address FROM routed"""),
     "first_replies": (("history",), """
-        SELECT h.run_id, g.attempt, g.body FROM (SELECT DISTINCT run_id FROM history) h
+        SELECT h.run_id, g.attempt, g.body, h.beyond_limit
+        FROM (SELECT run_id, count(*) FILTER (attempt > 30) AS beyond_limit FROM history
+          GROUP BY run_id) h
         LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY attempt) AS nth
           FROM history WHERE status_code = 200 AND attempt <= 30) g
         ON h.run_id = g.run_id AND g.nth = 1"""),
     "page_texts": (("log_pages",), r"""
         SELECT run_id, min(attempt) FILTER (WHERE log_text IS NOT NULL) AS attempt,
-          arg_min(log_text, attempt) FILTER (WHERE log_text IS NOT NULL) AS log_text
+          arg_min(log_text, attempt) FILTER (WHERE log_text IS NOT NULL) AS log_text,
+          count(*) FILTER (attempt > 11) AS beyond_limit
         FROM (SELECT run_id, attempt, CASE WHEN attempt <= 11 THEN
             replace(replace(replace(replace(replace(
               regexp_extract_all(html, '<pre(?:[\s/][^>]*)?>(.*?)</pre\s*>', 1, 'si')[-1],
@@ -191,7 +206,7 @@ SELECTS = {
     "id_notices": ("routed", """
         SELECT run_id, announced_application_id, announced_line_no, pod_notices FROM routed"""),
     "resolve_connections": ("resolved", """
-        SELECT run_id, conn_id, conn_found, master, queue, deploy_mode, spark_home, "binary",
+        SELECT run_id, conn_id, conn_found, conn_repeated, master, queue, deploy_mode, spark_home, "binary",
           namespace FROM resolved"""),
     "resolve_connections_via_operator": (("runs", "connections"), """
         SELECT r.run_id, CASE WHEN r.spark_binary IS NULL THEN 'spark-submit'
@@ -254,10 +269,11 @@ SELECTS = {
         FROM pod_log WHERE regexp_matches(line, '[\x{4E00}-\x{9FA5}]')"""),
     "cjk_lines_of_bytes": ("pod_log_text", r"""
         SELECT run_id, CAST(generate_subscripts(texts, 1) - 1 AS INTEGER) AS text_no,
-          unnest(texts) AS cjk_text
+          unnest(texts) AS cjk_text, false AS invalid_utf8
         FROM (SELECT run_id,
             regexp_extract_all(log, '[\x{4E00}-\x{9FA5}]+[^\n]*') AS texts
-          FROM pod_log_text WHERE run_id % 10 <> 3)"""),
+          FROM pod_log_text WHERE run_id % 10 <> 3)
+        UNION ALL SELECT run_id, NULL, NULL, true FROM pod_log_text WHERE run_id % 10 = 3"""),
     "run_report": (
         ("fetches", "programs", "masked", "errors", "addresses", "log_addresses", "page_texts"), """
         SELECT f.run_id, f.conn_id, f.master, f.deploy_mode, f.queue, f.namespace, p.executable,

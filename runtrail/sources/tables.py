@@ -61,7 +61,7 @@ def read_submit_log_text(spark: SparkSession, path: str) -> DataFrame:
     kind = "value string, run_id bigint"
     lines = spark.read.schema(kind).text(path)
     place = F.struct(
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )

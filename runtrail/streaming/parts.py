@@ -14,11 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from runtrail.operators.fold import fold_parts, ids_of_parts, merge_parts
 from runtrail.operators.polls import (
+    follow_polls,
     merge_poll_parts,
     poll_parts,
     states_of_parts,
-    stop_polls,
-    with_running,
 )
 
 BATCH = "stream_batch"
@@ -63,9 +62,7 @@ def stream_track(
 
 def read_track(spark: SparkSession, path: str) -> DataFrame:
     """How the tracking of each polled run stands over all polls that have arrived."""
-    parts = read_parts(spark, path)
-    runs = parts.select("run_id").distinct()
-    return with_running(runs, stop_polls(states_of_parts(merge_poll_parts(parts))))
+    return follow_polls(states_of_parts(merge_poll_parts(read_parts(spark, path))))
 
 
 def stateful_fold(lines: DataFrame) -> DataFrame:

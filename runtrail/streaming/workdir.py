@@ -13,7 +13,8 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.conf.get("spark.master").startswith("local"):
+        master = spark.conf.get("spark.master")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="runtrail-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

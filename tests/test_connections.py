@@ -95,3 +95,23 @@ def test_env_overlay(spark):
     )
     env = {r.run_id: r.env for r in conn.env_overlay(runs, {"A": "1", "C": "2"}).collect()}
     assert env == {1: {"A": "x", "B": None, "C": "2"}, 2: {"A": "1", "C": "2"}, 3: {"A": "1", "C": "2"}}
+
+
+def test_the_last_of_a_repeated_key_counts(spark):
+    runs = spark.createDataFrame([(1, '{"B":"1","B":"2","A":"x"}')], "run_id bigint, env_vars string")
+    assert conn.env_overlay(runs, {"C": "3"}).first().env == {"A": "x", "B": "2", "C": "3"}
+    again = [("c", "h", 1, '{"queue":"a","queue":"b"}')]
+    connections = spark.createDataFrame(again, schemas.CONNECTIONS)
+    rows = [(1, "c", None, None, "x", 0, None, False, False)]
+    found = conn.resolve_connections(spark.createDataFrame(rows, schemas.RUNS), connections).first()
+    assert (found.queue, found.conn_repeated) == ("b", False)
+
+
+def test_a_repeated_connection_does_not_repeat_its_runs(spark):
+    twice = [("c", "h2", 2, '{"queue":"b"}'), ("c", "h1", 1, '{"queue":"a"}'), ("d", "h", 1, None)]
+    connections = spark.createDataFrame(twice, schemas.CONNECTIONS)
+    rows = [(n, c, None, None, "x", 0, None, False, False) for n, c in enumerate("ccd")]
+    found = conn.resolve_connections(spark.createDataFrame(rows, schemas.RUNS), connections).orderBy("run_id").collect()
+    assert [(r.master, r.queue, r.conn_repeated) for r in found] == [
+        ("h1:1", "a", True), ("h1:1", "a", True), ("h:1", None, False),
+    ]

@@ -48,15 +48,22 @@ def test_outcomes_by_hand(spark):
         (tracked, "POLL_GAVE_UP"),
         (tracked, "STILL_RUNNING"),
         (dict(exit_code=3), "SUCCESS"),
+        (dict(returncode=None), "STILL_RUNNING"),
+        (dict(returncode=None, is_k8s=True), "STILL_RUNNING"),
+        (tracked, "POLL_MALFORMED"),
     ]
     stops = [(8, "FINISHED"), (9, "KILLED"), (10, "POLL_GAVE_UP"), (6, "FINISHED"), (7, "KILLED"),
-             (0, "FAILED")]
+             (0, "FAILED"), (15, "MALFORMED")]
     rows = classify(spark, *[r for r, _ in runs], stops=stops).collect()
     assert [r.outcome for r in rows] == [o for _, o in runs]
     assert [r.reason for r in rows] == [
         None, "return code", "no exit code", "exit code", None, "return code", "no driver id",
         "return code", None, "driver state", "failed polls", "no final poll", None,
+        "no return code", "no return code", "malformed status",
     ]
+    states = {8: "FINISHED", 9: "KILLED", 10: "POLL_GAVE_UP", 11: "STILL_RUNNING", 15: "MALFORMED"}
+    assert {r.run_id: r.tracked_state for r in rows if r.tracked_state} == states
+    assert {r.run_id for r in rows if r.misses is not None} == states.keys() - {11}
 
 
 def test_log_fetch_plan(spark):
@@ -116,8 +123,9 @@ def test_error_texts(spark):
 def test_every_outcome_occurs(spark):
     rows = catalogue.classify_runs(spark, SMALL.replace("0.001", "0.01")).select("outcome").collect()
     assert Counter(r.outcome for r in rows) == {
-        "SUCCESS": 9631, "SUBMIT_FAILED": 4214, "NO_DRIVER_ID": 398, "DRIVER_FAILED": 339,
-        "DRIVER_KILLED": 191, "POLL_GAVE_UP": 94, "STILL_RUNNING": 68, "DRIVER_UNKNOWN": 65,
+        "SUCCESS": 9086, "SUBMIT_FAILED": 3962, "STILL_RUNNING": 811, "NO_DRIVER_ID": 398,
+        "DRIVER_FAILED": 312, "DRIVER_KILLED": 194, "POLL_GAVE_UP": 108, "POLL_MALFORMED": 65,
+        "DRIVER_UNKNOWN": 64,
     }
 
 

@@ -13,8 +13,10 @@ def test_first_log_text(spark):
     )
     found = pages.first_log_text(spark.createDataFrame(rows, schemas.LOG_PAGES).repartition(3))
     assert {tuple(r) for r in found.collect()} == {
-        (1, None, None), (2, 11, "last try"), (3, 2, "b"), (4, 2, ""),
+        (1, None, None, 1), (2, 11, "last try", 0), (3, 2, "b", 0), (4, 2, "", 0),
     }
+    unlimited = pages.first_log_text(spark.createDataFrame(rows, schemas.LOG_PAGES), None)
+    assert [r.log_text for r in unlimited.where("run_id = 1").collect()] == ["late"]
 
 
 def test_first_history_reply(spark):
@@ -24,7 +26,11 @@ def test_first_history_reply(spark):
         (3, 30, 200, "in time"),
     ]
     found = pages.first_history_reply(spark.createDataFrame(rows, schemas.HISTORY).repartition(3))
-    assert {tuple(r) for r in found.collect()} == {(1, 2, "b"), (2, None, None), (3, 30, "in time")}
+    assert {tuple(r) for r in found.collect()} == {
+        (1, 2, "b", 0), (2, None, None, 1), (3, 30, "in time", 0),
+    }
+    unlimited = pages.first_history_reply(spark.createDataFrame(rows, schemas.HISTORY), None)
+    assert [r.body for r in unlimited.where("run_id = 2").collect()] == ["late"]
 
 
 def test_history_address(spark):
@@ -58,4 +64,6 @@ def test_cjk_lines(spark):
     assert {tuple(r) for r in found.collect()} == {(1, 1, "完成 1"), (2, 1, "错")}
     whole = [(1, "x 完成 1\nno\n错".encode()), (2, b"\xff"), (3, b"no")]
     found = pages.cjk_lines_of_bytes(spark.createDataFrame(whole, schemas.POD_LOG_BYTES))
-    assert {tuple(r) for r in found.collect()} == {(1, 0, "完成 1"), (1, 1, "错")}
+    assert {tuple(r) for r in found.collect()} == {
+        (1, 0, "完成 1", False), (1, 1, "错", False), (2, None, None, True),
+    }

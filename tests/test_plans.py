@@ -65,8 +65,19 @@ def test_run_keyed_tables_are_never_broadcast_and_shuffled_once(landed):
     ))
     assert text.count("BroadcastHashJoin") == 1
     assert text.count("SortMergeJoin") == 2
-    # Runs, the fold of the log, the polls of all runs, the few polls that count.
-    assert text.count("Exchange hashpartitioning") == 4
+    # Runs, the fold of the log, the polls of all runs, the few polls that count, connections.
+    assert text.count("Exchange hashpartitioning") == 5
+
+
+def test_tracking_reads_the_polls_once(landed):
+    text = plan_text(polls.track_polls(landed["status_polls"]))
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 2
+
+
+def test_only_the_chosen_page_is_parsed(landed):
+    text = plan_text(pages.first_log_text(landed["log_pages"]))
+    parsed, _, below = text.partition("Exchange")
+    assert "regexp_extract_all" in parsed and "regexp_extract_all" not in below
 
 
 def test_unused_columns_are_not_read(landed):
@@ -135,7 +146,7 @@ def test_hot_run_in_tracking_is_cut_to_eleven_polls_in_each_task(spark):
     """One run was polled 20000 times and failed each time, with no final state."""
     states = spark.range(1, 20001, 1, 4).select(
         F.when(F.col("id") < 0, 0).otherwise(1).alias("run_id"), F.col("id").cast("int").alias("poll_no"),
-        F.lit("RUNNING").alias("state"), F.lit(1).alias("returncode"),
+        F.lit("RUNNING").alias("state"), F.lit(1).alias("returncode"), F.lit(False).alias("malformed"),
     )
     stops = polls.stop_polls(states)
     assert rows_written_to_shuffle(stops) == 4 * 11

@@ -1,9 +1,10 @@
 import random
 
 from runtrail import schemas
+from runtrail.fixed_values import FINAL_STATES
 from runtrail.operators import polls
 
-FINAL = ["FINISHED", "UNKNOWN", "KILLED", "FAILED", "ERROR"]
+FINAL = list(FINAL_STATES)
 
 
 def state_line(state):
@@ -52,9 +53,11 @@ def test_tracking_by_hand(spark):
         5: [(0, [None])],
         6: [(0, running)] * 30,
         7: [(0, running)] * 30 + [(0, [state_line("KILLED"), state_line("RELAUNCHING")]), (0, done)],
-        8: [(0, ["driverState"])],
+        8: [(0, ["driverState"]), (0, done)],
         9: [(1, running), (0, running)] * 11,
         10: [(0, done), (1, running)],
+        11: [(0, running), (0, ['"driverState": "RUNNING"', *running]), (0, done)],
+        12: [(1, running)] * 10 + [(1, ["driverState"])],
     }
     assert track(spark, runs) == {
         1: ("POLL_GAVE_UP", 11, 11),
@@ -64,12 +67,21 @@ def test_tracking_by_hand(spark):
         5: ("UNKNOWN", 1, 0),
         6: ("STILL_RUNNING", None, None),
         7: ("FINISHED", 32, 0),
-        8: ("UNKNOWN", 1, 0),
+        8: ("MALFORMED", 1, 0),
         9: ("POLL_GAVE_UP", 21, 11),
         10: ("FINISHED", 1, 0),
+        11: ("MALFORMED", 2, 0),
+        12: ("MALFORMED", 11, 11),
     }
 
 
+def test_tolerance_is_an_argument(spark):
+    rows = rows_of(1, [(1, [state_line("RUNNING")])] * 3 + [(0, [state_line("FINISHED")])])
+    frame = spark.createDataFrame(rows, schemas.STATUS_POLLS)
+    ends = [polls.track_polls(frame, tolerated=n).first() for n in (2, 3)]
+    assert [(r.tracked_state, r.stop_poll) for r in ends] == [("POLL_GAVE_UP", 3), ("FINISHED", 4)]
+
+
 def test_tracking_random_runs(spark):
     rng = random.Random(11)
     states = ["RUNNING"] * 12 + ["SUBMITTED", "RELAUNCHING", ""] + FINAL

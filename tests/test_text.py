@@ -108,6 +108,8 @@ def test_driver_state(apply, line):
     ("<pre>outer<pre>inner</pre></pre>", "inner"),
     ("<pre>a<b>c</b>&lt;d&gt;</pre>", "ac<d>"),
     ("<pre></pre>", ""),
+    ("<pre>x < 5\nERROR lost line\ny > 3\nend</pre>", "x < 5\nERROR lost line\ny > 3\nend"),
+    ("<pre>a<!DOCTYPE b>c<?php d?>e</ f>&nbsp;&apos;</pre>", "ace</ f>\xa0'"),
     (None, None),
 ])
 def test_last_pre(apply, html, found):
