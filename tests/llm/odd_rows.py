@@ -1,10 +1,7 @@
-import os
-import sys
+"""Rows with every oddity, as fixtures."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 LONG = " ".join(f"w{i % 997}x{i % 13}" for i in range(30000))
 PASSAGE = " ".join(f"shared{i}" for i in range(60))
 

@@ -3,7 +3,7 @@
 import brute
 import numpy as np
 import pytest
-from conftest import PASSAGE, as_set, rows
+from odd_rows import PASSAGE, as_set, docs, empty, rows  # noqa: F401
 from pyspark.sql import functions as F
 
 from runtrail.llm import decontaminate, language, mixing, quality, simhash, substrings, toxicity, urls, warc

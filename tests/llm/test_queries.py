@@ -3,7 +3,7 @@
 import brute
 import duckdb
 import pytest
-from conftest import SCHEMA, as_set, rows
+from odd_rows import as_set, docs, empty  # noqa: F401
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
@@ -102,7 +102,7 @@ def test_pipeline_stage_by_stage(spark, docs, tmp_path):
         ids = [i for i, _ in before]
         if name == "language ID":
             letters = [(i, t) for i, t in before if t and any(c.isalpha() for c in t)]
-            assert set(after) <= set(letters) and {1, 2, 3, 13} <= {i for i, _ in after}
+            assert after == sorted(letters, key=str)
         elif name == "line dedup":
             assert after == sorted(((i, t) for i, _, _, t in brute.lines(before)), key=str)
         elif name == "near dedup":
@@ -126,4 +126,4 @@ def test_pipeline_runs_on_empty_tables(spark, empty, tmp_path):
 def test_pipeline_repeats_itself(spark, docs, tmp_path):
     folder = write_tables(spark, str(tmp_path / "in"), docs)
     runs = [as_set(corpus_pipeline.run(spark, folder).drop("rest", "row"), "*") for _ in range(2)]
-    assert runs[0] == runs[1] and SCHEMA and rows()
+    assert runs[0] == runs[1]
