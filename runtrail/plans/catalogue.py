@@ -238,6 +238,22 @@ def stream_track(spark, sf_dir):
     return parts.read_track(spark, f"{folder}/parts").select("run_id", *TRACKED)
 
 
+def stream_fold_compacted(spark, sf_dir):
+    folder = new_folder(spark, "stream-fold")
+    lines = derived_stream(spark, sf_dir, "submit_log")
+    parts.stream_fold(lines, f"{folder}/parts", f"{folder}/state").awaitTermination()
+    merged = parts.compact_fold(spark, f"{folder}/parts", 0, f"{folder}/merged")
+    return parts.read_fold(spark, f"{folder}/parts", merged).select(*FOLDED)
+
+
+def stream_track_compacted(spark, sf_dir):
+    folder = new_folder(spark, "stream-track")
+    stream = derived_stream(spark, sf_dir, "status_polls")
+    parts.stream_track(stream, f"{folder}/parts", f"{folder}/state").awaitTermination()
+    merged = parts.compact_track(spark, f"{folder}/parts", 0, f"{folder}/merged")
+    return parts.read_track(spark, f"{folder}/parts", merged).select("run_id", *TRACKED)
+
+
 def stream_line_ids(spark, sf_dir):
     folder = new_folder(spark, "line-ids")
     found = fold.extract_line_ids(derived_stream(spark, sf_dir, "submit_log"))
@@ -269,6 +285,13 @@ def sink_run_facts(spark, sf_dir):
     ).parquet(path)
 
 
+def read_pod_log_bytes(spark, sf_dir):
+    path = f"{new_folder(spark, 'pod-log')}/parquet"
+    logs = derived_table(spark, sf_dir, "pod_log_text")
+    logs.select("run_id", F.encode("log", "UTF-8").alias("log")).write.parquet(path)
+    return tables.read_pod_log_bytes(spark, path).select("run_id", F.hex("log").alias("log"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -278,7 +301,8 @@ QUERIES = {
         mask_command, tokenize_command, error_text, poll_address, fold_polls, track_polls,
         log_fetch_plan, cleanup_actions, app_log_address, first_history_reply, history_address,
         driver_log_links, first_log_text, cjk_lines, cjk_lines_of_bytes, run_report, stream_fold,
-        stream_fold_stateful, stream_track, stream_line_ids, sink_run_facts,
+        stream_fold_stateful, stream_fold_compacted, stream_track, stream_track_compacted,
+        stream_line_ids, sink_run_facts, read_pod_log_bytes,
     )
 } | {
     "read_submit_log": _landed("submit_log", "parquet"),

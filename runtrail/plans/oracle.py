@@ -287,6 +287,9 @@ SELECTS = {
         LEFT JOIN page_texts t ON f.run_id = t.run_id"""),
     "stream_fold": ("folded", f"SELECT {_FOLDED} FROM folded"),
     "stream_fold_stateful": ("folded", f"SELECT {_FOLDED} FROM folded"),
+    "stream_fold_compacted": ("folded", f"SELECT {_FOLDED} FROM folded"),
+    "stream_track_compacted": ("tracked", f"SELECT {_TRACKED} FROM tracked"),
+    "read_pod_log_bytes": ("pod_log_text", "SELECT run_id, hex(encode(log)) AS log FROM pod_log_text"),
     "stream_line_ids": ("line_ids", "SELECT * FROM line_ids"),
     "stream_track": ("tracked", f"SELECT {_TRACKED} FROM tracked"),
     "sink_run_facts": ("resolved", """

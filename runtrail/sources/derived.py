@@ -187,12 +187,13 @@ def derive(base: DataFrame, name: str) -> DataFrame:
 
 
 def _spread(base: DataFrame, table: Derived) -> DataFrame:
-    """Orders by key over all tasks: the given file may be a single task's work, and the
-    narrow rows are the cheap ones to move, before texts are built and rows multiplied."""
+    """Orders over all tasks, in turn: the given file may be a single task's work, and the narrow
+    rows are the cheap ones to move, before texts are built and rows multiplied. They are not
+    dealt by key, so that the operators' own shuffles stay in the plans."""
     if table.base != "orders":
         return base
     tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return base.repartition(tasks, "o_orderkey")
+    return base.repartition(tasks)
 
 
 def derived_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

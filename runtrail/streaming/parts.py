@@ -4,6 +4,10 @@ Every micro-batch folds its own lines with the batch operators and writes the pi
 its batch number; reading merges the picks of all batches. Nothing is kept between
 batches, so no state grows with the number of runs and no late line is lost. A batch that
 is repeated after a failure overwrites its own folder, so it counts once.
+
+A stream that runs for long leaves many folders. ``compact_fold`` and ``compact_track`` merge those
+of the batches up to a number into one new folder; read with that folder, only newer batches are
+read from the stream's own. The stream may go on meanwhile, and compacting again changes nothing.
 """
 
 from collections.abc import Callable
@@ -11,7 +15,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
+from runtrail import schemas
 from runtrail.operators.fold import fold_parts, ids_of_parts, merge_parts
 from runtrail.operators.polls import (
     follow_polls,
@@ -37,8 +43,41 @@ def write_parts(
     )
 
 
-def read_parts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def _parts_schema(spark: SparkSession, to_parts: Callable, table: StructType) -> StructType:
+    return to_parts(spark.createDataFrame([], table)).schema
+
+
+def read_parts(
+    spark: SparkSession, path: str, schema: StructType, compacted: tuple[str, int] | None = None
+) -> DataFrame:
+    """Parts of all batches; those up to a number from the folder they were compacted into."""
+    batch = StructField(BATCH, LongType())
+    parts = spark.read.schema(StructType([*schema.fields, batch])).parquet(path)
+    if compacted is None:
+        return parts.drop(BATCH)
+    folder, upto = compacted
+    newer = parts.where(F.col(BATCH) > upto).drop(BATCH)
+    return spark.read.schema(schema).parquet(folder).unionByName(newer)
+
+
+def _compact(spark, path, schema, merge: Callable, upto: int, folder: str) -> tuple[str, int]:
+    batch = StructField(BATCH, LongType())
+    parts = spark.read.schema(StructType([*schema.fields, batch])).parquet(path)
+    older = parts.where(F.col(BATCH) <= upto).drop(BATCH)
+    merge(older).select(*schema.names).write.mode("overwrite").parquet(folder)
+    return folder, upto
+
+
+def compact_fold(
+    spark: SparkSession, path: str, upto: int, folder: str, table: StructType = schemas.SUBMIT_LOG
+) -> tuple[str, int]:
+    """Merge the parts of the batches up to a number; gives what ``read_fold`` takes."""
+    return _compact(spark, path, _parts_schema(spark, fold_parts, table), merge_parts, upto, folder)
+
+
+def compact_track(spark: SparkSession, path: str, upto: int, folder: str) -> tuple[str, int]:
+    schema = _parts_schema(spark, poll_parts, schemas.STATUS_POLLS)
+    return _compact(spark, path, schema, merge_poll_parts, upto, folder)
 
 
 def stream_fold(
@@ -48,9 +87,13 @@ def stream_fold(
     return write_parts(lines, fold_parts, path, checkpoint, trigger or {"availableNow": True})
 
 
-def read_fold(spark: SparkSession, path: str) -> DataFrame:
-    """The ids of each run over all lines that have arrived."""
-    return ids_of_parts(merge_parts(read_parts(spark, path)))
+def read_fold(
+    spark: SparkSession, path: str, compacted: tuple[str, int] | None = None,
+    table: StructType = schemas.SUBMIT_LOG,
+) -> DataFrame:
+    """The ids of each run over all lines that have arrived; ``table`` is the lines' schema."""
+    schema = _parts_schema(spark, fold_parts, table)
+    return ids_of_parts(merge_parts(read_parts(spark, path, schema, compacted)))
 
 
 def stream_track(
@@ -60,9 +103,13 @@ def stream_track(
     return write_parts(polls, poll_parts, path, checkpoint, trigger or {"availableNow": True})
 
 
-def read_track(spark: SparkSession, path: str) -> DataFrame:
+def read_track(
+    spark: SparkSession, path: str, compacted: tuple[str, int] | None = None
+) -> DataFrame:
     """How the tracking of each polled run stands over all polls that have arrived."""
-    return follow_polls(states_of_parts(merge_poll_parts(read_parts(spark, path))))
+    schema = _parts_schema(spark, poll_parts, schemas.STATUS_POLLS)
+    parts = read_parts(spark, path, schema, compacted)
+    return follow_polls(states_of_parts(merge_poll_parts(parts)))
 
 
 def stateful_fold(lines: DataFrame) -> DataFrame:

@@ -106,3 +106,19 @@ def test_lines_of_one_poll_may_come_in_several_batches_and_out_of_order(spark, t
     found = {r.run_id: (r.tracked_state, r.stop_poll)
              for r in parts.read_track(spark, f"{tmp_path}/parts").collect()}
     assert found == {1: ("KILLED", 2), 2: ("UNKNOWN", 1)}
+
+
+def test_compaction_changes_no_result(spark, log, status_polls, tmp_path):
+    land(log, f"{tmp_path}/log", 4)
+    lines = stream_table(spark, "submit_log", f"{tmp_path}/log", **ONE_FILE)
+    parts.stream_fold(lines, f"{tmp_path}/folds", f"{tmp_path}/state-1").awaitTermination()
+    land(status_polls, f"{tmp_path}/polls", 3)
+    stream = stream_table(spark, "status_polls", f"{tmp_path}/polls", **ONE_FILE)
+    parts.stream_track(stream, f"{tmp_path}/tracks", f"{tmp_path}/state-2").awaitTermination()
+    for upto in (0, 2, 9, 9):
+        merged = parts.compact_fold(spark, f"{tmp_path}/folds", upto, f"{tmp_path}/merged-folds-{upto}")
+        found = parts.read_fold(spark, f"{tmp_path}/folds", merged)
+        assert rows(found) == rows(fold.fold_submit_log(log))
+        merged = parts.compact_track(spark, f"{tmp_path}/tracks", upto, f"{tmp_path}/merged-tracks-{upto}")
+        found = parts.read_track(spark, f"{tmp_path}/tracks", merged)
+        assert rows(found) == rows(polls.track_polls(status_polls))
