@@ -7,7 +7,9 @@ budget; a document that its source is still sending at virtual time 1 gives its
 
 Running sums never gather a source in one task. A source is split by the leading digits of its
 shuffle tag, the global order by equal widths of finish time (which fair queueing fills evenly),
-and only the sums of these slices meet in one window.
+and only the sums of these slices meet in one window. There are about as many slices as a slice
+has rows, the square root of all, so that both windows grow with the root only: of 10 billion
+documents either orders some 100,000 rows.
 
 Defined results: a null text has size 0 and takes nothing; null is a source of its own, after all
 others; documents of equal id, source and size may swap places, which changes no result.
@@ -15,15 +17,13 @@ others; documents of equal id, source and size may swap places, which changes no
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runtrail.llm.common import BLANK_RUN, narrow, others, words_of, written
 
-#: Rows of a slice of a running sum, on average.
-SLICE = 2048
-
-
 def source_targets(
     sized: DataFrame, weights: tuple[int, ...], share: float, repeats: int
 ) -> DataFrame:
@@ -79,9 +79,9 @@ def schedule(
     ``taken`` (its first words) and ``start`` (words of the mix before it).
     """
     targets = written(source_targets(sized, weights, share, repeats), "mix-targets")
+    slices = math.isqrt(sized.count()) + 1
     digits = 1
-    n = sized.count()
-    while 16**digits * SLICE < n:
+    while 16**digits < slices:
         digits += 1
     queued = running(
         sized.withColumn("slice", F.substring("tag", 1, digits)), ["source"], "slice",
@@ -95,7 +95,6 @@ def schedule(
     sent = copies.withColumn("taken", F.least("size", left)).where("taken > 0").withColumn(
         "finish", F.least((F.col("words_before") + F.col("size")) / F.col("target"), F.lit(1.0))
     )
-    slices = max(1, 2 * n // SLICE)
     ordered = running(
         sent.withColumn("at", F.floor(F.col("finish") * slices)), [], "at",
         [F.col("finish"), F.col("source").asc_nulls_last(), F.col("tag"), F.col("size"), F.col("copy"), F.col("row")],

@@ -1,8 +1,9 @@
 """Quality rules as a short-circuit cascade.
 
-Each rule's cost and rejection rate are measured on a sample; the rules are then tried in the
-order of rejections per second, and the first that rejects a document ends its trial. The order
-never changes a verdict, only the time.
+Each rule's cost and rejection rate are measured on a sample, drawn in one scan and written; the
+rules are then tried in the order of rejections per second, and the first that rejects a document
+ends its trial. The order never changes a verdict, only the time: a caller who takes ``kept`` or
+``rejected_by`` without the measures has each measure taken only when its rule's turn comes.
 
 All measures are column expressions over one row: nothing is exploded or shuffled. Repeated
 5-word windows are found by hashing the windows of a text and counting distinct hashes; only a
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runtrail.llm.common import BLANKS, narrow, words_of
+from runtrail.llm.common import BLANKS, narrow, words_of, written
 
 SYMBOLS = "#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -99,7 +100,9 @@ RULES = (
 def order_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 1000) -> list[Rule]:
     """Rules by rejections per second, as measured on about ``sample_rows`` of ``docs``."""
     n = docs.count()
-    sample = docs.select("text").sample(min(1.0, sample_rows / max(n, 1)), seed=17)
+    drawn = docs.select("text").sample(min(1.0, sample_rows / max(n, 1)), seed=17)
+    # A sample reads its whole input, so it is drawn once for all rules.
+    sample = written(drawn, "quality-sample")
     worth = {}
     for rule in rules:
         measured = measures(F.col("text"), words_of(F.col("text")))
@@ -128,10 +131,13 @@ def judge_quality(
     """
     docs = narrow(docs, id_col, text_col, carry)
     ordered = order_rules(docs, rules, sample_rows)
-    worded = docs.withColumn("words", words_of(F.col("text")))
     found = measures(F.col("text"), F.col("words"))
-    measured = worded.select(
-        "doc_id", "text", *[found[m].alias(m) for m in MEASURES], *(["rest"] if carry else [])
+    # Several rules need the words and their number. Each other measure is used once by the
+    # cascade, so that Catalyst moves it there where nothing else asks for it.
+    counted = docs.withColumn("words", words_of(F.col("text"))).withColumn("n_words", found["n_words"])
+    measured = counted.select(
+        "doc_id", "text", *[F.col(m) if m == "n_words" else found[m].alias(m) for m in MEASURES],
+        *(["rest"] if carry else []),
     )
     base = F.lit(False)
     for rule in rules:
@@ -139,4 +145,4 @@ def judge_quality(
             base = base | F.expr(rule.sql)
     return measured.select(
         "*", base.alias("base_failed"), rejected_by(ordered).alias("rejected_by")
-    ).withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())
+    ).withColumn("kept", F.col("rejected_by").isNull())  # the base rules are among the rules

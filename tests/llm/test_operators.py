@@ -183,6 +183,17 @@ def test_rule_order_changes_no_verdict(docs):
     assert verdicts[0] == verdicts[1]
 
 
+def test_cascade_takes_measures_in_turn(docs):
+    """Where no measure is asked for, each stands within the cascade and is taken on its turn."""
+    judged = quality.judge_quality(docs)
+    plan = judged.select("doc_id", "kept")._jdf.queryExecution().optimizedPlan().toString()
+    for measure in quality.MEASURES[1:]:
+        assert f"AS {measure}#" not in plan
+    assert as_set(judged.select("doc_id", "kept"), "doc_id", "kept") == as_set(judged, "doc_id", "kept")
+    whole = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert all(f"AS {measure}#" in whole for measure in quality.MEASURES[1:])
+
+
 def test_archives(spark):
     page = "<html>" + "x" * 1200 + "</html>"
     data = [
@@ -264,8 +275,7 @@ def test_mix(spark, docs, empty):
     assert mixing.mix_sizes(empty).count() == 0
 
 
-def test_mixed_documents(docs, empty, monkeypatch):
-    monkeypatch.setattr(mixing, "SLICE", 4)
+def test_mixed_documents(docs, empty):
     mixed = mixing.mix_documents(docs).orderBy("mix_start").collect()
     at = 0
     for r in mixed:
