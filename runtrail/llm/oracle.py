@@ -118,10 +118,55 @@ SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
 FROM f
 """
 
+# The CRC-32 of a conversation's decimal id, bit by bit.
+TRIE = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT *, md5(length(role) || ':' || role || text) AS mark,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS place
+  FROM t),
+own AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT for i in range(8)]),
+             lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) % 6 AS head
+  FROM o GROUP BY conv_id),
+c AS (
+  SELECT a.conv_id, a.base, a.head, least(a.head, coalesce(b.n, 0)) AS taken,
+         least(a.head, coalesce(b.n, 0)) + greatest(a.n - a.head, 0) AS length
+  FROM own a LEFT JOIN own b ON b.conv_id = a.base),
+r AS (
+  SELECT c.conv_id, place AS depth, mark, text FROM c JOIN o ON o.conv_id = c.base AND place <= taken
+  UNION ALL SELECT c.conv_id, taken + place - head, mark, text FROM c JOIN o ON o.conv_id = c.conv_id AND place > head),
+p AS (
+  SELECT conv_id, depth, length(text) AS chars, list(mark) OVER (PARTITION BY conv_id ORDER BY depth) AS key FROM r
+  UNION ALL SELECT conv_id, 0, 0, [] FROM c),
+n AS (SELECT key, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(chars) AS chars FROM p GROUP BY key),
+m AS (SELECT p.conv_id, p.depth, n.conv_id AS node FROM p JOIN n ON p.key = n.key),
+f AS (
+  SELECT n.*, m.node AS parent FROM n LEFT JOIN m ON m.conv_id = n.conv_id AND m.depth = n.depth - 1),
+k AS (SELECT parent, depth - 1 AS depth, count(*) AS n_children FROM f WHERE depth > 0 GROUP BY parent, depth),
+g AS (SELECT f.*, coalesce(n_children, 0) AS n_children FROM f LEFT JOIN k ON k.parent = f.conv_id AND k.depth = f.depth),
+s AS (
+  SELECT m.node, m.depth, sum((g.n_children = 0)::BIGINT) AS n_leaves, sum((g.n_convs - 1) * g.chars) AS saved_tokens
+  FROM g JOIN m ON m.conv_id = g.conv_id AND m.depth <= g.depth GROUP BY m.node, m.depth),
+e AS (
+  SELECT m.node, m.depth, string_agg(m.conv_id::VARCHAR, ',' ORDER BY m.conv_id) AS ends
+  FROM m JOIN c ON c.conv_id = m.conv_id AND c.length = m.depth GROUP BY m.node, m.depth)
+SELECT g.conv_id, g.depth::BIGINT AS depth, g.parent AS parent_conv_id, g.n_convs::BIGINT AS n_convs,
+       g.n_children::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens,
+       sha256(coalesce(e.ends, '')) AS ends_sha256
+FROM g JOIN s ON s.node = g.conv_id AND s.depth = g.depth LEFT JOIN e ON e.node = g.conv_id AND e.depth = g.depth
+"""
+
 ORACLE = {
     "op5_quality": QUALITY,
     "op6_warc": WARC,
     "op7_url_filter": URLS,
     "op8_mix": MIX,
     "op10_line_dedup": LINES,
+    "op11_prefix_trie": TRIE,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runtrail.llm import language, toxicity
+from runtrail.llm.bpe import Vocabulary, decode_ids, encode_texts
 from runtrail.llm.common import words_of
 from runtrail.llm.decontaminate import find_contamination
 from runtrail.llm.language import learn_languages, predict_languages
@@ -15,8 +16,10 @@ from runtrail.llm.quality import judge_quality
 from runtrail.llm.simhash import near_duplicates
 from runtrail.llm.substrings import find_repeats
 from runtrail.llm.toxicity import learn_toxicity, score_toxicity
+from runtrail.llm.trie import ordered_turns, prefix_trie, rebuilt_turns
 from runtrail.llm.urls import Rule, filter_urls
 from runtrail.llm.warc import read_records, write_archives
+from runtrail.llm.whitening import whiten
 
 URL_RULES = [
     Rule("net", "/", "block"),
@@ -98,6 +101,29 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = ordered_turns(_table(spark, sf_dir, "conversations"))
+    conv = F.col("conv")
+    head = F.crc32(conv.cast("string").cast("binary")) % 6
+    return prefix_trie(*rebuilt_turns(turns, base=conv - conv % 100, head=head, most_head=5))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    encoded = encode_texts(_table(spark, sf_dir, "documents"), vocabulary)
+    decimals = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return decode_ids(encoded, vocabulary).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimals, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), k=16)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
@@ -109,4 +135,7 @@ QUERIES = {
     "op8_mix": op8_mix,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_bpe": op12_bpe,
+    "op13_whitening": op13_whitening,
 }

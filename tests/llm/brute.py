@@ -1,7 +1,9 @@
 """Plain versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter
 
 import xxhash
@@ -135,3 +137,46 @@ def quality(text):
     return (
         len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(real) - len(set(real)), len(covered),
     )
+
+
+def rebuilt(turns):
+    """Conversations put together anew from (id, turn, role, text)."""
+    own = {}
+    for conv, turn, role, text in turns:
+        if conv is not None:
+            role, text = role or "", text or ""
+            mark = hashlib.md5(f"{len(role)}:{role}{text}".encode()).digest()
+            own.setdefault(conv, []).append(((turn is not None, turn or 0, mark), role, text))
+    own = {c: [(r, t) for _, r, t in sorted(rows)] for c, rows in own.items()}
+    out = {}
+    for conv, rows in own.items():
+        h = zlib.crc32(str(conv).encode()) % 6
+        base = conv - int(math.fmod(conv, 100))
+        out[conv] = own.get(base, [])[:h] + rows[h:]
+    return out
+
+
+def trie(convs):
+    """Rows of the trie of {id: [(role, text), ...]}."""
+    members, ends = {}, {}
+    for conv, rows in convs.items():
+        for d in range(len(rows) + 1):
+            members.setdefault(tuple(rows[:d]), []).append(conv)
+        ends.setdefault(tuple(rows), []).append(conv)
+    children = {}
+    for key in members:
+        if key:
+            children.setdefault(key[:-1], []).append(key)
+    leaves, saved = {}, {}
+    for key in sorted(members, key=len, reverse=True):
+        below = children.get(key, [])
+        leaves[key] = sum(leaves[c] for c in below) if below else 1
+        own = (len(members[key]) - 1) * len(key[-1][1]) if key else 0
+        saved[key] = own + sum(saved[c] for c in below)
+    return [
+        (
+            min(own), len(key), min(members[key[:-1]]) if key else None, len(own), len(children.get(key, [])), leaves[key],
+            saved[key], sha(",".join(map(str, sorted(ends.get(key, [])))))
+        )
+        for key, own in members.items()
+    ]

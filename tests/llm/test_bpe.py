@@ -1,0 +1,101 @@
+"""Encoding and decoding against the library that the vocabulary is for."""
+
+import hashlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from odd_rows import as_set, docs, empty, rows  # noqa: F401
+
+from runtrail.llm import bpe
+from runtrail.llm.queries import QUERIES
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+tokenizers = pytest.importorskip("tokenizers")
+
+SMALL = "/root/testdata/sf0.001"
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ODD = [
+    "", " \n\t ", "aaaaaaaaaaaaaaaaaaaaaaa aaaa aaa aa a", "it's I'M we'll they'd 'S ''''s", "ΑΣ ΣΣΣ Σ σς ὈΔΥΣΣΕΎΣ", "İstanbul ẞ ǅ",
+    "été ﬁ 가", "１２３ ½ ² ٣٤", "a b c　d\x85e\x1cf\x1fg​h", "数据工程 データ 한국어", "😀😀👍🏽 \U0001f468‍\U0001f469",
+    "<|endoftext|>", "a<|startoftext|>B<|endoftext|><|endoftext|> c <|ENDOFTEXT|>", "### *** ok?!?!", "\x00\x01 � ",
+    "loooooooooooong" * 3000, "!" * 5000, "mississippi banana bananananana",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    own = tokenizers.Tokenizer.from_file(PATH)
+    own.no_truncation()
+    own.no_padding()
+    return own
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return bpe.Vocabulary(PATH)
+
+
+def expected(library, text):
+    ids = library.encode(text or "", add_special_tokens=False).ids
+    return ids, library.decode(ids, skip_special_tokens=False)
+
+
+def encoded(encoder, texts):
+    ids, counts = encoder.encode(texts)
+    return [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def test_odd_texts(library, vocabulary):
+    assert encoded(bpe.Encoder(vocabulary), ODD) == [expected(library, t)[0] for t in ODD]
+
+
+def test_merges_in_order_are_checked(vocabulary, tmp_path):
+    import json
+
+    with open(PATH, encoding="utf-8") as f:
+        file = json.load(f)
+    file["model"]["merges"].reverse()
+    (tmp_path / "wrong.json").write_text(json.dumps(file))
+    with pytest.raises(ValueError, match="ahead"):
+        bpe.Vocabulary(str(tmp_path / "wrong.json"))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs"], max_codepoint=0x2FFF), max_size=40), min_size=1, max_size=5))
+def test_any_text(texts):
+    own = tokenizers.Tokenizer.from_file(PATH) if not CACHE else CACHE[0]
+    CACHE[:] = [own, CACHE[1] if len(CACHE) > 1 else bpe.Encoder(bpe.Vocabulary(PATH))]
+    assert encoded(CACHE[1], texts) == [own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+CACHE: list = []
+
+
+def test_frames(spark, docs, empty, library, vocabulary, monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNK", 50000)
+    found = bpe.decode_ids(bpe.encode_texts(docs, vocabulary, carry=("row", "size")), vocabulary)
+    mine = sorted((r.doc_id, list(r.ids), r.decoded) for r in found.where("doc_id IS NOT NULL").collect())
+    assert mine == sorted((i, *expected(library, t)) for i, t in rows() if i is not None)
+    assert sorted(r.rest.row for r in found.collect()) == list(range(len(rows())))
+    assert bpe.encode_texts(empty, vocabulary).count() == 0
+    strange = spark.createDataFrame([(None,), ([],), ([-4, 256, 999999],)], "ids array<int>")
+    assert sorted(r.decoded for r in bpe.decode_ids(strange, vocabulary).collect()) == ["", "", "!</w>"]
+
+
+def test_pieces_may_be_forgotten(library, vocabulary, monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_PIECES", 5)
+    encoder = bpe.Encoder(vocabulary)
+    for _ in range(2):
+        assert encoded(encoder, ODD) == [expected(library, t)[0] for t in ODD]
+
+
+def test_query_equals_the_library(spark, library):
+    texts = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = []
+    for r in texts:
+        ids, decoded = expected(library, r.text)
+        want.append((r.doc_id, len(ids), sha(" ".join(map(str, ids))), sha(decoded)))
+    assert as_set(QUERIES["op12_bpe"](spark, SMALL), "*") == sorted(want, key=str)

@@ -18,7 +18,7 @@ NATIVE = ("op5_quality", "op7_url_filter", "op10_line_dedup")
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     return connection
 
@@ -31,7 +31,7 @@ def small(spark):
 def test_entry_points():
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
     assert set(ORACLE) <= set(entry_points.oracle_sql())
-    assert len(QUERIES) == 10
+    assert len(QUERIES) == 13
 
 
 @pytest.mark.parametrize("name", ORACLE)
