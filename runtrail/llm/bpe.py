@@ -22,9 +22,11 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -143,13 +145,14 @@ class PairIndex:
 
     def _merge(self, rank: int) -> None:
         lists = self.positions.pop(rank)
-        at = np.sort(np.concatenate(lists)) if len(lists) > 1 else lists[0]
+        at = np.concatenate(lists) if len(lists) > 1 else lists[0]
         left, right = self.vocabulary.left[rank], self.vocabulary.right[rank]
         # A listed pair is gone if another merge has taken one of its symbols.
         at = at[(self.symbol[at] == left) & (self.after[at] >= 0)]
         at = at[self.symbol[self.after[at]] == right]
         if left == right and len(at) > 1:
             # Of a run of equal symbols every second pair, from the left.
+            at = np.sort(at)
             follows = np.r_[False, self.after[at[:-1]] == at[1:]]
             place = np.arange(len(at))
             at = at[(place - np.maximum.accumulate(np.where(follows, 0, place))) % 2 == 0]
@@ -163,7 +166,9 @@ class PairIndex:
         inner = beyond >= 0
         self.before[beyond[inner]] = at[inner]
         ahead = self.before[at]
-        changed = np.unique(np.concatenate([ahead[ahead >= 0], at[inner]]))
+        # What was merged just now is among the positions already.
+        ahead = ahead[(ahead >= 0) & (self.symbol[ahead] != self.vocabulary.made[rank])]
+        changed = np.concatenate([ahead, at[inner]])
         if len(changed):
             self._list(changed)
 
@@ -221,10 +226,10 @@ class Encoder:
         if len(self.number) > KNOWN_PIECES:
             self._forget()
         cut = [self.pieces(t) for t in texts]
-        if new := list(dict.fromkeys(p for own in cut for p in own if p not in self.number)):
+        if new := list(set().union(*cut) - self.number.keys()):
             self._learn(new)
         lengths = np.array([len(own) for own in cut], np.int64)
-        number = np.fromiter((self.number[p] for own in cut for p in own), np.int64, int(lengths.sum()))
+        number = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), np.int64, int(lengths.sum()))
         counts = self.count[number]
         upto = np.r_[0, np.cumsum(counts)]
         starts = np.r_[0, np.cumsum(self.count)][number]
@@ -271,16 +276,21 @@ def decode_ids(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``encoded`` (its column ``ids``) with ``decoded``: the tokens joined by one space, as the
     vocabulary states no decoder. A null array decodes like an empty one.
     """
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary.tokens)
+    names = [vocabulary.tokens.get(i) for i in range(max(vocabulary.tokens) + 1)]
+    shared = encoded.sparkSession.sparkContext.broadcast(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.get
+        tokens = pa.array(shared.value, pa.large_string())
+        known = np.array([t is not None for t in shared.value])
         for batch in batches:
-            for a in range(0, len(batch), 64):
-                part = batch.slice(a, 64)
-                texts = [" ".join(filter(None, map(token, ids or ()))) for ids in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"]
-                )
+            lists = batch.column("ids")
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            ids = np.where((ids >= 0) & (ids < len(known)), ids, len(known))
+            kept = np.r_[known, False][ids]
+            upto = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))]
+            offsets = np.r_[0, np.cumsum(kept)][upto]
+            own = pa.LargeListArray.from_arrays(pa.array(offsets), tokens.take(pa.array(ids[kept])))
+            joined = pc.binary_join(own, pa.scalar(" ", pa.large_string())).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, joined], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, T.StructType(list(encoded.schema.fields)).add("decoded", "string"))
