@@ -24,6 +24,7 @@ twice AS (
 rep AS (SELECT row, count(DISTINCT i + k) AS n_repeat_words FROM twice, range(5) AS r(k) GROUP BY row),
 m AS (
   SELECT d.row, doc_id, len(words)::BIGINT AS n_words,
+         len(list_filter(words, lambda w: regexp_matches(w, '\p{{L}}'))) AS n_letter_words,
          length(regexp_replace(text, '{BLANKS}', '', 'g'))::BIGINT AS word_chars,
          len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
          coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
@@ -33,7 +34,8 @@ b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 10 * n_symbols > n_words
             OR word_chars < 2 * n_words OR word_chars > 15 * n_words
-            OR (n_dup_lines > 3 AND 20 * n_dup_lines > n_words)) AS kept
+            OR (n_dup_lines > 3 AND 20 * n_dup_lines > n_words)
+            OR 2 * n_letter_words < n_words) AS kept
 FROM b
 """
 

@@ -64,7 +64,7 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_quality(_table(spark, sf_dir, "documents")).drop("text", "rejected_by")
+    return judge_quality(_table(spark, sf_dir, "documents"), reported=True).drop("text", "rejected_by")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

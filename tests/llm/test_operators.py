@@ -1,5 +1,7 @@
 """Operators against plain versions, on rows with every oddity, and on empty tables."""
 
+import itertools
+
 import brute
 import numpy as np
 import pytest
@@ -194,6 +196,45 @@ def test_cascade_takes_measures_in_turn(docs):
     assert all(f"AS {measure}#" in whole for measure in quality.MEASURES[1:])
 
 
+def test_no_rule_order_takes_a_measure_early(docs):
+    """Every rule first, with every other one second: only the plan is made."""
+    for pair in itertools.permutations(quality.RULES, 2):
+        order = [*pair, *(r for r in quality.RULES if r not in pair)]
+        judged = quality.judge_quality(docs, order=order)
+        plan = judged.select("doc_id", "kept")._jdf.queryExecution().optimizedPlan().toString()
+        assert not any(f"AS {measure}#" in plan for measure in quality.MEASURES)
+
+
+def test_a_rule_waits_for_its_turn(spark):
+    """The costly rule is never asked about texts that an earlier rule has rejected."""
+    def fails(m):
+        return F.when(m["n_words"] < 5, F.raise_error(F.lit("asked too early"))).otherwise(m["n_letter_words"] < 0).cast("boolean")
+
+    few, late = quality.RULES[0], quality.Rule("late", ("n_words", "n_letter_words"), fails)
+    docs = spark.createDataFrame([(1, "one two"), (2, "word " * 20)], "doc_id long, text string")
+    for reported in (False, True):
+        found = quality.judge_quality(docs, order=[few, late], reported=reported)
+        assert as_set(found, "doc_id", "rejected_by") == [(1, "few_words"), (2, None)]
+        with pytest.raises(Exception, match="asked too early"):
+            quality.judge_quality(docs, order=[late, few], reported=reported).select("kept").collect()
+
+
+def test_rules_are_ordered_by_rejections_per_cost(docs, monkeypatch):
+    clock = iter(range(10**6))
+    monkeypatch.setattr(quality.time, "perf_counter", lambda: next(clock))
+    ordered = quality.order_rules(docs.select("doc_id", "text"))
+    by_name = {r.name: docs.select("text", quality.words_of(F.col("text")).alias("words")).where(
+        r.over(quality.measures(F.col("text"), F.col("words")))).count() for r in quality.RULES}
+    assert [by_name[r.name] for r in ordered] == sorted(by_name.values(), reverse=True)
+
+
+def test_reported_measures_give_the_same_verdicts(docs):
+    own, read = quality.judge_quality(docs), quality.judge_quality(docs, reported=True)
+    columns = ("doc_id", *quality.MEASURES, "base_failed", "kept")
+    assert as_set(own, *columns) == as_set(read, *columns)
+    assert {r.doc_id: r.rejected_by for r in quality.judge_quality(docs, order=list(quality.RULES)).collect()}[15] == "few_words"
+
+
 def test_archives(spark):
     page = "<html>" + "x" * 1200 + "</html>"
     data = [
