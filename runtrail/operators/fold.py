@@ -58,10 +58,16 @@ def fold_parts(log: DataFrame) -> DataFrame:
         | line.contains(fixed.EXIT_TEXT) | line.contains(fixed.DRIVER_TEXT)
     )
 
+    return picks_of_ids(log.where(candidate))
+
+
+def picks_of_ids(log: DataFrame, *by, keep: tuple = ()) -> DataFrame:
+    """The picks over all given lines, per run and whatever else they are grouped by."""
+
     def at_line(name):
         return f"CASE WHEN {name} IS NOT NULL THEN struct(line_no, {name} AS value) END"
 
-    return line_ids(log.where(candidate)).groupBy("run_id").agg(
+    return line_ids(log, *keep).groupBy("run_id", *by).agg(
         F.expr(f"max({at_line('application_id')}) AS last_application"),
         F.expr(f"min({at_line('application_id')}) AS first_application"),
         F.expr(f"max({at_line('driver_pod')}) AS last_pod"),

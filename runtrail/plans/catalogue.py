@@ -8,7 +8,7 @@ from runtrail.operators import fold, outcome, pages, polls
 from runtrail.plans import runs as plans
 from runtrail.sources import tables
 from runtrail.sources.derived import derived_stream, derived_table
-from runtrail.streaming import parts
+from runtrail.streaming import parts, timed
 from runtrail.streaming.workdir import new_folder
 
 # Variables every run starts with, and the address of the history service: site settings.
@@ -254,6 +254,38 @@ def stream_track_compacted(spark, sf_dir):
     return parts.read_track(spark, f"{folder}/parts", merged).select("run_id", *TRACKED)
 
 
+# Days at which the timed tables are cut, in the middle of some runs.
+TIME_CUTS = ("1997-03-05 00:03:30", "1999-06-01 00:04:30")
+
+
+def _time_slices(spark, sf_dir, name, time):
+    """Appends the named table to a folder, one span of time after another."""
+    path = f"{new_folder(spark, name)}/landed"
+    table = derived_table(spark, sf_dir, name)
+    for low, high in zip((None, *TIME_CUTS), (*TIME_CUTS, None)):
+        part = table if low is None else table.where(F.col(time) >= F.lit(low).cast("timestamp"))
+        part = part if high is None else part.where(F.col(time) < F.lit(high).cast("timestamp"))
+        part.write.mode("append").parquet(path)
+        yield path
+
+
+def stream_fold_evicting(spark, sf_dir):
+    """The stream stops after each span and goes on from its checkpoint when the next has landed."""
+    folder = new_folder(spark, "evicting-fold")
+    for landed in _time_slices(spark, sf_dir, "timed_log", "logged_at"):
+        lines = tables.stream_table(spark, "timed_log", landed)
+        timed.stream_fold_evicting(lines, f"{folder}/parts", f"{folder}/state").awaitTermination()
+    return timed.read_closed(spark, f"{folder}/parts").select(*FOLDED)
+
+
+def stream_track_timed(spark, sf_dir):
+    folder = new_folder(spark, "timed-track")
+    for landed in _time_slices(spark, sf_dir, "timed_polls", "polled_at"):
+        lines = tables.stream_table(spark, "timed_polls", landed)
+        timed.stream_track_timed(lines, f"{folder}/reports", f"{folder}/state").awaitTermination()
+    return timed.read_reports(spark, f"{folder}/reports")
+
+
 def stream_line_ids(spark, sf_dir):
     folder = new_folder(spark, "line-ids")
     found = fold.extract_line_ids(derived_stream(spark, sf_dir, "submit_log"))
@@ -302,7 +334,7 @@ QUERIES = {
         log_fetch_plan, cleanup_actions, app_log_address, first_history_reply, history_address,
         driver_log_links, first_log_text, cjk_lines, cjk_lines_of_bytes, run_report, stream_fold,
         stream_fold_stateful, stream_fold_compacted, stream_track, stream_track_compacted,
-        stream_line_ids, sink_run_facts, read_pod_log_bytes,
+        stream_fold_evicting, stream_track_timed, stream_line_ids, sink_run_facts, read_pod_log_bytes,
     )
 } | {
     "read_submit_log": _landed("submit_log", "parquet"),

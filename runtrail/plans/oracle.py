@@ -287,6 +287,16 @@ SELECTS = {
         LEFT JOIN page_texts t ON f.run_id = t.run_id"""),
     "stream_fold": ("folded", f"SELECT {_FOLDED} FROM folded"),
     "stream_fold_stateful": ("folded", f"SELECT {_FOLDED} FROM folded"),
+    "stream_fold_evicting": (("folded", "timed_log"), """
+        SELECT t.run_id, application_id, driver_pod, exit_code, driver_id, announced_application_id,
+          announced_line_no, coalesce(pod_notices, 0) AS pod_notices
+        FROM (SELECT run_id, max(logged_at) AS last FROM timed_log GROUP BY run_id) t
+        LEFT JOIN folded f ON t.run_id = f.run_id
+        WHERE last + INTERVAL 30 MINUTE <= (SELECT max(logged_at) - INTERVAL 1 HOUR FROM timed_log)"""),
+    "stream_track_timed": (("tracked", "timed_polls"), f"""
+        SELECT {_TRACKED}, stop_poll IS NULL AS silent FROM tracked
+        JOIN (SELECT run_id AS polled, max(polled_at) AS last FROM timed_polls GROUP BY run_id) ON run_id = polled
+        WHERE last + INTERVAL 30 MINUTE <= (SELECT max(polled_at) - INTERVAL 1 HOUR FROM timed_polls)"""),
     "stream_fold_compacted": ("folded", f"SELECT {_FOLDED} FROM folded"),
     "stream_track_compacted": ("tracked", f"SELECT {_TRACKED} FROM tracked"),
     "read_pod_log_bytes": ("pod_log_text", "SELECT run_id, hex(encode(log)) AS log FROM pod_log_text"),

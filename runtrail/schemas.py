@@ -12,6 +12,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 
@@ -41,6 +42,10 @@ LOG_PAGES = _table(run_id=LongType(), attempt=IntegerType(), html=StringType())
 POD_LOG = _table(run_id=LongType(), line_no=IntegerType(), line=StringType())
 POD_LOG_BYTES = _table(run_id=LongType(), log=BinaryType())
 
+# The same lines with the time at which they were written.
+TIMED_LOG = StructType([*SUBMIT_LOG.fields, StructField("logged_at", TimestampType())])
+TIMED_POLLS = StructType([*STATUS_POLLS.fields, StructField("polled_at", TimestampType())])
+
 TABLES = {
     "connections": CONNECTIONS,
     "runs": RUNS,
@@ -51,4 +56,6 @@ TABLES = {
     "executors": EXECUTORS,
     "log_pages": LOG_PAGES,
     "pod_log": POD_LOG,
+    "timed_log": TIMED_LOG,
+    "timed_polls": TIMED_POLLS,
 }

@@ -22,7 +22,7 @@ _RUN = "o_orderkey"
 # The columns the tables are derived from.
 BASES = {
     "nation": "n_nationkey bigint",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string, o_orderdate timestamp_ntz",
 }
 
 DERIVED = {
@@ -176,6 +176,13 @@ DERIVED = {
     ),
 }
 
+# Lines with their times: a minute apart, from the order's day on.
+for _name, _timed, _time, _number in (
+    ("submit_log", "timed_log", "logged_at", "line_no"), ("status_polls", "timed_polls", "polled_at", "poll_no"),
+):
+    _at = f"CAST(o_orderdate AS TIMESTAMP) + INTERVAL '1' MINUTE * {_number}"
+    DERIVED[_timed] = Derived("orders", DERIVED[_name].columns | {_time: _at}, DERIVED[_name].numbers)
+
 
 def derive(base: DataFrame, name: str) -> DataFrame:
     """The named table from its base table, batch or stream."""
