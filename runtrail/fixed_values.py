@@ -67,21 +67,37 @@ SECRET_VALUE = (
 )
 HIDDEN = "******"
 
-# Log pages.
+# Log pages. A quoted value may hold a closing bracket; possessive runs keep long tags linear.
 PRE_MARK = r"(?i)<pre(?:[\s/][^>]*)?>"
-PRE_LAST = r"(?is)^.*<pre(?:[\s/][^>]*)?>(.*?)(?:</pre\s*>|\z)"
-NOT_MARKUP = (
-    r"(?is)<!--.*?-->"
-    r"|<script\b.*?</script\s*>"
-    r"|<style\b.*?</style\s*>"
+_ATTRIBUTES = r"""(?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+>"""
+PAGE_PIECES = (
+    r"(?is)<!--.*?(?:-->|\z)"
+    rf"|<(script|style)(?=[\s/>]){_ATTRIBUTES}.*?(?:</\1\s*>|\z)"
+    rf"|</?[a-z]{_ATTRIBUTES}"
+    r"|<[!?][^>]*>"
+    r"|[^<]+|<"
 )
-MAY_HIDE_MARKUP = r"(?i)<!--|<script\b|<style\b"
+# The same pieces up to the first block, for a page that may hide one in a comment, script or value.
+PRE_AFTER_PIECES = (
+    r"(?is)\A(?:<!--.*?(?:-->|\z)"
+    rf"|<(script|style)(?=[\s/>]){_ATTRIBUTES}.*?(?:</\1\s*>|\z)"
+    rf"|<(?!pre[\s/>])/?[a-z]{_ATTRIBUTES}"
+    r"|<[!?][^>]*>"
+    r"|[^<]++|<(?!pre[\s/>]))*+"
+    rf"<pre(?=[\s/>]){_ATTRIBUTES}"
+)
+MAY_HIDE_MARKUP = r"""(?i)<!--|<script\b|<style\b|=\s*["']"""
+TAG_NAME = r"^</?([A-Za-z][^\s/>]*)"
 # A tag starts only before a letter, a declaration before ! or ?; any other bracket is text.
-TAG = r"(?s)</?[A-Za-z][^>]*>|<[!?][^>]*>"
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", "\xa0"),
-    ("&amp;", "&"),
+MARKUP = r"^<[/!?A-Za-z]."
+REFERENCES = r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[A-Za-z][A-Za-z0-9]*;?|[^&]+|&"
+NUMBER_REFERENCE = r"^&#[xX]?[0-9a-fA-F]"
+# Elements that have no content, in today's HTML and before; and those whose content is no markup.
+VOID_ELEMENTS = (
+    "area", "base", "basefont", "bgsound", "br", "col", "command", "embed", "frame", "hr", "image", "img", "input",
+    "isindex", "keygen", "link", "menuitem", "meta", "nextid", "param", "source", "spacer", "track", "wbr",
 )
+RAW_ELEMENTS = ("script", "style")
 
 # Chinese text in a pod log: from the first such character to the end of the line.
 CJK_MARK = r"[\u4E00-\u9FA5]"

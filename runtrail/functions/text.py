@@ -65,28 +65,6 @@ def names_state(line: Column):
     return F.coalesce(line.contains(fixed.STATE_TEXT), F.lit(False))
 
 
-def has_pre(html: Column):
-    """Whether a page has a ``<pre>`` block, without parsing the usual page."""
-    markup = F.regexp_replace(html, fixed.NOT_MARKUP, "")
-    return html.rlike(fixed.PRE_MARK) & F.when(
-        html.rlike(fixed.MAY_HIDE_MARKUP), markup.rlike(fixed.PRE_MARK)
-    ).otherwise(F.lit(True))
-
-
-def last_pre(html: Column):
-    """Text of the last ``<pre>`` block of a page; NULL where the page has none.
-
-    Comments, scripts and styles are removed first, then inner tags, and the entities
-    are decoded at the end so that decoded brackets are not taken for tags.
-    """
-    markup = F.regexp_replace(html, fixed.NOT_MARKUP, "")
-    blocks = F.regexp_extract_all(markup, F.lit(fixed.PRE_LAST), F.lit(1))
-    text = F.regexp_replace(F.try_element_at(blocks, F.lit(1)), fixed.TAG, "")
-    for entity, char in fixed.ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.when(html.rlike(fixed.PRE_MARK), text)
-
-
 def has_cjk(line: Column):
     return line.rlike(fixed.CJK_MARK)
 

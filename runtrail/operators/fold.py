@@ -96,6 +96,7 @@ def ids_of_parts(parts: DataFrame) -> DataFrame:
         "last_application.value AS application_id",
         "last_pod.value AS driver_pod",
         "try_cast(last_exit.value AS bigint) AS exit_code",
+        "last_exit.value AS exit_digits",
         "first_driver.value AS driver_id",
         "first_application.value AS announced_application_id",
         "first_application.line_no AS announced_line_no",
@@ -127,6 +128,7 @@ def route_ids(flagged_runs: DataFrame, ids: DataFrame) -> DataFrame:
         "CASE WHEN route = 'app' THEN application_id END AS application_id",
         "CASE WHEN route = 'pod' THEN driver_pod END AS driver_pod",
         "CASE WHEN route = 'pod' THEN exit_code END AS exit_code",
+        "CASE WHEN route = 'pod' THEN exit_digits END AS exit_digits",
         "CASE WHEN route = 'driver' THEN driver_id END AS driver_id",
         "CASE WHEN route = 'app' THEN announced_application_id END AS announced_application_id",
         "CASE WHEN route = 'app' THEN announced_line_no END AS announced_line_no",

@@ -1,6 +1,6 @@
 """What became of each run, and what is still to be done about it."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runtrail import fixed_values as fixed
@@ -25,15 +25,17 @@ def classify_runs(routed: DataFrame, stops: DataFrame) -> DataFrame:
 
     ``stops`` holds the runs whose tracking has stopped. The first case that holds counts.
     Nothing is decided before the launcher has returned. A run on Kubernetes fails unless its
-    exit code is known to be 0, and a tracked run that has not stopped is still running.
+    exit code is known to be 0 (``exit_digits``, if there, tells a code too large for a number from
+    none), and a tracked run that has not stopped is still running.
     What the polls say is NULL for runs that are never tracked: not standalone, without a
     driver id, or not submitted.
     """
+    digits = "exit_digits" if "exit_digits" in routed.columns else "exit_code"
     cases = [
         ("returncode IS NULL", fixed.STILL_RUNNING, "no return code"),
         ("returncode != 0", fixed.SUBMIT_FAILED, "return code"),
-        ("is_k8s AND exit_code IS NULL", fixed.SUBMIT_FAILED, "no exit code"),
-        ("is_k8s AND exit_code != 0", fixed.SUBMIT_FAILED, "exit code"),
+        (f"is_k8s AND {digits} IS NULL", fixed.SUBMIT_FAILED, "no exit code"),
+        ("is_k8s AND NOT exit_code <=> 0", fixed.SUBMIT_FAILED, "exit code"),
         ("is_tracked AND driver_id IS NULL", fixed.NO_DRIVER_ID, "no driver id"),
         ("is_tracked AND stop_poll IS NULL", fixed.STILL_RUNNING, "no final poll"),
         ("is_tracked AND gave_up", fixed.POLL_GAVE_UP, "failed polls"),
@@ -80,18 +82,20 @@ def error_texts(
     return classified.withColumn("error_text", text)
 
 
-def log_fetch_plan(classified: DataFrame) -> DataFrame:
+def log_fetch_plan(classified: DataFrame, page_ready: Column | None = None) -> DataFrame:
     """Add whether the driver's log is wanted, from which places.
 
     It is wanted after a failed submit and after success. On YARN it needs an application
-    id, and without one the pod log is not read either.
+    id and a page with a log in time; without either the pod log is not read. ``page_ready``
+    says of a run whether it had such a page; without it all had.
     """
     wanted = F.col("outcome").isin(fixed.SUBMIT_FAILED, fixed.SUCCESS)
-    has_app = F.col("application_id").isNotNull()
+    on_yarn = F.col("is_yarn") & F.col("application_id").isNotNull()
+    page = F.lit(True) if page_ready is None else page_ready
     return classified.withColumns({
         "fetch_log": wanted,
-        "fetch_yarn": wanted & F.col("is_yarn") & has_app,
-        "fetch_pod": wanted & F.col("is_k8s") & (~F.col("is_yarn") | has_app),
+        "fetch_yarn": wanted & on_yarn,
+        "fetch_pod": wanted & F.col("is_k8s") & (~F.col("is_yarn") | (on_yarn & page)),
     })
 
 
@@ -100,8 +104,9 @@ def cleanup_actions(routed: DataFrame) -> DataFrame:
 
     The application and the pod are only listed while the launcher is alive.
     """
+    program = command.executable(F.col("spark_home"), F.col("binary"))
     alive = F.coalesce(F.col("launcher_alive"), F.lit(False))
-    kill = F.concat(F.lit("--master "), F.col("master"), F.lit(" --kill "), F.col("driver_id"))
+    kill = F.concat(program, F.lit(" --master "), F.col("master"), F.lit(" --kill "), F.col("driver_id"))
     nothing = F.lit(None).cast("string")
 
     def action(holds, seq, kind, target, namespace=nothing):

@@ -1,11 +1,12 @@
 """Facts from service replies, log pages and pod logs."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runtrail import fixed_values as fixed
 from runtrail.functions import replies
-from runtrail.functions.text import cjk_text, cjk_texts, has_cjk, has_pre, last_pre
+from runtrail.functions.html import has_pre, last_pre
+from runtrail.functions.text import cjk_text, cjk_texts, has_cjk
 
 
 def app_log_address(app_info: DataFrame) -> DataFrame:
@@ -66,6 +67,12 @@ def driver_log_links(executors: DataFrame) -> DataFrame:
     )
 
 
+def page_attempts(pages: DataFrame, max_attempts: int | None = fixed.PAGE_ATTEMPTS) -> DataFrame:
+    """``page_attempt``: the first within ``max_attempts`` tries with a log, NULL if none has one."""
+    ready = F.when(_within(max_attempts) & has_pre(F.col("html")), F.col("attempt"))
+    return pages.groupBy("run_id").agg(F.min(ready).alias("page_attempt"))
+
+
 def first_log_text(
     pages: DataFrame, max_attempts: int | None = fixed.PAGE_ATTEMPTS
 ) -> DataFrame:
@@ -89,6 +96,14 @@ def cjk_lines(pod_log: DataFrame) -> DataFrame:
     )
 
 
+def pod_texts(pod_log: DataFrame) -> DataFrame:
+    """Per run with Chinese lines in its pod log: how many, the first and the last text."""
+    text = F.struct("line_no", "cjk_text")
+    return cjk_lines(pod_log).groupBy("run_id").agg(
+        F.count("*").alias("pod_lines"), F.min(text)["cjk_text"].alias("pod_first"), F.max(text)["cjk_text"].alias("pod_last")
+    )
+
+
 def cjk_lines_of_bytes(pod_log: DataFrame) -> DataFrame:
     """The same for pod logs given whole as bytes.
 
@@ -100,3 +115,63 @@ def cjk_lines_of_bytes(pod_log: DataFrame) -> DataFrame:
         "run_id", texts, "invalid_utf8"
     )
     return rows.where(F.col("cjk_text").isNotNull() | F.col("invalid_utf8"))
+
+
+def _cut_chunks(chunks: DataFrame) -> DataFrame:
+    """What one chunk can tell by itself: ``head``, the bytes up to its first line end (all of them
+    if it has none), ``tail``, those after its last one (null if it has none), and of the whole lines
+    in between the Chinese ``texts``, null where they are not UTF-8.
+
+    ISO-8859-1 turns bytes into characters one by one, so that text functions can cut anywhere.
+    """
+    latin = F.decode(F.coalesce("bytes", F.lit(b"")), "ISO-8859-1")
+    with_text = chunks.select("run_id", "chunk_no", latin.alias("latin"))
+    first = F.instr("latin", "\n")
+    last = F.length("latin") - F.instr(F.reverse("latin"), "\n") + 1
+    placed = with_text.select("*", first.alias("first"), last.alias("last"))
+    middle = F.substring("latin", F.col("first") + 1, F.greatest(F.col("last") - F.col("first"), F.lit(0)))
+    ended = F.col("first") > 0
+    return placed.select(
+        "run_id", "chunk_no", ended.alias("ended"),
+        F.when(ended, F.substring("latin", F.lit(1), F.col("first") - 1)).otherwise(F.col("latin")).alias("head"),
+        F.when(ended, F.substring("latin", F.col("last") + 1, F.length("latin"))).alias("tail"),
+        F.when(ended, cjk_texts(F.encode(middle, "ISO-8859-1"))).otherwise(F.array().cast("array<string>")).alias("texts"),
+    )
+
+
+def cjk_lines_of_chunks(chunks: DataFrame) -> DataFrame:
+    """The same as ``cjk_lines_of_bytes`` for pod logs cut into chunks anywhere, inside characters too.
+
+    Each chunk is read by itself; only the pieces of the lines that a cut went through meet, keyed by
+    the chunk that a line starts in, and are put together in order. What comes before a chunk is
+    known from numbers alone: the last chunk with a line end, and how many texts there were. So a log
+    of any length spreads over all tasks by its chunks; a task holds a chunk, or a line. A null
+    chunk is empty; ``chunk_no`` is unique within its run.
+    """
+    cut = _cut_chunks(chunks)
+    earlier = Window.partitionBy("run_id").orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, -1)
+    starts_in = F.coalesce(F.max(F.when(F.col("ended"), F.col("chunk_no"))).over(earlier), F.lit(-1))
+    openers = cut.select("run_id", "chunk_no", "ended").select("run_id", "chunk_no", starts_in.alias("line"))
+    heads = cut.select("run_id", "chunk_no", F.col("head").alias("piece")).join(openers, ["run_id", "chunk_no"])
+    tails = cut.where("ended").select("run_id", "chunk_no", F.col("tail").alias("piece"), F.col("chunk_no").alias("line"))
+    pieces = heads.unionByName(tails).where("piece <> ''")
+    whole = F.array_sort(F.collect_list(F.struct("chunk_no", "piece")))
+    joined = F.array_join(F.transform(whole, lambda p: p["piece"]), "")
+    lines = pieces.groupBy("run_id", F.col("line").alias("chunk_no")).agg(joined.alias("latin"))
+    # The line that starts in a chunk comes after the lines that lie in it.
+    of_lines = lines.select("run_id", "chunk_no", F.lit(1).alias("part"), cjk_texts(F.encode("latin", "ISO-8859-1")).alias("texts"))
+    of_chunks = cut.select("run_id", "chunk_no", F.lit(0).alias("part"), "texts")
+    found = of_chunks.unionByName(of_lines).where("texts IS NULL OR size(texts) > 0")
+    order = Window.partitionBy("run_id").orderBy("chunk_no", "part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = found.select("run_id", "chunk_no", "part", F.size("texts").alias("n"), F.col("texts").isNull().alias("invalid"))
+    broken = counts.groupBy("run_id").agg(F.max("invalid").alias("invalid_utf8"))
+    before = counts.select("run_id", "chunk_no", "part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+    numbered = found.join(before, ["run_id", "chunk_no", "part"]).join(broken.where("NOT invalid_utf8"), "run_id").select(
+        "run_id", F.posexplode("texts").alias("at", "cjk_text"), "before", "invalid_utf8"
+    )
+    nothing = broken.where("invalid_utf8").selectExpr(
+        "run_id", "CAST(NULL AS INT) AS text_no", "CAST(NULL AS STRING) AS cjk_text", "invalid_utf8"
+    )
+    return numbered.select(
+        "run_id", (F.col("before") + F.col("at")).cast("int").alias("text_no"), "cjk_text", "invalid_utf8"
+    ).unionByName(nothing)

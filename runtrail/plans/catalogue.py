@@ -9,7 +9,7 @@ from runtrail.plans import runs as plans
 from runtrail.sources import tables
 from runtrail.sources.derived import derived_stream, derived_table
 from runtrail.streaming import parts, timed
-from runtrail.streaming.workdir import new_folder
+from runtrail.sources.workdir import new_folder
 
 # Variables every run starts with, and the address of the history service: site settings.
 BASE_ENV = {"PATH": "/usr/bin", "SPARK_USER": "platform"}
@@ -159,7 +159,9 @@ def classify_runs(spark, sf_dir):
 
 
 def log_fetch_plan(spark, sf_dir):
-    return outcome.log_fetch_plan(_outcomes(spark, sf_dir)).select(
+    ready = pages.page_attempts(derived_table(spark, sf_dir, "log_pages"))
+    outcomes = _outcomes(spark, sf_dir).join(ready.hint("merge"), "run_id", "left")
+    return outcome.log_fetch_plan(outcomes, F.col("page_attempt").isNotNull()).select(
         "run_id", "outcome", "fetch_log", "fetch_yarn", "fetch_pod"
     )
 
@@ -196,18 +198,30 @@ def cjk_lines(spark, sf_dir):
     return pages.cjk_lines(derived_table(spark, sf_dir, "pod_log"))
 
 
-def cjk_lines_of_bytes(spark, sf_dir):
+def _pod_logs(spark, sf_dir):
     """Pod logs as bytes; every tenth is cut inside a character and so is not UTF-8."""
     log = F.encode("log", "UTF-8")
     broken = F.concat(log, F.unhex(F.lit("E9")))
-    logs = derived_table(spark, sf_dir, "pod_log_text").select(
+    return derived_table(spark, sf_dir, "pod_log_text").select(
         "run_id", F.when(F.col("run_id") % 10 == 3, broken).otherwise(log).alias("log")
     )
-    return pages.cjk_lines_of_bytes(logs)
+
+
+def cjk_lines_of_bytes(spark, sf_dir):
+    return pages.cjk_lines_of_bytes(_pod_logs(spark, sf_dir))
+
+
+def cjk_lines_of_chunks(spark, sf_dir):
+    """The logs of ``cjk_lines_of_bytes``, cut into chunks of 5 to 33 bytes."""
+    size = F.lit(5) + F.col("run_id") % 29
+    cuts = F.sequence(F.lit(0), F.floor((F.length("log") - 1) / size))
+    chunks = _pod_logs(spark, sf_dir).select("run_id", "log", F.explode(cuts).alias("chunk_no"))
+    cut = F.substring("log", (F.col("chunk_no") * size + 1).cast("int"), size.cast("int"))
+    return pages.cjk_lines_of_chunks(chunks.select("run_id", "chunk_no", cut.alias("bytes")))
 
 
 def run_report(spark, sf_dir):
-    names = ("runs", "connections", "submit_log", "status_polls", "app_info", "log_pages")
+    names = ("runs", "connections", "submit_log", "status_polls", "app_info", "log_pages", "pod_log")
     return plans.run_report(*_tables(*names)(spark, sf_dir))
 
 
@@ -238,19 +252,29 @@ def stream_track(spark, sf_dir):
     return parts.read_track(spark, f"{folder}/parts").select("run_id", *TRACKED)
 
 
+def _landed_stream(spark, sf_dir, name, batches=4):
+    """The named table landed in files, as a stream that takes it in so many batches."""
+    path = f"{new_folder(spark, name)}/landed"
+    derived_table(spark, sf_dir, name).repartition(2 * batches).write.parquet(path)
+    return tables.stream_table(spark, name, path, maxFilesPerTrigger=2)
+
+
 def stream_fold_compacted(spark, sf_dir):
+    """Compacted twice, each time leaving newer batches to be read as they are."""
     folder = new_folder(spark, "stream-fold")
-    lines = derived_stream(spark, sf_dir, "submit_log")
+    lines = _landed_stream(spark, sf_dir, "submit_log")
     parts.stream_fold(lines, f"{folder}/parts", f"{folder}/state").awaitTermination()
-    merged = parts.compact_fold(spark, f"{folder}/parts", 0, f"{folder}/merged")
+    merged = parts.compact_fold(spark, f"{folder}/parts", 0, f"{folder}/merged-0")
+    merged = parts.compact_fold(spark, f"{folder}/parts", 2, f"{folder}/merged-2", last=merged)
     return parts.read_fold(spark, f"{folder}/parts", merged).select(*FOLDED)
 
 
 def stream_track_compacted(spark, sf_dir):
     folder = new_folder(spark, "stream-track")
-    stream = derived_stream(spark, sf_dir, "status_polls")
+    stream = _landed_stream(spark, sf_dir, "status_polls")
     parts.stream_track(stream, f"{folder}/parts", f"{folder}/state").awaitTermination()
-    merged = parts.compact_track(spark, f"{folder}/parts", 0, f"{folder}/merged")
+    merged = parts.compact_track(spark, f"{folder}/parts", 0, f"{folder}/merged-0")
+    merged = parts.compact_track(spark, f"{folder}/parts", 2, f"{folder}/merged-2", last=merged)
     return parts.read_track(spark, f"{folder}/parts", merged).select("run_id", *TRACKED)
 
 
@@ -305,6 +329,14 @@ def _landed(name, fmt):
     return query
 
 
+def read_submit_log_text(spark, sf_dir):
+    """One file of plain lines per run."""
+    path = f"{new_folder(spark, 'submit-log')}/text"
+    log = derived_table(spark, sf_dir, "submit_log").repartition("run_id").sortWithinPartitions("run_id", "line_no")
+    log.select("run_id", "line").write.partitionBy("run_id").text(path)
+    return tables.read_submit_log_text(spark, path).withColumn("line_no", F.col("line_no").cast("int"))
+
+
 def sink_run_facts(spark, sf_dir):
     path = f"{new_folder(spark, 'facts')}/runs"
     dates = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
@@ -332,9 +364,10 @@ QUERIES = {
         resolve_connections_via_operator, deployment_flags, executable_path, env_overlay,
         mask_command, tokenize_command, error_text, poll_address, fold_polls, track_polls,
         log_fetch_plan, cleanup_actions, app_log_address, first_history_reply, history_address,
-        driver_log_links, first_log_text, cjk_lines, cjk_lines_of_bytes, run_report, stream_fold,
+        driver_log_links, first_log_text, cjk_lines, cjk_lines_of_bytes, cjk_lines_of_chunks, run_report, stream_fold,
         stream_fold_stateful, stream_fold_compacted, stream_track, stream_track_compacted,
         stream_fold_evicting, stream_track_timed, stream_line_ids, sink_run_facts, read_pod_log_bytes,
+        read_submit_log_text,
     )
 } | {
     "read_submit_log": _landed("submit_log", "parquet"),

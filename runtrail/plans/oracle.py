@@ -9,6 +9,7 @@ BLOCKS = {
         SELECT run_id, line_no,
           nullif(regexp_extract(line, '(application[0-9_]+)', 1), '') AS application_id,
           nullif(regexp_extract(line, 'pod name: ((.+?)-([a-z0-9]+)-driver)', 1), '') AS driver_pod,
+          nullif(regexp_extract(line, 'exit code: (\d+)', 1), '') AS exit_digits,
           TRY_CAST(nullif(regexp_extract(line, 'exit code: (\d+)', 1), '') AS BIGINT) AS exit_code,
           nullif(regexp_extract(line, '(driver-[0-9\-]+)', 1), '') AS driver_id
         FROM submit_log"""),
@@ -16,7 +17,7 @@ BLOCKS = {
         SELECT run_id,
           arg_max(application_id, line_no) FILTER (WHERE application_id IS NOT NULL) AS application_id,
           arg_max(driver_pod, line_no) FILTER (WHERE driver_pod IS NOT NULL) AS driver_pod,
-          arg_max(exit_code, line_no) FILTER (WHERE exit_code IS NOT NULL) AS exit_code,
+          TRY_CAST(arg_max(exit_digits, line_no) FILTER (WHERE exit_digits IS NOT NULL) AS BIGINT) AS exit_code,
           arg_min(driver_id, line_no) FILTER (WHERE driver_id IS NOT NULL) AS driver_id,
           arg_min(application_id, line_no) FILTER (WHERE application_id IS NOT NULL)
             AS announced_application_id,
@@ -52,6 +53,7 @@ BLOCKS = {
         SELECT l.run_id, l.line_no, f.route,
           CASE WHEN f.route = 'app' THEN l.application_id END AS application_id,
           CASE WHEN f.route = 'pod' THEN l.driver_pod END AS driver_pod,
+          CASE WHEN f.route = 'pod' THEN l.exit_digits END AS exit_digits,
           CASE WHEN f.route = 'pod' THEN l.exit_code END AS exit_code,
           CASE WHEN f.route = 'driver' THEN l.driver_id END AS driver_id
         FROM line_ids l LEFT JOIN flags f ON l.run_id = f.run_id"""),
@@ -59,7 +61,8 @@ BLOCKS = {
         SELECT run_id,
           arg_max(application_id, line_no) FILTER (WHERE application_id IS NOT NULL) AS application_id,
           arg_max(driver_pod, line_no) FILTER (WHERE driver_pod IS NOT NULL) AS driver_pod,
-          arg_max(exit_code, line_no) FILTER (WHERE exit_code IS NOT NULL) AS exit_code,
+          arg_max(exit_digits, line_no) FILTER (WHERE exit_digits IS NOT NULL) AS exit_digits,
+          TRY_CAST(arg_max(exit_digits, line_no) FILTER (WHERE exit_digits IS NOT NULL) AS BIGINT) AS exit_code,
           arg_min(driver_id, line_no) FILTER (WHERE driver_id IS NOT NULL) AS driver_id,
           arg_min(application_id, line_no) FILTER (WHERE application_id IS NOT NULL)
             AS announced_application_id,
@@ -67,7 +70,7 @@ BLOCKS = {
           count(driver_pod) AS pod_notices
         FROM routed_lines GROUP BY run_id"""),
     "routed": (("flags", "routed_ids"), """
-        SELECT f.*, i.application_id, i.driver_pod, i.exit_code, i.driver_id,
+        SELECT f.*, i.application_id, i.driver_pod, i.exit_code, i.exit_digits, i.driver_id,
           i.announced_application_id, i.announced_line_no,
           coalesce(i.pod_notices, 0) AS pod_notices
         FROM flags f LEFT JOIN routed_ids i ON f.run_id = i.run_id"""),
@@ -129,18 +132,24 @@ BLOCKS = {
             ELSE 'SUCCESS' END AS outcome,
           CASE WHEN r.returncode IS NULL THEN 'no return code'
             WHEN r.returncode <> 0 THEN 'return code'
-            WHEN r.is_k8s AND r.exit_code IS NULL THEN 'no exit code'
-            WHEN r.is_k8s AND r.exit_code <> 0 THEN 'exit code'
+            WHEN r.is_k8s AND r.exit_digits IS NULL THEN 'no exit code'
+            WHEN r.is_k8s AND r.exit_code IS DISTINCT FROM 0 THEN 'exit code'
             WHEN r.is_tracked AND r.driver_id IS NULL THEN 'no driver id'
             WHEN r.is_tracked AND s.run_id IS NULL THEN 'no final poll'
             WHEN r.is_tracked AND s.gave_up THEN 'failed polls'
             WHEN r.is_tracked AND s.tracked_state = 'MALFORMED' THEN 'malformed status'
             WHEN r.is_tracked AND s.driver_state <> 'FINISHED' THEN 'driver state' END AS reason
         FROM routed r LEFT JOIN stops s ON r.run_id = s.run_id"""),
-    "fetches": (("outcomes",), """
+    "fetches": (("outcomes", "page_texts"), """
         SELECT *, fetch_log AND is_yarn AND application_id IS NOT NULL AS fetch_yarn,
-          fetch_log AND is_k8s AND NOT (is_yarn AND application_id IS NULL) AS fetch_pod
-        FROM (SELECT *, outcome IN ('SUBMIT_FAILED', 'SUCCESS') AS fetch_log FROM outcomes)"""),
+          fetch_log AND is_k8s AND (NOT is_yarn OR (application_id IS NOT NULL AND page_attempt IS NOT NULL)) AS fetch_pod
+        FROM (SELECT o.*, t.attempt AS page_attempt, outcome IN ('SUBMIT_FAILED', 'SUCCESS') AS fetch_log
+          FROM outcomes o LEFT JOIN page_texts t ON o.run_id = t.run_id)"""),
+    "pod_texts": (("pod_log",), r"""
+        SELECT run_id, count(*) AS pod_lines, arg_min(text, line_no) AS pod_first, arg_max(text, line_no) AS pod_last
+        FROM (SELECT *, regexp_extract(line, '[\x{4E00}-\x{9FA5}]+.*', 0) AS text FROM pod_log
+          WHERE regexp_matches(line, '[\x{4E00}-\x{9FA5}]'))
+        GROUP BY run_id"""),
     "errors": (("outcomes", "masked"), """
         SELECT o.run_id, o.outcome, CASE
           WHEN o.outcome = 'SUBMIT_FAILED' THEN 'Cannot execute: ' || m.masked_command
@@ -168,11 +177,15 @@ BLOCKS = {
           arg_min(log_text, attempt) FILTER (WHERE log_text IS NOT NULL) AS log_text,
           count(*) FILTER (attempt > 11) AS beyond_limit
         FROM (SELECT run_id, attempt, CASE WHEN attempt <= 11 THEN
-            replace(replace(replace(replace(replace(
-              regexp_extract_all(html, '<pre(?:[\s/][^>]*)?>(.*?)</pre\s*>', 1, 'si')[-1],
-              '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&')
+            replace(replace(replace(replace(list_reduce(
+              list_concat([raw], regexp_extract_all(raw, '&#x?[0-9a-fA-F]+;')),
+              lambda t, r: replace(t, r, chr(replace(replace(r[3:-2], 'x', '0x'), '00x', '0x')::INTEGER))),
+              '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')
             END AS log_text
-          FROM log_pages)
+          FROM (SELECT run_id, attempt, regexp_replace(regexp_replace(
+              regexp_extract_all(html, '<pre(?:\s(?:[^>\x27"]|\x27[^\x27]*\x27|"[^"]*")*)?>(.*?)</(?:pre\s*|div)>', 1, 'si')[-1],
+              '^.*<pre>', '', 's'), '</?[A-Za-z][^>]*>', '', 'g') AS raw
+            FROM log_pages))
         GROUP BY run_id"""),
     "log_addresses": (("app_info",), """
         SELECT run_id, json_extract_string(body, '$.app.amContainerLogs') AS log_address
@@ -187,6 +200,14 @@ _SPACE = (
 )
 _BASE_NAMES = ", ".join(f"'{name}'" for name in sorted(BASE_ENV))
 
+CJK_OF_BYTES = r"""
+        SELECT run_id, CAST(generate_subscripts(texts, 1) - 1 AS INTEGER) AS text_no,
+          unnest(texts) AS cjk_text, false AS invalid_utf8
+        FROM (SELECT run_id,
+            regexp_extract_all(log, '[\x{4E00}-\x{9FA5}]+[^\n]*') AS texts
+          FROM pod_log_text WHERE run_id % 10 <> 3)
+        UNION ALL SELECT run_id, NULL, NULL, true FROM pod_log_text WHERE run_id % 10 = 3"""
+
 # Queries: name -> (block, SELECT).
 SELECTS = {
     "classify_runs": ("outcomes", f"""
@@ -196,12 +217,12 @@ SELECTS = {
     "strip_lines": ("submit_log", f"""
         SELECT run_id, line_no, regexp_replace(line, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g') AS line
         FROM submit_log"""),
-    "extract_line_ids": ("line_ids", "SELECT * FROM line_ids"),
+    "extract_line_ids": ("line_ids", "SELECT * EXCLUDE (exit_digits) FROM line_ids"),
     "strict_application_ids": ("submit_log", r"""
         SELECT run_id, line_no,
           nullif(regexp_extract(line, '(application_\d+_\d+)', 1), '') AS application_id
         FROM submit_log"""),
-    "route_lines": ("routed_lines", "SELECT * FROM routed_lines"),
+    "route_lines": ("routed_lines", "SELECT * EXCLUDE (exit_digits) FROM routed_lines"),
     "fold_routed_log": ("routed", f"SELECT run_id, route, {_IDS} FROM routed"),
     "id_notices": ("routed", """
         SELECT run_id, announced_application_id, announced_line_no, pod_notices FROM routed"""),
@@ -237,10 +258,10 @@ SELECTS = {
     "track_polls": ("tracked", f"SELECT {_TRACKED} FROM tracked"),
     "log_fetch_plan": ("fetches", """
         SELECT run_id, outcome, fetch_log, fetch_yarn, fetch_pod FROM fetches"""),
-    "cleanup_actions": ("routed", """
+    "cleanup_actions": (("routed", "programs"), """
         SELECT run_id, 1 AS seq, 'driver' AS kind,
-          '--master ' || master || ' --kill ' || driver_id AS target, NULL AS namespace
-        FROM routed WHERE cancelled AND is_tracked AND driver_id IS NOT NULL
+          executable || ' --master ' || r.master || ' --kill ' || driver_id AS target, NULL AS namespace
+        FROM routed r JOIN (SELECT run_id, executable FROM programs) USING (run_id) WHERE cancelled AND is_tracked AND driver_id IS NOT NULL
         UNION ALL SELECT run_id, 2, 'launcher', "binary", NULL
         FROM routed WHERE cancelled AND launcher_alive
         UNION ALL SELECT run_id, 3, 'application', 'yarn application -kill ' || application_id, NULL
@@ -267,24 +288,23 @@ SELECTS = {
     "cjk_lines": ("pod_log", r"""
         SELECT run_id, line_no, regexp_extract(line, '[\x{4E00}-\x{9FA5}]+.*', 0) AS cjk_text
         FROM pod_log WHERE regexp_matches(line, '[\x{4E00}-\x{9FA5}]')"""),
-    "cjk_lines_of_bytes": ("pod_log_text", r"""
-        SELECT run_id, CAST(generate_subscripts(texts, 1) - 1 AS INTEGER) AS text_no,
-          unnest(texts) AS cjk_text, false AS invalid_utf8
-        FROM (SELECT run_id,
-            regexp_extract_all(log, '[\x{4E00}-\x{9FA5}]+[^\n]*') AS texts
-          FROM pod_log_text WHERE run_id % 10 <> 3)
-        UNION ALL SELECT run_id, NULL, NULL, true FROM pod_log_text WHERE run_id % 10 = 3"""),
+    "cjk_lines_of_bytes": ("pod_log_text", CJK_OF_BYTES),
+    "cjk_lines_of_chunks": ("pod_log_text", CJK_OF_BYTES),
     "run_report": (
-        ("fetches", "programs", "masked", "errors", "addresses", "log_addresses", "page_texts"), """
+        ("fetches", "programs", "masked", "errors", "addresses", "log_addresses", "page_texts", "pod_texts"), """
         SELECT f.run_id, f.conn_id, f.master, f.deploy_mode, f.queue, f.namespace, p.executable,
           m.masked_command, f.application_id, f.driver_pod, f.exit_code, f.driver_id,
           f.tracked_state, f.misses, f.outcome, f.reason, e.error_text, a.poll_address,
           CASE WHEN f.fetch_yarn THEN l.log_address END AS log_address,
-          CASE WHEN f.fetch_yarn THEN t.log_text END AS log_text, f.fetch_pod
+          CASE WHEN f.fetch_yarn THEN t.log_text END AS log_text, f.fetch_pod,
+          CASE WHEN f.fetch_pod THEN coalesce(pod_lines, 0) END AS pod_lines,
+          CASE WHEN f.fetch_pod THEN pod_first END AS pod_first,
+          CASE WHEN f.fetch_pod THEN pod_last END AS pod_last
         FROM fetches f JOIN programs p ON f.run_id = p.run_id JOIN masked m ON f.run_id = m.run_id
         JOIN errors e ON f.run_id = e.run_id JOIN addresses a ON f.run_id = a.run_id
         LEFT JOIN log_addresses l ON f.run_id = l.run_id
-        LEFT JOIN page_texts t ON f.run_id = t.run_id"""),
+        LEFT JOIN page_texts t ON f.run_id = t.run_id
+        LEFT JOIN pod_texts d ON f.run_id = d.run_id"""),
     "stream_fold": ("folded", f"SELECT {_FOLDED} FROM folded"),
     "stream_fold_stateful": ("folded", f"SELECT {_FOLDED} FROM folded"),
     "stream_fold_evicting": (("folded", "timed_log"), """
@@ -300,7 +320,8 @@ SELECTS = {
     "stream_fold_compacted": ("folded", f"SELECT {_FOLDED} FROM folded"),
     "stream_track_compacted": ("tracked", f"SELECT {_TRACKED} FROM tracked"),
     "read_pod_log_bytes": ("pod_log_text", "SELECT run_id, hex(encode(log)) AS log FROM pod_log_text"),
-    "stream_line_ids": ("line_ids", "SELECT * FROM line_ids"),
+    "stream_line_ids": ("line_ids", "SELECT * EXCLUDE (exit_digits) FROM line_ids"),
+    "read_submit_log_text": ("submit_log", "SELECT * FROM submit_log"),
     "stream_track": ("tracked", f"SELECT {_TRACKED} FROM tracked"),
     "sink_run_facts": ("resolved", """
         SELECT r.run_id, r.master, r."binary",

@@ -17,7 +17,7 @@ from runtrail.operators.outcome import (
     mask_commands,
     poll_addresses,
 )
-from runtrail.operators.pages import app_log_address, first_log_text
+from runtrail.operators.pages import app_log_address, first_log_text, pod_texts
 from runtrail.operators.polls import fold_polls, stop_polls
 
 
@@ -43,17 +43,23 @@ def run_cleanup(runs, connections, submit_log) -> DataFrame:
     return cleanup_actions(routed_runs(cancelled, connections, submit_log))
 
 
-def run_report(runs, connections, submit_log, status_polls, app_info, log_pages) -> DataFrame:
+def run_report(
+    runs, connections, submit_log, status_polls, app_info, log_pages, pod_log
+) -> DataFrame:
     """All facts of each run in one row."""
     outcomes = mask_commands(run_outcomes(runs, connections, submit_log, status_polls))
-    report = log_fetch_plan(error_texts(poll_addresses(executable_path(outcomes))))
-    pages = first_log_text(log_pages).select("run_id", "log_text")
-    for facts in (app_log_address(app_info), pages):
-        report = report.join(facts.hint("merge"), "run_id", "left")
+    # The page that is read also says whether one was ready at all.
+    pages = first_log_text(log_pages).select("run_id", "log_text", F.col("attempt").alias("page_attempt"))
+    classified = error_texts(poll_addresses(executable_path(outcomes)))
+    for facts in (app_log_address(app_info), pages, pod_texts(pod_log)):
+        classified = classified.join(facts.hint("merge"), "run_id", "left")
+    report = log_fetch_plan(classified, page_ready=F.col("page_attempt").isNotNull())
     return report.select(
         "run_id", "conn_id", "master", "deploy_mode", "queue", "namespace", "executable",
         "masked_command", "application_id", "driver_pod", "exit_code", "driver_id",
         "tracked_state", "misses", "outcome", "reason", "error_text", "poll_address",
         *[F.when(F.col("fetch_yarn"), F.col(c)).alias(c) for c in ("log_address", "log_text")],
         "fetch_pod",
+        F.when(F.col("fetch_pod"), F.coalesce("pod_lines", F.lit(0))).alias("pod_lines"),
+        *[F.when(F.col("fetch_pod"), F.col(c)).alias(c) for c in ("pod_first", "pod_last")],
     )

@@ -32,7 +32,8 @@ DERIVED = {
         columns={
             "conn_id": "CONCAT('conn_', CAST(n_nationkey AS STRING))",
             "host": """CASE n_nationkey % 5 WHEN 0 THEN 'yarn'
-                WHEN 1 THEN 'k8s://https://k8s.example.org'
+                WHEN 1 THEN CASE WHEN n_nationkey = 21 THEN 'k8s://yarn.example.org'
+                    ELSE 'k8s://https://k8s.example.org' END
                 WHEN 2 THEN 'spark://spark.example.org'
                 WHEN 3 THEN 'local' ELSE 'yarn-rm.example.org' END""",
             "port": """CASE n_nationkey % 5 WHEN 1 THEN 6443
@@ -78,7 +79,8 @@ DERIVED = {
                 WHEN 0 THEN CONCAT('  Submitted application_17', CAST(o_custkey AS STRING), '_',
                     CAST(line_no AS STRING), ' and application_9_9')
                 WHEN 1 THEN CONCAT('   pod name: job-', CAST(o_custkey AS STRING), '-driver ')
-                WHEN 2 THEN CONCAT('   exit code: ', CAST(o_orderkey % 3 AS STRING))
+                WHEN 2 THEN CONCAT('   exit code: ', CASE WHEN o_orderkey % 29 = 2
+                    THEN '99999999999999999999999' ELSE CAST(o_orderkey % 3 AS STRING) END)
                 WHEN 3 THEN CONCAT('Driver driver-2024', CAST(o_custkey AS STRING), '-',
                     CAST(line_no AS STRING), ' submitted')
                 WHEN 4 THEN 'spark.application_name set' WHEN 5 THEN 'Exit Code: 5'
@@ -147,6 +149,9 @@ DERIVED = {
             "attempt": "attempt",
             "html": """CASE WHEN attempt <= o_orderkey % 14
                 THEN '<html><body>wait</body></html>'
+                WHEN o_orderkey % 5 = 1 THEN CONCAT('<pre title=''a>b''>q &#65;&#x42; <b>', CAST(o_orderkey AS STRING), '</b></pre>')
+                WHEN o_orderkey % 5 = 2 THEN CONCAT('<pre>out <pre>in ', CAST(attempt AS STRING), '</pre> rest</pre>')
+                WHEN o_orderkey % 5 = 3 THEN CONCAT('<div><pre>kept ', CAST(o_orderkey AS STRING), '</div> after</pre>')
                 ELSE CONCAT('<html><pre>stderr</pre><PRE class="o">1 < 2 and 3 > 2 out &lt;',
                 CAST(o_orderkey AS STRING), '&gt; try ', CAST(attempt AS STRING),
                 '</PRE></html>') END""",

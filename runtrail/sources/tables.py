@@ -1,10 +1,11 @@
 """Readers and writers of the input and result tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from runtrail import schemas
+from runtrail.sources.workdir import new_folder
 
 
 def read_table(spark: SparkSession, name: str, path: str, fmt="parquet") -> DataFrame:
@@ -51,21 +52,38 @@ def read_pod_log_bytes(spark: SparkSession, path: str, fmt="parquet") -> DataFra
     return spark.read.schema(schemas.POD_LOG_BYTES).format(fmt).load(path)
 
 
-def read_submit_log_text(spark: SparkSession, path: str) -> DataFrame:
-    """Plain log files under ``run_id=<id>`` folders, split at \\n, \\r\\n and \\r.
+#: Splits of files whose line counts may be broadcast: some 40 MB at most.
+BROADCAST_SPLITS = 1 << 18
+
 
-    Text has no line numbers, but a line's place orders it: file, then the offset of the
-    block it was read from, then its position in the task that read the block. So a huge
-    log still splits over tasks and ``line_no`` is that place, without a shuffle.
+def read_submit_log_text(spark: SparkSession, path: str) -> DataFrame:
+    """Plain log files under ``run_id=<id>`` folders, split at \\n, \\r\\n and \\r, with their lines
+    numbered from 1 within each run.
+
+    Text has no line numbers. Spark reads a file in splits, each by one task from top to bottom, so
+    a line's number is its place in its split after all lines of the run's earlier splits, by file
+    name and offset. A first pass counts the lines of each split, which needs no text; running sums of
+    these few numbers then meet the lines by a broadcast, and no text is shuffled. Beyond
+    ``BROADCAST_SPLITS`` splits the numbers meet the lines by a shuffle join.
     """
     kind = "value string, run_id bigint"
-    lines = spark.read.schema(kind).text(path)
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
+    places = ["run_id", "file", "block"]
+    lines = spark.read.schema(kind).text(path).select(
+        "run_id", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), F.col("value").alias("line"),
+    )
+    splits = lines.groupBy(*places).agg(F.count("*").alias("n"), F.min("row").alias("first"))
+    earlier = Window.partitionBy("run_id").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first") + 1
+    counted = f"{new_folder(spark, 'line-counts')}/splits"
+    splits.select(*places, shift.alias("shift")).write.parquet(counted)
+    shifts = spark.read.schema("run_id bigint, file string, block bigint, shift bigint").parquet(counted)
+    if shifts.count() <= BROADCAST_SPLITS:
+        shifts = F.broadcast(shifts)
+    same = [lines[c].eqNullSafe(shifts[c]) for c in places]
+    return lines.join(shifts, same).select(
+        lines["run_id"], (lines["row"] + shifts["shift"]).alias("line_no"), lines["line"]
     )
-    return lines.select("run_id", place.alias("line_no"), F.col("value").alias("line"))
 
 
 def write_facts(facts: DataFrame, path: str, date: str = "run_date", mode="append") -> None:

@@ -7,7 +7,9 @@ is repeated after a failure overwrites its own folder, so it counts once.
 
 A stream that runs for long leaves many folders. ``compact_fold`` and ``compact_track`` merge those
 of the batches up to a number into one new folder; read with that folder, only newer batches are
-read from the stream's own. The stream may go on meanwhile, and compacting again changes nothing.
+read from the stream's own. The stream may go on meanwhile. A later compaction starts from the last
+one and reads only the batches since, so that merging costs what is new plus one row per run. It
+never writes into a folder that exists: a reader of an earlier one is not disturbed.
 """
 
 from collections.abc import Callable
@@ -60,24 +62,37 @@ def read_parts(
     return spark.read.schema(schema).parquet(folder).unionByName(newer)
 
 
-def _compact(spark, path, schema, merge: Callable, upto: int, folder: str) -> tuple[str, int]:
+def _compact(
+    spark, path, schema, merge: Callable, upto: int, folder: str, last: tuple[str, int] | None
+) -> tuple[str, int]:
     batch = StructField(BATCH, LongType())
     parts = spark.read.schema(StructType([*schema.fields, batch])).parquet(path)
-    older = parts.where(F.col(BATCH) <= upto).drop(BATCH)
-    merge(older).select(*schema.names).write.mode("overwrite").parquet(folder)
+    # A condition on the batch number is one on folders: others are not opened.
+    older = parts.where(F.col(BATCH) <= upto)
+    if last is not None:
+        older = older.where(F.col(BATCH) > last[1])
+    older = older.drop(BATCH)
+    if last is not None:
+        older = spark.read.schema(schema).parquet(last[0]).unionByName(older)
+    merge(older).select(*schema.names).write.mode("error").parquet(folder)
     return folder, upto
 
 
 def compact_fold(
-    spark: SparkSession, path: str, upto: int, folder: str, table: StructType = schemas.SUBMIT_LOG
+    spark: SparkSession, path: str, upto: int, folder: str, table: StructType = schemas.SUBMIT_LOG,
+    last: tuple[str, int] | None = None,
 ) -> tuple[str, int]:
-    """Merge the parts of the batches up to a number; gives what ``read_fold`` takes."""
-    return _compact(spark, path, _parts_schema(spark, fold_parts, table), merge_parts, upto, folder)
+    """Merge the parts of the batches up to a number into a new folder; gives what ``read_fold``
+    takes. ``last`` is what an earlier compaction gave, to go on from.
+    """
+    return _compact(spark, path, _parts_schema(spark, fold_parts, table), merge_parts, upto, folder, last)
 
 
-def compact_track(spark: SparkSession, path: str, upto: int, folder: str) -> tuple[str, int]:
+def compact_track(
+    spark: SparkSession, path: str, upto: int, folder: str, last: tuple[str, int] | None = None
+) -> tuple[str, int]:
     schema = _parts_schema(spark, poll_parts, schemas.STATUS_POLLS)
-    return _compact(spark, path, schema, merge_poll_parts, upto, folder)
+    return _compact(spark, path, schema, merge_poll_parts, upto, folder, last)
 
 
 def stream_fold(
@@ -135,9 +150,12 @@ def append_updates(
     )
 
 
-def latest_updates(spark: SparkSession, path: str, key: str = "run_id") -> DataFrame:
-    """The newest row of each key among the written updates."""
-    updates = spark.read.parquet(path)
+def latest_updates(
+    spark: SparkSession, path: str, key: str = "run_id", table: StructType = schemas.SUBMIT_LOG
+) -> DataFrame:
+    """The newest row of each key among the written updates of ``stateful_fold`` over ``table``."""
+    schema = stateful_fold(spark.createDataFrame([], table)).schema
+    updates = spark.read.schema(StructType([*schema.fields, StructField(BATCH, LongType())])).parquet(path)
     values = [c for c in updates.columns if c not in (key, BATCH)]
     newest = F.max(F.struct(BATCH, *values)).alias("newest")
     return updates.groupBy(key).agg(newest).select(key, *[f"newest.{c}" for c in values])

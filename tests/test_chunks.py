@@ -1,0 +1,77 @@
+"""Pod logs cut into chunks, and numbered lines of text files, against the whole."""
+
+import random
+
+import pytest
+
+from plan_checks import plan_text
+from runtrail import schemas
+from runtrail.operators import pages
+from runtrail.sources import tables
+
+LOGS = {
+    1: "24 INFO 完成 1\nplain\n错误 x\r y\n\n结束".encode(), 2: b"", 3: b"\n\n\n", 4: "无换行".encode(), 5: "行\n".encode() * 40,
+    6: "完成\n".encode() + b"\xe9\n" + "完".encode(), 7: "完成".encode()[:-1], 8: b"\xff" * 30, 9: ("x" * 300 + "长" * 100 + "\n尾").encode(),
+    10: "完".encode()[:2] + b"\n" + "完".encode()[2:], 11: b"\n" + "😀 中 😀".encode() + b"\n", 12: "é中é\né\n".encode(), 13: None,
+}
+
+
+def rows(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=str)
+
+
+def cut(log, sizes):
+    out, at = [], 0
+    while at < len(log):
+        size = sizes()
+        out.append(log[at:at + size])
+        at += size
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 7, 11, 100, 1000, "random"])
+def test_chunks_of_any_size_give_the_same_lines(spark, size):
+    rng = random.Random(3)
+    sizes = (lambda: rng.randint(1, 9)) if size == "random" else (lambda: size)
+    whole = spark.createDataFrame(list(LOGS.items()), schemas.POD_LOG_BYTES)
+    chunks = [(run, n, part) for run, log in LOGS.items() for n, part in enumerate(cut(log or b"", sizes))]
+    chunks += [(9, 5000, None), (14, 0, None)]
+    rng.shuffle(chunks)
+    frame = spark.createDataFrame(chunks, schemas.POD_LOG_CHUNKS).repartition(3)
+    assert rows(pages.cjk_lines_of_chunks(frame)) == rows(pages.cjk_lines_of_bytes(whole))
+
+
+def test_only_the_lines_at_cuts_meet(spark):
+    """What lies within a chunk never reaches the exchange that puts lines together."""
+    log = "\n".join(f"{n} 完成" for n in range(4000)).encode()
+    chunks = [(1, n, part) for n, part in enumerate(cut(log, lambda: 8000))]
+    frame = spark.createDataFrame(chunks, schemas.POD_LOG_CHUNKS).repartition(4)
+    assert pages.cjk_lines_of_chunks(frame).count() == 4000
+    text = plan_text(pages.cjk_lines_of_chunks(frame))
+    assert "Python" not in text and "SinglePartition" not in text
+
+
+def test_lines_of_text_files_are_numbered_without_shuffling_text(spark, tmp_path):
+    expected = {}
+    for run in (1, 2, 3):
+        folder = tmp_path / f"run_id={run}"
+        folder.mkdir()
+        for part in ("a", "b"):
+            lines = [f"{part} line {n} of {run}" + "x" * (n % 50) for n in range(1500 * run)]
+            (folder / f"{part}.log").write_bytes(("\n".join(lines) + "\n" * (run % 2)).encode())
+            expected.setdefault(run, []).extend(lines)
+    (tmp_path / "run_id=4").mkdir()
+    (tmp_path / "run_id=4" / "odd.log").write_bytes(b"one\r\ntwo\rthree\n\n")
+    expected[4] = ["one", "two", "three", ""]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        log = tables.read_submit_log_text(spark, str(tmp_path))
+        assert "Exchange hashpartitioning" not in plan_text(log) and "BroadcastHashJoin" in plan_text(log)
+        found = log.orderBy("run_id", "line_no").collect()
+        some = log.where("run_id = 2 AND line_no > 2999").orderBy("line_no").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.run_id, r.line_no, r.line) for r in found] == [
+        (run, n, line) for run, lines in expected.items() for n, line in enumerate(lines, 1)
+    ]
+    assert [(r.line_no, r.line) for r in some] == list(enumerate(expected[2], 1))[2999:]

@@ -1,5 +1,9 @@
 """Every named query against its SQL twin, over whole tables."""
 
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -33,6 +37,18 @@ def test_entry(spark):
     assert frame.columns[0] == "run_id" and frame.count() == 1500
 
 
+@pytest.mark.parametrize("hidden", ["xxhash", "zstandard", "corpus_pipeline", "runtrail.llm"])
+def test_queries_are_offered_without_the_packages_of_others(hidden):
+    """A package that only the training-text operators need may be absent."""
+    code = (
+        f"import sys; sys.modules[{hidden!r}] = None; import __spark_entry__ as e; "
+        "print(len(e.queries()), len(e.oracle_sql()), e.LLM_MISSING)"
+    )
+    root = os.path.dirname(os.path.abspath(entry_points.__file__))
+    said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout
+    assert said.split()[:2] == [str(len(QUERIES)), str(len(ORACLE))] and hidden in said
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_its_twin(spark, duck, name):
     ours = QUERIES[name](spark, SMALL).toArrow()

@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from conftest import SMALL
 from runtrail.operators import outcome
 from runtrail.plans import catalogue
@@ -7,7 +9,7 @@ from runtrail.plans import catalogue
 ROUTED = (
     "run_id bigint, returncode int, is_yarn boolean, is_k8s boolean, is_tracked boolean, "
     "application_id string, driver_pod string, exit_code bigint, driver_id string, "
-    "master string, binary string, namespace string, cancelled boolean, launcher_alive boolean"
+    "master string, spark_home string, binary string, namespace string, cancelled boolean, launcher_alive boolean"
 )
 STOPS = (
     "run_id bigint, tracked_state string, driver_state string, stop_poll int, "
@@ -15,7 +17,7 @@ STOPS = (
 )
 DEFAULTS = dict(
     returncode=0, is_yarn=False, is_k8s=False, is_tracked=False, application_id=None,
-    driver_pod=None, exit_code=None, driver_id=None, master="m", binary="b", namespace=None,
+    driver_pod=None, exit_code=None, driver_id=None, master="m", spark_home="/opt", binary="b", namespace=None,
     cancelled=True, launcher_alive=True,
 )
 
@@ -83,6 +85,20 @@ def test_log_fetch_plan(spark):
     ]
 
 
+def test_a_page_that_is_never_ready_stops_the_pod_log(spark):
+    ready = F.col("run_id") != 1
+    both = dict(is_k8s=True, is_yarn=True, returncode=1, application_id="a")
+    rows = outcome.log_fetch_plan(classify(spark, both, both, dict(is_k8s=True, exit_code=0)), ready).orderBy("run_id").collect()
+    assert [(r.fetch_yarn, r.fetch_pod) for r in rows] == [(True, True), (True, False), (False, True)]
+
+
+def test_a_huge_exit_code_is_an_exit_code(spark):
+    runs = routed(spark, dict(is_k8s=True), dict(is_k8s=True)).withColumn(
+        "exit_digits", F.when(F.col("run_id") == 0, "99999999999999999999999"))
+    found = outcome.classify_runs(runs, spark.createDataFrame([], STOPS)).orderBy("run_id").collect()
+    assert [(r.outcome, r.reason) for r in found] == [("SUBMIT_FAILED", "exit code"), ("SUBMIT_FAILED", "no exit code")]
+
+
 def test_cleanup_actions(spark):
     frame = outcome.cleanup_actions(routed(
         spark,
@@ -93,8 +109,8 @@ def test_cleanup_actions(spark):
         dict(cancelled=False, is_tracked=True, driver_id="d"),
     ))
     assert [tuple(r) for r in frame.orderBy("run_id", "seq").collect()] == [
-        (0, 1, "driver", "--master m --kill d", None),
-        (1, 1, "driver", "--master m --kill d", None),
+        (0, 1, "driver", "/opt/bin/b --master m --kill d", None),
+        (1, 1, "driver", "/opt/bin/b --master m --kill d", None),
         (1, 2, "launcher", "b", None),
         (1, 3, "application", "yarn application -kill a", None),
         (1, 4, "pod", "p", "n"),
@@ -104,8 +120,6 @@ def test_cleanup_actions(spark):
 
 
 def test_error_texts(spark):
-    from pyspark.sql import functions as F
-
     tracked = dict(is_tracked=True, driver_id="driver-1")
     frame = classify(
         spark, dict(returncode=2), dict(is_tracked=True), tracked, tracked, dict(), tracked,
@@ -123,7 +137,7 @@ def test_error_texts(spark):
 def test_every_outcome_occurs(spark):
     rows = catalogue.classify_runs(spark, SMALL.replace("0.001", "0.01")).select("outcome").collect()
     assert Counter(r.outcome for r in rows) == {
-        "SUCCESS": 9086, "SUBMIT_FAILED": 3962, "STILL_RUNNING": 811, "NO_DRIVER_ID": 398,
+        "SUCCESS": 8952, "SUBMIT_FAILED": 4096, "STILL_RUNNING": 811, "NO_DRIVER_ID": 398,
         "DRIVER_FAILED": 312, "DRIVER_KILLED": 194, "POLL_GAVE_UP": 108, "POLL_MALFORMED": 65,
         "DRIVER_UNKNOWN": 64,
     }

@@ -6,7 +6,7 @@ from runtrail import schemas
 from runtrail.operators import fold
 from runtrail.sources import tables
 from runtrail.sources.derived import derived_stream, derived_table
-from runtrail.streaming.workdir import new_folder
+from runtrail.sources.workdir import new_folder
 
 
 @pytest.mark.parametrize("name", schemas.TABLES)

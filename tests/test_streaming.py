@@ -1,4 +1,5 @@
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,10 +116,24 @@ def test_compaction_changes_no_result(spark, log, status_polls, tmp_path):
     land(status_polls, f"{tmp_path}/polls", 3)
     stream = stream_table(spark, "status_polls", f"{tmp_path}/polls", **ONE_FILE)
     parts.stream_track(stream, f"{tmp_path}/tracks", f"{tmp_path}/state-2").awaitTermination()
-    for upto in (0, 2, 9, 9):
+    for upto in (0, 2, 9):
         merged = parts.compact_fold(spark, f"{tmp_path}/folds", upto, f"{tmp_path}/merged-folds-{upto}")
         found = parts.read_fold(spark, f"{tmp_path}/folds", merged)
         assert rows(found) == rows(fold.fold_submit_log(log))
         merged = parts.compact_track(spark, f"{tmp_path}/tracks", upto, f"{tmp_path}/merged-tracks-{upto}")
         found = parts.read_track(spark, f"{tmp_path}/tracks", merged)
         assert rows(found) == rows(polls.track_polls(status_polls))
+
+
+def test_a_compaction_goes_on_from_the_last_one(spark, log, tmp_path):
+    land(log, f"{tmp_path}/in", 4)
+    lines = stream_table(spark, "submit_log", f"{tmp_path}/in", **ONE_FILE)
+    parts.stream_fold(lines, f"{tmp_path}/folds", f"{tmp_path}/state").awaitTermination()
+    first = parts.compact_fold(spark, f"{tmp_path}/folds", 1, f"{tmp_path}/merged-1")
+    shutil.rmtree(tmp_path / "folds" / f"{parts.BATCH}=0")  # the batches it has merged are not read again
+    shutil.rmtree(tmp_path / "folds" / f"{parts.BATCH}=1")
+    later = parts.compact_fold(spark, f"{tmp_path}/folds", 2, f"{tmp_path}/merged-2", last=first)
+    for merged in (first, later):
+        assert rows(parts.read_fold(spark, f"{tmp_path}/folds", merged)) == rows(fold.fold_submit_log(log))
+    with pytest.raises(Exception, match="already exists"):
+        parts.compact_fold(spark, f"{tmp_path}/folds", 3, f"{tmp_path}/merged-1", last=later)

@@ -96,26 +96,6 @@ def test_driver_state(apply, line):
     assert apply(text.names_state, [line, None]) == ["driverState" in line, False]
 
 
-@pytest.mark.parametrize("html, found", [
-    ("<pre>a</pre><PRE class='o'>b &lt;1&gt; &amp;lt; &#39;</PRE >", "b <1> &lt; '"),
-    ("<preface>q</preface>", None),
-    ("<html>wait</html>", None),
-    ("<pre>first</pre> <!-- <pre>no</pre> -->", "first"),
-    ("<!-- <pre>no</pre> -->", None),
-    ("<script>x = '<pre>no</pre>'</script><pre>yes</pre>", "yes"),
-    ("<pre>first</pre><style>/*<pre>no</pre>*/</style>", "first"),
-    ("<pre>open\nto the end", "open\nto the end"),
-    ("<pre>outer<pre>inner</pre></pre>", "inner"),
-    ("<pre>a<b>c</b>&lt;d&gt;</pre>", "ac<d>"),
-    ("<pre></pre>", ""),
-    ("<pre>x < 5\nERROR lost line\ny > 3\nend</pre>", "x < 5\nERROR lost line\ny > 3\nend"),
-    ("<pre>a<!DOCTYPE b>c<?php d?>e</ f>&nbsp;&apos;</pre>", "ace</ f>\xa0'"),
-    (None, None),
-])
-def test_last_pre(apply, html, found):
-    assert apply(text.last_pre, [html]) == [found]
-
-
 @pytest.mark.parametrize("line, found", [
     ("INFO 完成 rows=3", "完成 rows=3"),
     ("错误: 表 retry 重试", "错误: 表 retry 重试"),
