@@ -1,6 +1,7 @@
 """Operators against plain versions, on rows with every oddity, and on empty tables."""
 
 import itertools
+import time
 
 import brute
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from odd_rows import PASSAGE, as_set, docs, empty, rows  # noqa: F401
 from pyspark.sql import functions as F
 
-from runtrail.llm import decontaminate, language, mixing, quality, simhash, substrings, toxicity, urls, warc
+from runtrail.llm import decontaminate, language, lines, mixing, quality, simhash, substrings, toxicity, urls, warc
 from runtrail.llm.components import components
 from runtrail.llm.lines import dedup_lines
 
@@ -351,3 +352,30 @@ def test_lines(docs, empty):
     mine = [(r.doc_id, r.n_lines, r.n_dropped, r.text or "") for r in found.collect()]
     assert ordered(mine) == ordered(brute.lines(ROWS))
     assert dedup_lines(empty).count() == 0
+
+
+@pytest.mark.parametrize("hot", [1, 4096])
+def test_hot_lines_meet_their_answers_by_broadcast(docs, hot, monkeypatch):
+    monkeypatch.setattr(lines, "HOT", hot)
+    mine = [(r.doc_id, r.n_lines, r.n_dropped, r.text or "") for r in dedup_lines(docs).collect()]
+    assert ordered(mine) == ordered(brute.lines(ROWS))
+
+
+def test_texts_of_many_lines_take_time_in_proportion(spark):
+    def frame(n):
+        own = [(1, "\n".join(f"common line number {i}" for i in range(0, n, 2))), (2, "\n".join(f"common line number {i}" for i in range(n)))]
+        return spark.createDataFrame(own, "doc_id long, text string")
+
+    def seconds(n):
+        began = time.perf_counter()
+        found = {r.doc_id: r for r in dedup_lines(frame(n)).collect()}
+        assert (found[2].n_dropped, found[2].text) == (n // 2, "\n".join(f"common line number {i}" for i in range(1, n, 2)))
+        return time.perf_counter() - began
+
+    seconds(1000)
+    assert seconds(80000) < 5 * max(seconds(20000), 1.0)
+
+
+def test_lines_are_hashed_once(docs):
+    plan = dedup_lines(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "explode" not in plan
