@@ -2,8 +2,10 @@
 
 Each source is a queue of its shuffled documents, once per repeat. A document's virtual finish
 time is the words its source has sent up to its end, divided by the source's target. All
-documents are ordered by that time over the whole corpus and the order is cut at the total
-budget; a document that its source is still sending at virtual time 1 gives its first words only.
+documents are ordered by that time over the whole corpus, and nothing but the total budget cuts this
+one order: what comes before the cut is taken whole, the document that the cut goes through gives
+its first words, what comes after gives none. So a source's words come within one document of its
+target, and a source at its limit gives all its repeats.
 
 Running sums never gather a source in one task. A source is split by the leading digits of its
 shuffle tag, the global order by equal widths of finish time (which fair queueing fills evenly),
@@ -11,8 +13,13 @@ and only the sums of these slices meet in one window. There are about as many sl
 has rows, the square root of all, so that both windows grow with the root only: of 10 billion
 documents either orders some 100,000 rows.
 
-Defined results: a null text has size 0 and takes nothing; null is a source of its own, after all
-others; documents of equal id, source and size may swap places, which changes no result.
+The targets' windows run over the sources, a row each, in one task: they are few.
+
+Defined results: a null or empty text has size 0 and takes nothing; null is a source of its own,
+after all others; documents without id are shuffled by their text; documents of equal id (or text,
+without one), source and size may swap places, which changes no result; very long texts are counted
+whole and can only be cut at the budget; an empty table gives an empty mix. Further columns are only
+carried, so none clashes.
 """
 
 from __future__ import annotations
@@ -22,7 +29,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runtrail.llm.common import BLANK_RUN, narrow, others, words_of, written
+from runtrail.llm.common import narrow, others, words_of, written
+
 
 def source_targets(
     sized: DataFrame, weights: tuple[int, ...], share: float, repeats: int
@@ -91,17 +99,18 @@ def schedule(
     copies = queued.join(t, F.col("source").eqNullSafe(F.col("of_source"))).withColumn(
         "copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
     ).withColumn("words_before", F.col("words_before") + F.col("copy") * F.col("source_size"))
-    left = F.floor("target") - F.col("words_before")
-    sent = copies.withColumn("taken", F.least("size", left)).where("taken > 0").withColumn(
-        "finish", F.least((F.col("words_before") + F.col("size")) / F.col("target"), F.lit(1.0))
+    finishing = copies.where("size > 0").withColumn(
+        "finish", (F.col("words_before") + F.col("size")) / F.col("target")
     )
     ordered = running(
-        sent.withColumn("at", F.floor(F.col("finish") * slices)), [], "at",
+        finishing.withColumn("at", F.floor(F.col("finish") * slices)), [], "at",
         [F.col("finish"), F.col("source").asc_nulls_last(), F.col("tag"), F.col("size"), F.col("copy"), F.col("row")],
-        "taken", "start",
+        "size", "start",
     )
-    budget = targets.agg(F.sum("target")).scalar()
-    return ordered.where(F.col("start") < budget).select("row", "copy", "taken", "start"), targets
+    # Rounded, so that the order in which the targets are added up does not matter.
+    budget = targets.agg(F.floor(F.round(F.sum("target"), 6))).scalar()
+    taken = F.least(F.col("size"), budget - F.col("start"))
+    return ordered.withColumn("taken", taken).where("taken > 0").select("row", "copy", "taken", "start"), targets
 
 
 def sized_rows(docs: DataFrame, source_col: str, seed: str) -> DataFrame:
@@ -109,7 +118,7 @@ def sized_rows(docs: DataFrame, source_col: str, seed: str) -> DataFrame:
     return docs.select(
         "row", "doc_id", F.col(source_col).alias("source"),
         F.size(words_of(F.col("text"))).cast("long").alias("size"),
-        F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("tag"),
+        F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")))))).alias("tag"),
     )
 
 

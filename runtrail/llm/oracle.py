@@ -68,7 +68,7 @@ MIX = r"""
 WITH d AS (
   SELECT row_number() OVER () AS row, doc_id, source,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS tag
+         md5('mix:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))) AS tag
   FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -86,13 +86,17 @@ t AS (
            2.0::DOUBLE * source_size)) AS target
   FROM l),
 q AS (
-  SELECT d.doc_id, size, source_size, target,
-         sum(size) OVER (PARTITION BY d.source ORDER BY tag, size, row) - size AS before
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(size, floor(target)::BIGINT - before))
-        + greatest(0, least(size, floor(target)::BIGINT - before - source_size)))::BIGINT AS taken
-FROM q
+  SELECT d.row, d.doc_id, d.source, tag, size, source_size, target,
+         sum(size) OVER (PARTITION BY d.source ORDER BY tag, size, row)::BIGINT AS upto
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+f AS (SELECT *, (upto + copy * source_size) / target AS finish FROM q, (VALUES (0), (1)) AS c(copy)),
+g AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, source NULLS LAST, tag, size, copy, row)::BIGINT - size AS start
+  FROM f WHERE size > 0),
+b AS (SELECT floor(round(sum(target), 6))::BIGINT AS budget FROM t),
+k AS (SELECT row, sum(greatest(0, least(size, budget - start)))::BIGINT AS taken FROM g, b GROUP BY row)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
+FROM q LEFT JOIN k ON q.row = k.row
 """
 
 LINES = rf"""

@@ -180,3 +180,28 @@ def trie(convs):
         )
         for key, own in members.items()
     ]
+
+
+def mix(docs, weights=(5, 2, 1), share=1.5, repeats=2, cut=True):
+    """(id, size, taken) of (id, text, source): one order by virtual finish times, cut at the budget."""
+    rows = [(i, len(BLANK_WORD.findall(t or "")), s, hashlib.md5(f"mix:{hashlib.md5((t or '').encode()).hexdigest() if i is None else i}".encode()).hexdigest())
+            for i, t, s in docs]
+    sizes = {}
+    for _, n, s, _ in rows:
+        sizes[s] = sizes.get(s, 0) + n
+    goal = targets(sizes, weights, share, repeats)
+    order = []
+    for s in sizes:
+        sent = 0
+        queue = sorted((tag, n, k) for k, (_, n, own, tag) in enumerate(rows) if own == s)
+        for copy in range(repeats):
+            for tag, n, k in queue:
+                sent += n
+                if n:
+                    order.append((sent / goal[s], s is None, s or "", tag, n, copy, k))
+    left = int(round(sum(goal.values()), 6)) if cut else sum(2 * n for n in sizes.values())
+    taken = [0] * len(rows)
+    for *_, n, _, k in sorted(order):
+        taken[k] += min(n, left)
+        left -= min(n, left)
+    return [(i, n, taken[k]) for k, (i, n, _, _) in enumerate(rows)]
