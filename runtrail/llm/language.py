@@ -4,14 +4,21 @@ The labelled text of each language is indexed by a suffix automaton. A text is p
 into the longest pieces that occur in a language's text; the language that needs the fewest
 pieces, each weighed by the bits of a position in its text, wins.
 
-What is learned has a fixed size: of each language ``docs_per_language`` documents, the first in
-the order of their ids' hashes, give ``symbols`` symbols in all. The automata become one table of
-transitions, broadcast to all tasks, which parse many blocks of text side by side for all
-languages at once. Texts are parsed whole, in blocks of ``BLOCK`` symbols; a piece ends where its
-block does. Prediction is one pass without a shuffle.
-
-Defined results: ``und`` with score 0 for a null text, a text without letters, and where nothing
-could be learned; a tie goes to the first language by code point. Repeated rows fare alike.
+Symbols: the ``alphabet`` commonest letters of all languages are a symbol each; every other letter is
+spelled in four digits of base 32, the first of its own kind, so that a script of any size matches
+itself and only itself. Runs of other characters are one space.
+
+What is learned has a fixed size, the bounded sample of labelled rows: of each language
+``docs_per_language`` documents, the first in the order of their ids' hashes, give ``symbols`` symbols
+in all, shared so that each gives as much as any other that has as much. The automata become one
+table of transitions, whose bytes are checked against ``table_bytes`` before it is broadcast.
+
+Texts are parsed whole, many side by side for all languages at once; the few that are much longer
+than the rest go on one by one. Prediction is one pass without a shuffle.
+
+Defined results: ``und`` with score 0 for a null or empty text, a text without letters, and where
+nothing could be learned; a tie goes to the first language by code point; repeated rows fare alike;
+an empty table gives an empty table. Further columns are only carried, under ``rest``.
 """
 
 from __future__ import annotations
@@ -28,10 +35,16 @@ from pyspark.sql import types as T
 
 from runtrail.llm.common import narrow
 
-BLOCK = 1024
-#: Symbols parsed side by side.
+#: Characters parsed side by side.
 BATCH = 2 << 20
-OTHER, SPACE, FIRST_LETTER = 0, 1, 2
+#: With fewer texts than this left, the rest of each is parsed by itself.
+FEW = 8
+#: Marks a letter that is spelled out, ahead of spelling.
+OTHER, SPACE = 0, 1
+DIGITS, BASE_BITS = 4, 5
+BASE = 1 << BASE_BITS
+#: Symbols of first digits and of later ones; the letters of the alphabet come after them.
+FIRST_DIGIT, LATER_DIGIT, FIRST_LETTER = 2, 2 + BASE, 2 + 2 * BASE
 
 
 class SuffixAutomaton:
@@ -70,31 +83,56 @@ class SuffixAutomaton:
         return new
 
 
-def letter_classes(texts: list[str], alphabet: int) -> np.ndarray:
-    """A symbol for every code point: its letter in lower case, another letter, or no letter."""
-    seen = Counter(c for t in texts for c in t.lower() if c.isalpha())
-    known = sorted(sorted(seen), key=lambda c: -seen[c])[:alphabet]
-    number = {c: i for i, c in enumerate(known, FIRST_LETTER)}
-    classes = np.full(0x110000, SPACE, np.uint8)
-    for code in range(0x110000):
-        letter = chr(code)
-        if letter.isalpha():
-            classes[code] = number.get(letter.lower()[0], OTHER)
-    return classes
-
-
-def symbols_of(texts: list[str | None], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of all texts, runs of non-letters as one space, and the end of each text."""
-    lengths = np.array([len(t) if t else 0 for t in texts], np.int64)
-    codes = np.frombuffer("".join(t for t in texts if t).encode("utf-32-le", "surrogatepass"), np.uint32)
-    symbols = classes[codes]
-    ends = np.cumsum(lengths)
-    keep = symbols != SPACE
-    keep[1:] |= symbols[:-1] != SPACE
-    starts = (ends - lengths)[lengths > 0]
-    keep[starts] = True
-    kept = np.r_[0, np.cumsum(keep)]
-    return symbols[keep], kept[ends]
+class Letters:
+    """The symbols of texts: which letters have one of their own, and how the others are spelled."""
+
+    def __init__(self, texts: list[str], alphabet: int):
+        seen = Counter(c for t in texts for c in t.lower() if c.isalpha())
+        known = sorted(sorted(seen), key=lambda c: -seen[c])[:alphabet]
+        number = {c: i for i, c in enumerate(known, FIRST_LETTER)}
+        self.width = FIRST_LETTER + len(known)
+        self.classes = np.full(0x110000, SPACE, np.uint8)
+        self.spelled = np.zeros(0x110000, np.int32)
+        for code in range(0x110000):
+            letter = chr(code)
+            if letter.isalpha():
+                low = letter.lower()[0]
+                self.classes[code] = number.get(low, OTHER)
+                self.spelled[code] = ord(low)
+
+    def symbols(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all texts, runs of non-letters as one space, and the end of each text."""
+        lengths = np.array([len(t) if t else 0 for t in texts], np.int64)
+        codes = np.frombuffer("".join(t for t in texts if t).encode("utf-32-le", "surrogatepass"), np.uint32)
+        symbols = self.classes[codes]
+        ends = np.cumsum(lengths)
+        keep = symbols != SPACE
+        keep[1:] |= symbols[:-1] != SPACE
+        keep[(ends - lengths)[lengths > 0]] = True
+        codes, symbols = codes[keep], symbols[keep]
+        ends = np.r_[0, np.cumsum(keep)][ends]
+        other = np.flatnonzero(symbols == OTHER)
+        if not len(other):
+            return symbols, ends
+        n = np.where(symbols == OTHER, DIGITS, 1)
+        upto = np.r_[0, np.cumsum(n)]
+        out = np.repeat(symbols, n)
+        code = self.spelled[codes[other]]
+        for place in range(DIGITS):
+            digit = (code >> (BASE_BITS * (DIGITS - 1 - place))) & (BASE - 1)
+            out[upto[other] + place] = digit + (LATER_DIGIT if place else FIRST_DIGIT)
+        return out, upto[ends]
+
+
+def shared_out(lengths: list[int], total: int) -> list[int]:
+    """How much each gives so that all give ``total``, or all they have, and none that has more gives
+    less than another.
+    """
+    given, left = [0] * len(lengths), total
+    for place, i in enumerate(sorted(range(len(lengths)), key=lambda i: lengths[i])):
+        given[i] = min(lengths[i], left // (len(lengths) - place))
+        left -= given[i]
+    return given
 
 
 class CrossParser:
@@ -103,21 +141,31 @@ class CrossParser:
     An entry is the offset of the next state's entries, times 4, plus the pieces that end there.
     """
 
-    def __init__(self, references: dict[str, list[str]], symbols: int, alphabet: int):
+    def __init__(
+        self, references: dict[str, list[str]], symbols: int, alphabet: int, table_bytes: int = 1 << 30,
+    ):
         self.languages = sorted(references)
-        texts = [t for name in self.languages for t in references[name]]
-        self.classes = letter_classes(texts, alphabet)
-        self.width = int(self.classes.max()) + 1 if texts else FIRST_LETTER
-        self.roots, self.bits, tables, size = [], [], [], 0
+        self.letters = Letters([t for name in self.languages for t in references[name]], alphabet)
+        self.width = self.letters.width
+        self.roots, self.bits, automata, size = [], [], [], 0
         for name in self.languages:
-            sequence, _ = symbols_of([" ".join(references[name])], self.classes)
-            sequence = sequence[:symbols].tolist()
-            automaton = SuffixAutomaton(sequence)
-            tables.append(self._table(automaton, size))
+            own, ends = self.letters.symbols(references[name])
+            starts = np.r_[0, ends[:-1]]
+            given = shared_out((ends - starts).tolist(), symbols)
+            parts = [[*own[a:a + n].tolist(), SPACE] for a, n in zip(starts.tolist(), given)]
+            sequence = [s for part in parts for s in part]
+            automata.append((SuffixAutomaton(sequence), size))
             self.roots.append(size)
             self.bits.append(math.log2(len(sequence) + 2))
-            size += len(automaton.next) * self.width
-        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
+            size += len(automata[-1][0].next) * self.width
+        # An entry's low bits count pieces.
+        kind = np.int32 if 4 * size + 3 < 1 << 31 else np.int64
+        if size * np.dtype(kind).itemsize > table_bytes:
+            raise ValueError(f"{len(self.languages)} languages need a table of over {table_bytes} bytes; learn fewer symbols")
+        self.table = np.zeros(size, kind)
+        for automaton, base in automata:
+            own = self._table(automaton, base)
+            self.table[base:base + len(own)] = own
 
     def _table(self, automaton: SuffixAutomaton, base: int) -> np.ndarray:
         n, width = len(automaton.next), self.width
@@ -125,41 +173,44 @@ class CrossParser:
         for state, arcs in enumerate(automaton.next):
             for symbol, to in arcs.items():
                 moves[state, symbol] = to
-        moves[:, OTHER] = -1
         root = moves[0]
         again = np.where(root >= 0, (root * width + base) * 4 + 1, base * 4 + 2)
         entries = np.where(moves >= 0, (moves * width + base) * 4, again)
         entries[0] = np.where(root >= 0, (root * width + base) * 4, base * 4 + 1)
-        return entries.astype(np.int32).ravel()
+        return entries.ravel()
 
     def pieces(self, symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Pieces that each language (row) needs for each text (column)."""
-        starts = np.r_[0, ends[:-1]]
-        blocks = -(-(ends - starts) // BLOCK)
-        text = np.repeat(np.arange(len(ends)), blocks)
-        nth = np.arange(len(text)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        begin = starts[text] + nth * BLOCK
-        length = np.minimum(ends[text] - begin, BLOCK)
-        order = np.argsort(-length, kind="stable")
-        begin, length, text = begin[order], length[order], text[order]
-        roots = np.array(self.roots, np.int32)[:, None]
-        at = np.repeat(roots, len(text), 1)
-        count = np.zeros(at.shape, np.int32)
-        live = np.searchsorted(-length, -np.arange(BLOCK), side="left")
-        for step in range(int(length[0]) if len(length) else 0):
-            n = live[step]
+        lengths = np.diff(np.r_[0, ends])
+        order = np.argsort(-lengths, kind="stable")
+        begin, length = (ends - lengths)[order], lengths[order]
+        at = np.repeat(np.array(self.roots, self.table.dtype)[:, None], len(order), 1)
+        count = np.zeros(at.shape, np.int64)
+        step = 0
+        while step < length[:1].sum() and (n := int(np.searchsorted(-length, -step, side="left"))) >= FEW:
             entry = self.table[at[:, :n] + symbols[begin[:n] + step]]
             count[:, :n] += entry & 3
             at[:, :n] = entry >> 2
-        count += at != roots
-        total = np.zeros((len(self.roots), len(ends)), np.int64)
-        for row in range(len(self.roots)):
-            total[row] = np.bincount(text, weights=count[row], minlength=len(ends))
+            step += 1
+        table = memoryview(self.table)
+        for i in range(int(np.searchsorted(-length, -step, side="left"))):
+            rest = symbols[begin[i] + step:begin[i] + length[i]].tolist()
+            for row in range(len(self.roots)):
+                state, n = int(at[row, i]), 0
+                for symbol in rest:
+                    entry = table[state + symbol]
+                    n += entry & 3
+                    state = entry >> 2
+                at[row, i] = state
+                count[row, i] += n
+        count += at != np.array(self.roots)[:, None]
+        total = np.empty_like(count)
+        total[:, order] = count
         return total
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and pieces per symbol of each text."""
-        symbols, ends = symbols_of(texts, self.classes)
+        symbols, ends = self.letters.symbols(texts)
         lengths = np.diff(np.r_[0, ends])
         letters = np.diff(np.r_[0, np.r_[0, np.cumsum(symbols != SPACE)][ends]])
         names = ["und"] * len(texts)
@@ -179,12 +230,12 @@ class CrossParser:
 
 def learn_languages(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    docs_per_language: int = 48, symbols: int = 24576, alphabet: int = 120,
+    docs_per_language: int = 48, symbols: int = 24576, alphabet: int = 96, table_bytes: int = 1 << 30,
 ) -> CrossParser:
     """A parser from the rows with a text and a language.
 
-    At most ``docs_per_language`` documents of each language reach the driver, and of each at most
-    ``symbols`` characters.
+    The sample: at most ``docs_per_language`` documents of each language reach the driver, and of each
+    at most ``symbols`` characters. Letters beyond the ``alphabet`` are spelled, not lost.
     """
     rows = labelled.select(
         labelled[id_col].alias("doc_id"), labelled[text_col].alias("text"), labelled[lang_col].alias("lang")
@@ -201,7 +252,7 @@ def learn_languages(
     references: dict[str, list[str]] = {}
     for row in texts.orderBy("lang", "place").toLocalIterator():
         references.setdefault(row.lang, []).append(row.text)
-    return CrossParser(references, symbols, alphabet)
+    return CrossParser(references, symbols, alphabet, table_bytes)
 
 
 def predict_languages(

@@ -1,5 +1,7 @@
 """The named queries: SQL twins, plain versions, held-out accuracy; and the pipeline."""
 
+import math
+
 import brute
 import duckdb
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
+from runtrail.llm import language
 from runtrail.llm.oracle import ORACLE
 from runtrail.llm.queries import QUERIES
 
@@ -69,6 +72,29 @@ def test_language_accuracy_on_rows_held_out(spark):
     assert sum(r.lang == r.lang_pred for r in found) > 0.95 * len(found) > 0
 
 
+def test_language(spark, small):
+    """The whole prediction against a search for every piece, in the same sample of labelled texts."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    taken = {}
+    labelled = docs.where(~language.held_out(docs.doc_id) & docs.lang.isNotNull() & docs.text.isNotNull())
+    for r in labelled.orderBy("lang", F.xxhash64("doc_id"), "doc_id").collect():
+        taken.setdefault(r.lang, []).append(r.text)
+    letters = language.learn_languages(docs.where(~language.held_out(docs.doc_id))).letters
+    references = {}
+    for name in sorted(taken):
+        parts = [letters.symbols([t])[0] for t in taken[name][:48]]
+        shares = language.shared_out([len(p) for p in parts], 24576)
+        references[name] = "".join("".join(map(chr, p[:n])) + chr(language.SPACE) for p, n in zip(parts, shares))
+    found = {r.doc_id: (r.lang_pred, r.score) for r in QUERIES["op3_language"](spark, SMALL).collect()}
+    for doc_id, text in small:
+        own = "".join(map(chr, letters.symbols([text])[0]))
+        cost = sorted((brute.pieces(own, r) * math.log2(len(r) + 2), name) for name, r in references.items())
+        if not any(c.isalpha() for c in text or ""):
+            assert found[doc_id] == ("und", 0.0)
+        else:
+            assert found[doc_id][0] == cost[0][1] and abs(found[doc_id][1] - (1 - cost[0][0] / cost[1][0])) < 1e-9
+
+
 def test_near_dedup(spark, small):
     ids, texts = zip(*small)
     prints = [brute.simhash(t) for t in texts]
