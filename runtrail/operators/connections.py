@@ -1,6 +1,6 @@
 """Connection settings of each run and what they mean for it."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runtrail import fixed_values as fixed
@@ -24,15 +24,18 @@ def _one_each(connections):
 
 def _lookup(connections):
     """One row per connection with its settings taken out of ``extra``, read once each."""
-    extra = as_map(F.col("extra"), connections.schema["extra"].dataType)
+    return _settings(_one_each(connections), connections.schema["extra"].dataType, "conn_repeated")
+
+
+def _settings(rows, kind, *keep):
+    """The settings of each row, taken out of ``extra``."""
+    extra = as_map(F.col("extra"), kind)
 
     def setting(key):
         return f"try_element_at(extra, '{key}')"
 
-    return _one_each(connections).select(
-        "conn_id", "host", "port", extra.alias("extra"), "conn_repeated"
-    ).selectExpr(
-        "conn_id", "conn_repeated",
+    return rows.select("conn_id", "host", "port", extra.alias("extra"), *keep).selectExpr(
+        "conn_id", *keep,
         """CASE WHEN host IS NULL THEN NULL WHEN coalesce(port, 0) != 0
             THEN concat(host, ':', port) ELSE host END AS conn_master""",
         f"{setting(fixed.EXTRA_QUEUE)} AS queue",
@@ -57,13 +60,19 @@ def resolve_connections(runs: DataFrame, connections: DataFrame, via_operator=Fa
     ``spark.sql.autoBroadcastJoinThreshold`` and otherwise joins by shuffle, where the
     adaptive skew join splits a connection that many runs share.
     """
+    joined = runs.join(_lookup(connections), "conn_id", "left")
+    return _resolved(joined, runs, via_operator, "coalesce(conn_repeated, false) AS conn_repeated")
+
+
+def _resolved(joined: DataFrame, runs: DataFrame, via_operator: bool, *more: str) -> DataFrame:
+    """The runs with what their connection, found or not, means for them."""
     conf = as_map(F.col("conf"), runs.schema["conf"].dataType)
-    joined = runs.withColumn("conf_map", conf).join(_lookup(connections), "conn_id", "left")
+    joined = joined.withColumn("conf_map", conf)
     own_binary = f"coalesce(spark_binary, '{fixed.DEFAULT_BINARY if via_operator else ''}')"
     return joined.selectExpr(
         *runs.columns,
         "coalesce(conn_found, false) AS conn_found",
-        "coalesce(conn_repeated, false) AS conn_repeated",
+        *more,
         f"CASE WHEN conn_found THEN conn_master ELSE '{fixed.DEFAULT_MASTER}' END AS master",
         "queue", "deploy_mode", "spark_home",
         f"""CASE WHEN {own_binary} != '' THEN {own_binary}
@@ -75,6 +84,67 @@ def resolve_connections(runs: DataFrame, connections: DataFrame, via_operator=Fa
     )
 
 
+def last_versions(
+    events: DataFrame, versions: DataFrame, key: str, at: str, since: str, slice_of: str
+) -> DataFrame:
+    """Each event with ``version``, the newest of its key that began at or before it (an as-of join).
+
+    Events and versions are merged and ordered in one window, which carries the newest version on.
+    The window is split by key and time slice (``slice_of`` is an expression over a column ``moment``),
+    so that a key with most events spreads over its slices; each slice starts from the version it
+    inherits, found among the few versions alone. Of versions that begin together the last by their
+    values counts. Events without key or time have none; versions without them never begin.
+    """
+    columns = [c for c in versions.columns if c != key]
+    began = versions.where(F.col(key).isNotNull() & F.col(since).isNotNull()).select(
+        F.col(key).alias("k"), F.col(since).alias("moment"), F.struct(since, *[c for c in columns if c != since]).alias("version")
+    ).withColumn("slice", F.expr(slice_of))
+    asked = events.select(F.struct(*events.columns).alias("event"), F.col(key).alias("k"), F.col(at).alias("moment")).withColumn(
+        "slice", F.expr(slice_of)
+    )
+    nothing = F.lit(None).cast(began.schema["version"].dataType)
+    no_event = F.lit(None).cast(asked.schema["event"].dataType)
+    # A row for every slice of a key that holds events or versions, and the newest version before it.
+    slices = asked.where("k IS NOT NULL AND moment IS NOT NULL").select("k", "slice", nothing.alias("version")).distinct()
+    newest = began.select("k", "slice", "version").unionByName(slices).groupBy("k", "slice").agg(F.max("version").alias("version"))
+    earlier = Window.partitionBy("k").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    inherited = newest.select("k", "slice", F.max("version").over(earlier).alias("version")).where("version IS NOT NULL")
+    merged = (
+        asked.select("k", "slice", "moment", F.lit(2).alias("kind"), nothing.alias("version"), "event")
+        .unionByName(began.select("k", "slice", "moment", F.lit(1).alias("kind"), "version", no_event.alias("event")))
+        .unionByName(inherited.select(
+            "k", "slice", F.lit(None).cast(asked.schema["moment"].dataType).alias("moment"), F.lit(0).alias("kind"), "version",
+            no_event.alias("event")))
+    )
+    in_order = Window.partitionBy("k", "slice").orderBy(F.col("moment").asc_nulls_first(), "kind").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    known = F.when(F.col("k").isNotNull() & F.col("moment").isNotNull(), F.max("version").over(in_order))
+    return merged.withColumn("version", known).where("kind = 2").select("event.*", "version")
+
+
+def resolve_connections_as_of(
+    runs: DataFrame, versions: DataFrame, via_operator: bool = False, started: str = "started_at",
+    slice_of: str = "date_trunc('month', moment)",
+) -> DataFrame:
+    """``resolve_connections`` with the settings that held when each run started.
+
+    ``versions`` has the connections' columns and ``valid_from``. A run that started before its
+    connection's first version gets the defaults, like one whose connection is unknown; the same
+    holds for a run without a start.
+    """
+    found = last_versions(runs, versions.select("conn_id", "valid_from", "host", "port", "extra"), "conn_id", started,
+                          "valid_from", slice_of)
+    read = _settings(
+        found.where("version IS NOT NULL").select(*runs.columns, "version.host", "version.port", "version.extra", "version.valid_from"),
+        versions.schema["extra"].dataType, *[c for c in runs.columns if c != "conn_id"], "valid_from",
+    )
+    return _resolved(
+        read.unionByName(found.where("version IS NULL").select(*runs.columns), allowMissingColumns=True), runs, via_operator,
+        "valid_from AS conn_since",
+    )
+
+
 def deployment_flags(resolved: DataFrame) -> DataFrame:
     """Add the kind of cluster and which kind of id its log lines are searched for.
 

@@ -91,6 +91,12 @@ def resolve_connections_via_operator(spark, sf_dir):
     )
 
 
+def resolve_connections_as_of(spark, sf_dir):
+    resolved = conn.resolve_connections_as_of(*_tables("started_runs", "connection_versions")(spark, sf_dir))
+    since = F.col("conn_since").cast("timestamp_ntz").alias("conn_since")
+    return resolved.select("run_id", "conn_id", "conn_found", since, *RESOLVED)
+
+
 def deployment_flags(spark, sf_dir):
     return _flagged(spark, sf_dir).select(
         "run_id", "is_yarn", "is_k8s", "is_tracked", "invalid_connection", "route"
@@ -158,6 +164,25 @@ def classify_runs(spark, sf_dir):
     )
 
 
+#: The month that ``classify_runs_of_month`` asks for.
+MONTH = "1998-03-01"
+
+
+def classify_runs_of_month(spark, sf_dir):
+    """The runs that started in one month, out of tables that are landed by month."""
+    folder = new_folder(spark, "by-month")
+    starts = derived_table(spark, sf_dir, "started_runs").select(
+        "run_id", F.trunc("started_at", "month").alias("run_date")
+    )
+    for name in tables.BY_RUN:
+        dated = derived_table(spark, sf_dir, name).join(starts, "run_id")
+        tables.write_facts(dated, f"{folder}/{name}")
+    dated = [tables.read_month(spark, name, f"{folder}/{name}", MONTH) for name in tables.BY_RUN]
+    runs, log, lines = dated
+    classified = plans.run_outcomes(runs, derived_table(spark, sf_dir, "connections"), log, lines)
+    return classified.select("run_id", "conn_id", "outcome", "reason")
+
+
 def log_fetch_plan(spark, sf_dir):
     ready = pages.page_attempts(derived_table(spark, sf_dir, "log_pages"))
     outcomes = _outcomes(spark, sf_dir).join(ready.hint("merge"), "run_id", "left")
@@ -361,7 +386,7 @@ QUERIES = {
     for f in (
         classify_runs, fold_submit_log, strip_lines, extract_line_ids, strict_application_ids,
         route_lines, fold_routed_log, id_notices, resolve_connections,
-        resolve_connections_via_operator, deployment_flags, executable_path, env_overlay,
+        resolve_connections_via_operator, resolve_connections_as_of, classify_runs_of_month, deployment_flags, executable_path, env_overlay,
         mask_command, tokenize_command, error_text, poll_address, fold_polls, track_polls,
         log_fetch_plan, cleanup_actions, app_log_address, first_history_reply, history_address,
         driver_log_links, first_log_text, cjk_lines, cjk_lines_of_bytes, cjk_lines_of_chunks, run_report, stream_fold,

@@ -1,6 +1,6 @@
 """The catalogue's queries as SQL for another engine, as a second opinion on the results."""
 
-from runtrail.plans.catalogue import BASE_ENV, HISTORY_BASE
+from runtrail.plans.catalogue import BASE_ENV, HISTORY_BASE, MONTH
 from runtrail.sources.derived import DERIVED, derived_sql
 
 # Building blocks: name -> (names it needs, SQL).
@@ -236,6 +236,27 @@ SELECTS = {
             THEN json_extract_string(c.extra, '$."spark-binary"')
           ELSE 'spark-submit' END AS "binary"
         FROM runs r LEFT JOIN connections c ON r.conn_id = c.conn_id"""),
+    "resolve_connections_as_of": (("started_runs", "connection_versions"), """
+        SELECT run_id, conn_id, valid_from IS NOT NULL AS conn_found, valid_from AS conn_since,
+          CASE WHEN valid_from IS NULL THEN 'yarn'
+            WHEN coalesce(port, 0) <> 0 THEN host || ':' || CAST(port AS VARCHAR) ELSE host END AS master,
+          json_extract_string(extra, '$.queue') AS queue,
+          json_extract_string(extra, '$."deploy-mode"') AS deploy_mode,
+          json_extract_string(extra, '$."spark-home"') AS spark_home,
+          CASE WHEN spark_binary <> '' THEN spark_binary
+            WHEN list_contains(json_keys(extra), 'spark-binary')
+              THEN json_extract_string(extra, '$."spark-binary"')
+            ELSE 'spark-submit' END AS "binary",
+          CASE WHEN list_contains(json_keys(conf), 'spark.kubernetes.namespace')
+            THEN json_extract_string(conf, '$."spark.kubernetes.namespace"')
+            ELSE json_extract_string(extra, '$.namespace') END AS namespace
+        FROM (SELECT r.*, v.valid_from, v.host, v.port, v.extra,
+            row_number() OVER (PARTITION BY r.run_id ORDER BY v.valid_from DESC NULLS LAST) AS nth
+          FROM started_runs r LEFT JOIN connection_versions v ON r.conn_id = v.conn_id AND v.valid_from <= r.started_at)
+        WHERE nth = 1"""),
+    "classify_runs_of_month": (("outcomes", "started_runs"), f"""
+        SELECT o.run_id, o.conn_id, outcome, reason FROM outcomes o JOIN started_runs s ON o.run_id = s.run_id
+        WHERE date_trunc('month', started_at) = DATE '{MONTH}'"""),
     "deployment_flags": ("flags", """
         SELECT run_id, is_yarn, is_k8s, is_tracked, invalid_connection, route FROM flags"""),
     "executable_path": ("programs", "SELECT run_id, executable FROM programs"),

@@ -45,6 +45,10 @@ POD_LOG_BYTES = _table(run_id=LongType(), log=BinaryType())
 # The same lines with the time at which they were written.
 TIMED_LOG = StructType([*SUBMIT_LOG.fields, StructField("logged_at", TimestampType())])
 TIMED_POLLS = StructType([*STATUS_POLLS.fields, StructField("polled_at", TimestampType())])
+# Runs with their start, and the settings of connections from a time on.
+STARTED_RUNS = StructType([*RUNS.fields, StructField("started_at", TimestampType())])
+CONNECTION_VERSIONS = StructType([*CONNECTIONS.fields, StructField("valid_from", TimestampType())])
+
 # Pod logs cut into chunks of any size, numbered from 0 within their run.
 POD_LOG_CHUNKS = _table(run_id=LongType(), chunk_no=LongType(), bytes=BinaryType())
 

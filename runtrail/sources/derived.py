@@ -189,6 +189,25 @@ for _name, _timed, _time, _number in (
     DERIVED[_timed] = Derived("orders", DERIVED[_name].columns | {_time: _at}, DERIVED[_name].numbers)
 
 
+# Runs with their start, and connections whose settings change: the master moves in 1997 and again in 1999.
+DERIVED["started_runs"] = Derived(
+    "orders", DERIVED["runs"].columns
+    | {"started_at": "CAST(o_orderdate AS TIMESTAMP) + INTERVAL '1' MINUTE * (o_orderkey % 1440)"},
+)
+DERIVED["connection_versions"] = Derived(
+    "nation",
+    {
+        "conn_id": DERIVED["connections"].columns["conn_id"],
+        "valid_from": """CAST(CASE version WHEN 1 THEN '1995-02-01 12:00:00' WHEN 2 THEN '1997-06-10 00:30:00'
+            ELSE '1999-06-01 00:00:00' END AS TIMESTAMP) + INTERVAL '1' DAY * n_nationkey""",
+        "host": f"CASE WHEN version = 1 THEN {DERIVED['connections'].columns['host']} ELSE CONCAT('yarn-v', CAST(version AS STRING)) END",
+        "port": DERIVED["connections"].columns["port"],
+        "extra": DERIVED["connections"].columns["extra"],
+    },
+    {"version": 3},
+)
+
+
 def derive(base: DataFrame, name: str) -> DataFrame:
     """The named table from its base table, batch or stream."""
     table = DERIVED[name]

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, StructField, StructType
 
 from runtrail import schemas
 from runtrail.sources.workdir import new_folder
@@ -86,6 +87,22 @@ def read_submit_log_text(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+#: The tables that a run's outcome needs, each with a row's run: landed by the month the run started.
+BY_RUN = ("runs", "submit_log", "status_polls")
+
+
+def read_month(spark: SparkSession, name: str, path: str, month: str, fmt="parquet") -> DataFrame:
+    """An input table landed by ``run_date`` (``write_facts``), one month of it.
+
+    The condition is on folders: no file of another month is listed for reading. Log lines and polls
+    lie under the month of their run's start, so that a question about a month's runs reads that month
+    of every table.
+    """
+    schema = schemas.TABLES[name]
+    rows = spark.read.schema(StructType([*schema.fields, StructField("run_date", DateType())])).format(fmt).load(path)
+    return rows.where(F.col("run_date") == F.lit(month).cast("date")).drop("run_date")
+
+
 def write_facts(facts: DataFrame, path: str, date: str = "run_date", mode="append") -> None:
     """Write results partitioned by a date column of the input.
 
