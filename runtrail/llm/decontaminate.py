@@ -14,7 +14,9 @@ Documents are never shuffled or joined. Test items are broadcast in blocks of at
 ``block_bytes`` each, and a shard is searched for one block after another.
 
 Defined results: a null text has no words; a null item, or one without words, has no window; an
-item without id marks words but is not named; an id that several items share is named once.
+item without id marks words but is not named; an id that several items share is named once; repeated
+rows are hit alike; a very long text is a shard of its own; empty tables give no rows or no hits.
+Further columns are only carried, under ``rest``, so none clashes.
 """
 
 from __future__ import annotations
@@ -272,16 +274,27 @@ def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_byt
     ).where("text IS NOT NULL").distinct()
     blocks, block, size = [], [], 0
     for name, text in rows.toLocalIterator():
-        if block and size + len(text) > block_bytes:
+        n = len(text.encode())
+        if block and size + n > block_bytes:
             blocks.append(sc.broadcast(block))
             block, size = [], 0
         block.append((name, text))
-        size += len(text)
+        size += n
     if block:
         blocks.append(sc.broadcast(block))
     return blocks
 
 
+def in_turn(blocks: list, width: int) -> Iterator[Block]:
+    """One block after another. A broadcast keeps its value for the worker's life once it was read;
+    it is let go here, so that a worker holds one block however many there are.
+    """
+    for b in blocks:
+        items = b.value
+        vars(b).pop("_value", None)
+        yield Block(items, width)
+
+
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
 
@@ -299,7 +312,7 @@ def find_contamination(
     blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_bytes)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [Block(b.value, width) for b in blocks] if len(blocks) == 1 else []
+        kept = list(in_turn(blocks, width)) if len(blocks) == 1 else []
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             total = np.cumsum([len(t) if t else 0 for t in texts])
@@ -309,8 +322,7 @@ def find_contamination(
                 stop = int(np.searchsorted(total, before + shard_bytes, side="right"))
                 stop = min(max(stop, start + 1), len(texts))
                 part = batch.slice(start, stop - start)
-                in_turn = kept or (Block(b.value, width) for b in blocks)
-                found = shard_results(texts[start:stop], in_turn)
+                found = shard_results(texts[start:stop], kept or in_turn(blocks, width))
                 arrays = [
                     pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
                     pa.array([f[2] for f in found], pa.list_(_SPAN)),

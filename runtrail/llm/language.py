@@ -36,9 +36,9 @@ from pyspark.sql import types as T
 from runtrail.llm.common import narrow
 
 #: Characters parsed side by side.
-BATCH = 2 << 20
+BATCH = 8 << 20
 #: With fewer texts than this left, the rest of each is parsed by itself.
-FEW = 8
+FEW = 32
 #: Marks a letter that is spelled out, ahead of spelling.
 OTHER, SPACE = 0, 1
 DIGITS, BASE_BITS = 4, 5

@@ -10,7 +10,10 @@ as many segments as it takes; each has its own cascade, and its rows are judged
 their own, so a task never holds more than one segment's bitmaps.
 
 Defined results: a null url, or one without ``://``, has an empty host and path. A key outside
-the universe is answered like any other, without the promise of exactness.
+the universe is answered like any other, without the promise of exactness. Urls of any length are
+read whole; repeated rows are judged alike; of rules that tie the one with the longer host counts,
+then the first by text; an empty table or list gives no rows or no listed ones. Further columns are
+not read.
 """
 
 from __future__ import annotations
@@ -105,13 +108,17 @@ def build_cascade(keys: DataFrame) -> list[Level]:
     inside, outside = keys.where("listed"), keys.where("NOT listed")
     n_in, n_out = inside.count(), outside.count()
     levels: list[Level] = []
+    kept = []
     while n_in:
         rate = LATER_RATE
         if not levels and n_out:
             rate = min(0.5, max(n_in / n_out / math.sqrt(2), 2.0**-20))
         levels.append(_level(len(levels), inside, n_in, rate))
-        wrong = outside.where(levels[-1].passes()).persist()
-        inside, outside, n_in = wrong, inside, wrong.count()
+        kept.append(outside.where(levels[-1].passes()).persist())
+        inside, outside, n_in = kept[-1], inside, kept[-1].count()
+    # The levels are written: what they were built from is needed no more.
+    for wrong in kept:
+        wrong.unpersist()
     return levels
 
 

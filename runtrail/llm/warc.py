@@ -14,17 +14,23 @@ A task writes bundles under names of its own, so a task that runs again leaves n
 files count: the index, written by Spark, names them. Bundles are written through pyarrow's file
 systems; the folder must be one that they know (local, S3, GCS, HDFS).
 
+Record ids hold the page's id, escaped, and a number of the row, so that rows that repeat an id have
+records of their own; a revisit refers to one of those that hold the payload.
+
 Defined results: a null payload is empty; a record without id is a revisit of a longer-lived id
 where one exists, else a response; rows that repeat the largest id are all responses; a null url
-is left out of its record.
+is left out of its record; ids of any text, the empty one too, come back as they are; payloads of any
+length are written whole; an empty table gives an empty archive. Further columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
@@ -40,6 +46,8 @@ FOOTER_BYTES = 9
 FRAME_BYTES = 512 << 10
 BUNDLE_BYTES = 256 << 20
 LEVEL = 3
+#: Bytes of records that a task reads back.
+READ_BYTES = 64 << 20
 #: The profile that the WARC standard gives to revisits of the same payload.
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "page_id string, bundle string, frame int, offset int, length int"
@@ -111,13 +119,22 @@ class BundleReader:
         return self.last[1]
 
 
-def record_bytes(page_id, url, payload: bytes | None, n: int, digest: str, refers_to, date: str) -> bytes:
+def record_urn(page_id: str | None, row: int) -> str:
+    return f"<urn:row:{row}>" if page_id is None else f"<urn:page:{quote(page_id, safe='')}:{row}>"
+
+
+def page_of_urn(urn: str) -> str | None:
+    kind, _, rest = urn[len("<urn:"):-1].partition(":")
+    return unquote(rest.rpartition(":")[0]) if kind == "page" else None
+
+
+def record_bytes(page_id, row: int, url, payload: bytes | None, n: int, digest: str, refers_to, refers_row, date: str) -> bytes:
     """A WARC/1.1 record; one that refers to another keeps the HTTP header and no payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n}\r\n\r\n".encode()
     block = http if refers_to is not None else http + (payload or b"")
     fields = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}>"),
+        ("WARC-Record-ID", record_urn(page_id, row)),
         ("WARC-Date", date),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("Content-Type", "application/http; msgtype=response"),
@@ -126,7 +143,7 @@ def record_bytes(page_id, url, payload: bytes | None, n: int, digest: str, refer
     if url is not None:
         fields.append(("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)))
     if refers_to is not None:
-        fields += [("WARC-Refers-To", f"<urn:page:{refers_to}>"), ("WARC-Profile", SAME_PAYLOAD)]
+        fields += [("WARC-Refers-To", record_urn(refers_to, refers_row)), ("WARC-Profile", SAME_PAYLOAD)]
     head = "WARC/1.1\r\n" + "".join(f"{name}: {value}\r\n" for name, value in fields) + "\r\n"
     return head.encode() + block + b"\r\n\r\n"
 
@@ -141,7 +158,7 @@ def parse_record(data: bytes) -> dict:
     block = rest[:int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
     stated = dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:])
-    page = lambda field: fields[field][len("<urn:page:"):-1] or None if field in fields else None
+    page = lambda field: page_of_urn(fields[field]) if field in fields else None
     return {
         "page_id": page("WARC-Record-ID"), "url": fields.get("WARC-Target-URI"),
         "record_type": fields["WARC-Type"], "refers_to": page("WARC-Refers-To"),
@@ -155,23 +172,24 @@ def plan_records(pages: DataFrame, id_col: str, url_col: str, payload_col: str,
     """Each page with size and digest of its payload, and the id it refers to; revisits lose the payload."""
     plain = pages.select(
         pages[id_col].alias("page_id"), pages[url_col].alias("url"),
-        F.coalesce(pages[payload_col], F.lit("")).alias("payload"),
+        F.coalesce(pages[payload_col], F.lit("")).alias("payload"), F.monotonically_increasing_id().alias("row"),
     ).select(
         "*", F.octet_length("payload").cast("long").alias("n"), F.sha1(F.col("payload").cast("binary")).alias("digest"),
     )
     first = plain.where(F.col("n") >= least_bytes).groupBy("digest", "n").agg(
-        F.max("page_id").alias("first_id"), F.count("*").alias("copies")
-    ).where("copies > 1 AND first_id IS NOT NULL").select(
-        F.col("digest").alias("key"), F.col("n").alias("key_n"), "first_id"
+        F.max(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "row"))).alias("first"), F.count("*").alias("copies")
+    ).where("copies > 1 AND first IS NOT NULL").select(
+        F.col("digest").alias("key"), F.col("n").alias("key_n"),
+        F.col("first.page_id").alias("first_id"), F.col("first.row").alias("first_row"),
     )
     alone = F.concat(F.lit("short-"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
     keyed = plain.withColumn("own_key", F.when(F.col("n") >= least_bytes, F.col("digest")).otherwise(alone))
     joined = keyed.join(first, (keyed["own_key"] == first["key"]) & (keyed["n"] == first["key_n"]), "left")
     revisits = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return joined.select(
-        F.col("page_id").cast("string").alias("page_id"), "url", "n", "digest",
+        F.col("page_id").cast("string").alias("page_id"), "row", "url", "n", "digest",
         F.when(~revisits, F.col("payload")).alias("payload"),
-        F.when(revisits, F.col("first_id").cast("string")).alias("refers_to"),
+        F.when(revisits, F.col("first_id").cast("string")).alias("refers_to"), "first_row",
     )
 
 
@@ -192,7 +210,9 @@ def write_archives(
                 if bundle is None:
                     bundle = BundleWriter(folder)
                 payload = None if r["payload"] is None else r["payload"].encode()
-                record = record_bytes(r["page_id"], r["url"], payload, r["n"], r["digest"], r["refers_to"], date)
+                record = record_bytes(
+                    r["page_id"], r["row"], r["url"], payload, r["n"], r["digest"], r["refers_to"], r["first_row"], date
+                )
                 rows.append((r["page_id"], bundle.path, *bundle.add(record), len(record)))
                 if bundle.bytes >= BUNDLE_BYTES:
                     bundle.close()
@@ -237,7 +257,9 @@ def read_records(index: DataFrame) -> DataFrame:
             yield from _record_batches(found)
 
     order = ("bundle", "frame", "offset")
-    sought = index.repartition("bundle", "frame").sortWithinPartitions(*order)
+    # As many tasks as the records' bytes ask for: the index itself is small.
+    size = index.agg(F.sum(F.col("length").cast("long"))).first()[0] or 0
+    sought = index.repartition(max(1, math.ceil(size / READ_BYTES)), "bundle", "frame").sortWithinPartitions(*order)
     return sought.mapInArrow(read, RECORD)
 
 

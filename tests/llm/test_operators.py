@@ -316,6 +316,32 @@ def test_archives(spark):
     assert warc.read_records(warc.write_archives(pages.limit(0))).count() == 0
 
 
+def test_records_have_ids_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 2000)
+    ids = ["", "a\r\nX: y", "<urn:page:1>", "é %41:7", ":", None, None, "twice", "twice", "zz", "zz"]
+    data = [(i, "u", "same payload " * 100) for i in ids]
+    pages = spark.createDataFrame(data, "page_id string, url string, html string").repartition(3)
+    index = warc.write_archives(pages)
+    records = warc.read_records(index)
+    assert records.rdd.getNumPartitions() > 1
+    found = records.collect()
+    assert ordered(r.page_id for r in found) == ordered(ids)
+    assert ordered((r.record_type, r.refers_to) for r in found) == ordered([("revisit", "é %41:7")] * 10 + [("response", None)])
+    urns = set()
+    for r in index.collect():
+        head = warc.BundleReader(r.bundle).frame(r.frame)[r.offset:r.offset + r.length].split(b"\r\n\r\n")[0]
+        urns.add(next(line for line in head.split(b"\r\n") if line.startswith(b"WARC-Record-ID")))
+    assert len(urns) == len(ids)
+
+
+def test_one_block_of_a_benchmark_is_held_at_a_time(spark, docs):
+    bench = spark.createDataFrame([(i, f"item number {i} of many words") for i in range(50)], "item_id long, text string")
+    blocks = decontaminate.benchmark_blocks(bench, "item_id", "text", 100)
+    assert len(blocks) > 10
+    for block in decontaminate.in_turn(blocks, 10):
+        assert len(block.names) > 0 and not any("_value" in vars(b) for b in blocks)
+
+
 def test_bundles_are_plain_zstandard(spark, tmp_path):
     import zstandard
 
@@ -356,6 +382,7 @@ def test_cascade_is_exact(spark):
     listed = keys.where("key % 3 = 0")
     found = urls.member_of_list(keys, listed, "key")
     assert found.where("listed <> (key % 3 = 0)").count() == 0
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Join" not in plan
 
