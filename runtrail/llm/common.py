@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,12 +37,33 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder[0]
 
 
+_written: list[str] = []
+
+
+@contextlib.contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what ``written`` has written within it; nothing may read it afterwards."""
+    first = len(_written)
+    try:
+        yield
+    finally:
+        paths, _written[first:] = _written[first:], []
+        for path in paths:
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame, written as Parquet to the shared folder and read from there.
 
     Cuts the lineage: a lost executor costs no work done before, and nothing is computed twice.
     """
     path = f"{shared_folder(frame.sparkSession)}/{purpose}-{uuid.uuid4().hex}"
+    _written.append(path)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 

@@ -208,15 +208,15 @@ class CrossParser:
         total[:, order] = count
         return total
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, score and pieces per symbol of each text."""
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score, pieces per symbol and number of letter symbols of each text."""
         symbols, ends = self.letters.symbols(texts)
         lengths = np.diff(np.r_[0, ends])
         letters = np.diff(np.r_[0, np.r_[0, np.cumsum(symbols != SPACE)][ends]])
         names = ["und"] * len(texts)
         score, rate = np.zeros(len(texts)), np.zeros(len(texts))
         if not self.languages:
-            return names, score, rate
+            return names, score, rate, letters
         pieces = self.pieces(symbols, ends)
         cost = pieces * np.array(self.bits)[:, None]
         best = np.argmin(cost, axis=0)
@@ -225,7 +225,7 @@ class CrossParser:
             names[i] = self.languages[best[i]]
             rate[i] = pieces[best[i], i] / lengths[i]
             score[i] = 1.0 - ranked[0, i] / ranked[1, i] if len(ranked) > 1 else 1.0
-        return names, score, rate
+        return names, score, rate, letters
 
 
 def learn_languages(
@@ -240,8 +240,7 @@ def learn_languages(
     rows = labelled.select(
         labelled[id_col].alias("doc_id"), labelled[text_col].alias("text"), labelled[lang_col].alias("lang")
     ).where("lang IS NOT NULL AND text IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("lang", "doc_id").withColumn("place", F.row_number().over(order)).where(
+    chosen = rows.select("lang", "doc_id").withColumn("place", F.row_number().over(_in_order())).where(
         F.col("place") <= docs_per_language
     )
     texts = rows.join(F.broadcast(chosen.select("lang", "doc_id").distinct()), ["lang", "doc_id"]).select(
@@ -255,12 +254,39 @@ def learn_languages(
     return CrossParser(references, symbols, alphabet, table_bytes)
 
 
+def _in_order() -> Window:
+    return Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+
+
+def rejection_limit(
+    labelled: DataFrame, parser: CrossParser, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    docs_per_language: int = 48, rows: int = 500, least_letters: int = 40, least_rows: int = 50, margin: float = 1.5,
+) -> float | None:
+    """Pieces per symbol beyond which a text of ``least_letters`` and more is in none of the languages.
+
+    Calibrated on a bounded sample: of each language the ``rows`` labelled documents that follow those
+    it was learned from. The limit is ``margin`` times what 999 of 1,000 of them stay under; None, for no
+    limit, with fewer than ``least_rows`` of them.
+    """
+    known = labelled.select(
+        labelled[id_col].alias("doc_id"), labelled[text_col].alias("text"), labelled[lang_col].alias("lang")
+    ).where("lang IS NOT NULL AND text IS NOT NULL")
+    ids = known.select("lang", "doc_id").withColumn("place", F.row_number().over(_in_order())).where(
+        F.col("place").between(docs_per_language + 1, docs_per_language + rows)
+    )
+    sample = known.join(F.broadcast(ids.select("lang", "doc_id").distinct()), ["lang", "doc_id"], "left_semi")
+    parsed = predict_languages(sample, parser).where(F.col("letters") >= least_letters)
+    n, high = parsed.agg(F.count("*"), F.expr("percentile(pieces_per_symbol, 0.999D)")).first()
+    return None if n < least_rows else margin * high
+
+
 def predict_languages(
     docs: DataFrame, parser: CrossParser, id_col: str = "doc_id", text_col: str = "text",
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per document: ``doc_id``, ``text``, ``lang_pred``, ``score`` (lead of the winner over the
-    next language) and ``pieces_per_symbol``, and the carried columns in ``rest``.
+    next language), ``pieces_per_symbol`` and ``letters`` (their symbols), and the carried columns in
+    ``rest``.
     """
     docs = narrow(docs, id_col, text_col, carry)
     shared = docs.sparkSession.sparkContext.broadcast(vars(parser))
@@ -276,16 +302,16 @@ def predict_languages(
                 before = total[start - 1] if start else 0
                 stop = int(np.searchsorted(total, before + BATCH, side="right"))
                 stop = min(max(stop, start + 1), len(texts))
-                names, score, rate = own.predict(texts[start:stop])
+                names, score, rate, letters = own.predict(texts[start:stop])
                 part = batch.slice(start, stop - start)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(names, pa.string()), pa.array(score), pa.array(rate)],
-                    [*part.schema.names, "lang_pred", "score", "pieces_per_symbol"],
+                    [*part.columns, pa.array(names, pa.string()), pa.array(score), pa.array(rate), pa.array(letters)],
+                    [*part.schema.names, "lang_pred", "score", "pieces_per_symbol", "letters"],
                 )
                 start = stop
 
     schema = T.StructType(list(docs.schema.fields)).add("lang_pred", "string").add("score", "double")
-    return docs.mapInArrow(run, schema.add("pieces_per_symbol", "double"))
+    return docs.mapInArrow(run, schema.add("pieces_per_symbol", "double").add("letters", "long"))
 
 
 def held_out(doc_id: Column) -> Column:

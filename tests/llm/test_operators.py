@@ -102,7 +102,7 @@ def test_scripts_of_any_size(alphabet):
     for name, text in SCRIPTS.items():
         assert parser.predict([text[3:25], text * 30])[0] == [name] * 2
     for name, text in wide.items():
-        names, score, _ = parser.predict([text[500:560]])
+        names, score, _, _ = parser.predict([text[500:560]])
         assert names == [name] and score[0] > 0.5
 
 
@@ -141,7 +141,7 @@ def test_language_parse_is_the_longest_match(spark):
         own = plain_symbols(parser, reference[name][0]) + chr(language.SPACE)
         for i, text in enumerate(texts):
             assert found[row, i] == brute.pieces(plain_symbols(parser, text), own)
-    names, score, _ = parser.predict(texts)
+    names, score, _, _ = parser.predict(texts)
     assert names[:2] == ["en", "de"] and names[3:6] == ["und"] * 3
     assert ((score >= 0) & (score <= 1)).all() and (score[3:6] == 0).all()
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from runtrail.llm import language
+from runtrail.llm import common, language
 from runtrail.llm.oracle import ORACLE
 from runtrail.llm.queries import QUERIES
 
@@ -145,6 +145,24 @@ def test_pipeline_stage_by_stage(spark, docs, tmp_path):
             assert sum(r.mix_taken for r in frame.collect()) > sum(len(brute.BLANK_WORD.findall(t or "")) for _, t in before)
 
 
+def test_texts_in_no_learned_language_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    foreign = "".join(map(chr, range(0x4E00, 0x4E90)))
+    more = [(-1, foreign, None, "s", 144), (-2, foreign[:5], None, "s", 5), (-3, "xqzj kvwx jqxz zxqk " * 20, None, "s", 400)]
+    found = corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(more, docs.schema)), "")
+    kept = {r.doc_id for r in found.select("doc_id").collect()}
+    letters = docs.where("text RLIKE '\\\\p{L}'")
+    assert kept == {r.doc_id for r in letters.select("doc_id").collect()} | {-2}
+
+
+def test_pipeline_leaves_nothing_but_its_result(spark, docs, tmp_path, monkeypatch):
+    for module in (common, corpus_pipeline):
+        monkeypatch.setattr(module, "shared_folder", lambda _: str(tmp_path / "shared"))
+    found = corpus_pipeline.run(spark, write_tables(spark, str(tmp_path / "in"), docs))
+    assert found.count() > 0
+    assert [[p.name for p in d.iterdir()] for d in (tmp_path / "shared").iterdir()] == [[str(len(corpus_pipeline.STAGES) - 1)]]
+
+
 def test_pipeline_runs_on_empty_tables(spark, empty, tmp_path):
     assert corpus_pipeline.run(spark, write_tables(spark, str(tmp_path / "none"), empty)).count() == 0
 
