@@ -35,6 +35,8 @@ from runtrail.streaming.parts import BATCH, read_parts
 # Executors need not have the package: the function over a run's polls travels with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Stands for a return code that is not known.
+NO_CODE = -(1 << 40)
 MERGE_FIRST = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 TRACKED = (
     "run_id bigint, tracked_state string, driver_state string, stop_poll int, misses int, "
@@ -89,12 +91,14 @@ def read_closed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def poll_lines(polls: DataFrame) -> DataFrame:
-    """What each line of a poll says; texts go no further."""
+    """What each line of a poll says; texts go no further, and nothing is null on its way to Python."""
     line = F.col("line")
     state = driver_state(line)
     return polls.select(
-        "run_id", "poll_no", "line_no", "returncode", "polled_at", state.alias("state"),
-        (names_state(line) & state.isNull()).alias("malformed"),
+        "run_id", F.col("poll_no").cast("long").alias("poll_no"), F.col("line_no").cast("long").alias("line_no"),
+        F.coalesce(F.col("returncode").cast("long"), F.lit(NO_CODE)).alias("returncode"),
+        F.unix_millis("polled_at").alias("ms"), F.coalesce(state, F.lit("")).alias("state"),
+        (names_state(line) & state.isNull()).alias("malformed"), "polled_at",
     )
 
 
@@ -128,9 +132,9 @@ def merge_lines(polls: dict[int, list], rows: Iterator[tuple]) -> None:
     """Adds lines to the polls; lines that are there already change nothing."""
     for number, line, returncode, time, state, malformed in rows:
         own = polls.setdefault(number, [None, None, None, False, time])
-        if state is not None and (own[0] is None or (line, state) > (own[0], own[1])):
+        if state and (own[0] is None or (line, state) > (own[0], own[1])):
             own[0], own[1] = line, state
-        if returncode is not None and (own[2] is None or returncode > own[2]):
+        if returncode != NO_CODE and (own[2] is None or returncode > own[2]):
             own[2] = returncode
         own[3] = own[3] or bool(malformed)
         own[4] = max(own[4], time)
@@ -150,19 +154,16 @@ def timed_tracking(
         held = {int(n): p for n, p in json.loads(state.get[0]).items()} if state.exists else {}
         if state.hasTimedOut:
             state.remove()
-            yield pd.DataFrame([(key[0], *follow(held, tolerated))], columns=TRACKED_NAMES).astype({"stop_poll": "Int32", "misses": "Int32"})
+            yield pd.DataFrame([(key[0], *follow(held, tolerated))], columns=TRACKED_NAMES)
             return
         last = state.get[1] if state.exists else 0
         for frame in frames:
-            plain = frame.astype(object).where(frame.notna(), None)
-            times = (frame["polled_at"].astype("int64") // TICKS[str(frame["polled_at"].dtype)]).tolist()
-            merge_lines(held, zip(
-                frame["poll_no"].tolist(), frame["line_no"].tolist(), plain["returncode"], times, plain["state"], plain["malformed"]
-            ))
-            last = max([last, *times])
+            columns = [frame[c].tolist() for c in ("poll_no", "line_no", "returncode", "ms", "state", "malformed")]
+            merge_lines(held, zip(*columns))
+            last = max([last, *columns[3]])
         watermark = state.getCurrentWatermarkMs()
         held = kept_polls(held, watermark, tolerated)
-        state.update((json.dumps(held, default=int), last))
+        state.update((json.dumps(held), last))
         state.setTimeoutTimestamp(max(last + gap_ms, watermark + 1))
 
     lines = poll_lines(polls.where("polled_at IS NOT NULL")).withWatermark("polled_at", delay)
@@ -171,8 +172,6 @@ def timed_tracking(
 
 
 TRACKED_NAMES = [part.split()[0] for part in TRACKED.split(", ")]
-#: Units of a pandas time in a millisecond.
-TICKS = {"datetime64[ns]": 1_000_000, "datetime64[us]": 1_000, "datetime64[ms]": 1}
 
 
 def stream_track_timed(
