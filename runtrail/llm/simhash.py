@@ -10,6 +10,13 @@ each one's own codeword is among the other's. What shares a key is compared bit
 Copies count once: only distinct fingerprints are compared. Rows are sorted by key; each task
 compares the runs of equal keys and returns links that span what is connected, never all pairs.
 
+A run longer than ``RUN`` is not compared but passed on, row by row. Fingerprints within three bits
+agree on one of four bands of any choice of bits, so each row of it gets four finer keys: the old
+key with the bits of one band of those that no key has fixed yet. Every round fixes a quarter of
+the free bits, and a run holds distinct fingerprints: with 12 free bits none is longer than
+``RUN``. So the rounds end by themselves, no task holds or compares more than ``RUN`` rows of a key,
+and a key that a third of all documents share spreads over many tasks.
+
 Defined results: a null or empty text has fingerprint zero, and is linked like any other. A
 component is named by its smallest id; it has none if all its documents lack an id.
 """
@@ -27,12 +34,17 @@ from xxhash import xxh64_intdigest
 
 from runtrail.llm.common import narrow, others, restored, written
 from runtrail.llm.components import components
+from runtrail.llm.substrings import mixed
 
 #: Generator polynomial of the binary Golay code of length 23.
 GOLAY = 0xC75
 #: Lowest bit and width of each segment of a fingerprint; none is wider than 23.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 SEED = 42
+#: Fingerprints of one key that are compared at once.
+RUN = 4096
+#: One more than the largest distance: within it one of as many bands is equal.
+BANDS = 4
 
 
 def fingerprint(text: bytes | None, width: int = 3) -> int:
@@ -149,37 +161,101 @@ def _joined(low: np.ndarray, found: list) -> np.ndarray:
     return spanning(a, b, len(low))
 
 
-def fuzzy_links(distinct: DataFrame, distance: int) -> DataFrame:
+def finer_keys(keys: np.ndarray, free: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row ``BANDS`` finer keys, the bits that stay free beneath them, and the fingerprints.
+
+    ``free`` marks the bits that no key has fixed yet. Keys are mixed from all that was fixed;
+    two that mix to the same number would only be compared together.
+    """
+    number = np.cumsum(free[:, None] >> np.arange(64, dtype=np.uint64) & np.uint64(1), axis=1, dtype=np.uint64)
+    band = (number - np.uint64(1)) * np.uint64(BANDS) // number[:, -1:]
+    out = []
+    for i in range(BANDS):
+        own = (free[:, None] >> np.arange(64, dtype=np.uint64) & np.uint64(1)) * (band == i)
+        bits = (own << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64)
+        out.append((mixed(mixed(mixed(keys) ^ bits) ^ (fps & bits)), free & ~bits, fps))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def fuzzy_links(distinct: DataFrame, distance: int, longest: int = RUN) -> DataFrame:
     """Links ``a``, ``b`` that connect all distinct fingerprints ``fp`` within the distance."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         golay = Golay()
         for batch in batches:
-            fps = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+            fps = _unsigned(batch, "fp")
             for at in range(0, len(fps), 4096):
                 keys, owners = fuzzy_keys(fps[at:at + 4096], golay)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.astype(np.int32)), pa.array(fps[at:at + 4096][owners].view(np.int64))], ["key", "fp"]
-                )
+                yield _keyed_batch(keys.astype(np.uint64), np.full(len(keys), ~np.uint64(0)), fps[at:at + 4096][owners])
+
+    def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, free, fps = (_unsigned(batch, c) for c in ("key", "free", "a"))
+            for at in range(0, len(fps), 4096):
+                yield _keyed_batch(*finer_keys(*(c[at:at + 4096] for c in (key, free, fps))))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, fps = np.zeros(0, np.int32), np.zeros(0, np.uint64)
+        rows = np.zeros((3, 0), np.uint64)
+        passing = None
         for batch in batches:
-            keys = np.r_[keys, batch.column("key").to_numpy(zero_copy_only=False)]
-            fps = np.r_[fps, batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)]
-            # The last run may go on in the next batch.
-            done = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
-            if done:
-                yield _links_batch(*linked(keys[:done], fps[:done], distance))
-                keys, fps = keys[done:], fps[done:]
-        yield _links_batch(*linked(keys, fps, distance))
+            rows = np.concatenate([rows, [_unsigned(batch, c) for c in ("key", "free", "fp")]], axis=1)
+            keys = rows[0]
+            heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+            lengths = np.diff(np.r_[heads, len(keys)])
+            long = lengths > longest
+            if passing is not None and len(keys):
+                long[0] |= keys[0] == passing
+            if not len(heads):
+                continue
+            # The last run may go on in the next batch: it waits, unless it is long already.
+            passing = keys[-1] if long[-1] else None
+            n = len(keys) if long[-1] else heads[-1]
+            of_long = np.repeat(long, lengths)[:n]
+            if of_long.any():
+                yield _passed_batch(*rows[:, :n][:, of_long])
+            if not of_long.all():
+                yield _links_batch(*linked(keys[:n][~of_long], rows[2, :n][~of_long], distance))
+            rows = rows[:, n:]
+        yield _links_batch(*linked(rows[0], rows[2], distance))
+
+    found = None
+    keyed = distinct.select("fp").mapInArrow(emit, KEYED)
+    while True:
+        compared = written(
+            keyed.repartition("key").sortWithinPartitions("key").mapInArrow(compare, COMPARED), "compared-keys"
+        )
+        links = compared.where("key IS NULL").select("a", "b")
+        found = links if found is None else found.union(links)
+        passed = compared.where("key IS NOT NULL")
+        if passed.isEmpty():
+            return found
+        keyed = passed.mapInArrow(refine, KEYED)
+
+
+KEYED = "key long, free long, fp long"
+#: Links have no key; rows of long runs have one, and their fingerprint as ``a``.
+COMPARED = "key long, free long, a long, b long"
+
+
+def _unsigned(batch: pa.RecordBatch, column: str) -> np.ndarray:
+    return batch.column(column).to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _batch(schema: str, *columns: np.ndarray | int) -> pa.RecordBatch:
+    arrays = [pa.nulls(c, pa.int64()) if isinstance(c, int) else pa.array(c.view(np.int64)) for c in columns]
+    return pa.RecordBatch.from_arrays(arrays, [part.split()[0] for part in schema.split(", ")])
+
+
+def _keyed_batch(keys: np.ndarray, free: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+    return _batch(KEYED, keys, free, fps)
+
 
-    keyed = distinct.select("fp").mapInArrow(emit, "key int, fp long")
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "a long, b long")
+def _passed_batch(keys: np.ndarray, free: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+    return _batch(COMPARED, keys, free, fps, len(fps))
 
 
 def _links_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+    return _batch(COMPARED, len(a), len(a), a, b)
 
 
 def _grouped(prints: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:

@@ -214,6 +214,49 @@ def test_links_span_chains_and_cliques():
     assert root == group
 
 
+@pytest.mark.parametrize("longest", [100, 4096])
+def test_long_runs_of_a_key_get_finer_keys(spark, longest):
+    """Close and distant fingerprints of one key: the same groups, however short a run must be."""
+    rng = np.random.default_rng(5)
+    heart = rng.integers(0, 1 << 63, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(43, 64, (900, 7), dtype=np.uint64)
+    fps = np.unique(np.r_[heart ^ np.bitwise_xor.reduce(flips, axis=1), rng.integers(0, 1 << 63, 100, dtype=np.uint64)])
+    frame = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    links = simhash.fuzzy_links(frame, 3, longest)
+    for r in links.collect():
+        assert r.a != r.b
+    roots = {r.node: r.root for r in components(links).collect()}
+    apart = np.bitwise_count(fps[:, None] ^ fps[None, :])
+    x, y = np.nonzero(apart <= 3)
+    low = simhash.spanning(x, y, len(fps))
+    groups = {}
+    for f, root in zip(fps.view(np.int64).tolist(), low.tolist()):
+        groups.setdefault(root, set()).add(f)
+    mine = {}
+    for f in fps.view(np.int64).tolist():
+        mine.setdefault(roots.get(f, f), set()).add(f)
+    assert sorted(map(sorted, mine.values())) == sorted(map(sorted, groups.values()))
+    assert 1 < len(groups) < len(fps)
+
+
+def test_finer_keys_share_a_band():
+    """Any two fingerprints within three bits share a finer key at every depth; a fourth of the bits goes each time."""
+    rng = np.random.default_rng(6)
+    a = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    flips = np.bitwise_xor.reduce(np.uint64(1) << rng.integers(0, 64, (200, 3), dtype=np.uint64), axis=1)
+    left, right = a, a ^ flips
+    keys = other = np.arange(200, dtype=np.uint64)
+    free = np.full(200, ~np.uint64(0))
+    while np.bitwise_count(free).max() > 12:
+        n = np.bitwise_count(free).max()
+        k, f, left4 = simhash.finer_keys(keys, free, left)
+        o, _, right4 = simhash.finer_keys(other, free, right)
+        shared = (k == o).reshape(simhash.BANDS, 200)
+        assert shared.any(0).all()
+        pick = shared.argmax(0) * 200 + np.arange(200)
+        keys, other, free, left, right = k[pick], o[pick], f[pick], left4[pick], right4[pick]
+        assert np.bitwise_count(free).max() <= n - n // 4
+
 @pytest.mark.parametrize("shape", ["chain", "star", "none"])
 def test_components(spark, shape):
     links = {"chain": [(i, i + 1) for i in range(70)], "star": [(500, i) for i in range(100, 160)], "none": []}[shape]
