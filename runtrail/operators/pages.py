@@ -9,9 +9,15 @@ from runtrail.functions.html import has_pre, last_pre
 from runtrail.functions.text import cjk_text, cjk_texts, has_cjk
 
 
+def _reply(table: DataFrame) -> tuple:
+    """The column of replies, and whether it is parsed: landed as a variant, not JSON text."""
+    parsed = "reply" in table.columns
+    return F.col("reply" if parsed else "body"), parsed
+
+
 def app_log_address(app_info: DataFrame) -> DataFrame:
     return app_info.select(
-        "run_id", replies.container_log_address(F.col("body")).alias("log_address")
+        "run_id", replies.container_log_address(*_reply(app_info)).alias("log_address")
     )
 
 
@@ -47,7 +53,7 @@ def history_address(
     Replies shrink to their number of attempts before they are shuffled.
     """
     good = (F.col("status_code") == fixed.HTTP_OK) & _within(max_attempts)
-    count = F.struct("attempt", replies.attempt_count(F.col("body")).alias("attempts"))
+    count = F.struct("attempt", replies.attempt_count(*_reply(history)).alias("attempts"))
     counted = history.groupBy("run_id").agg(F.min(F.when(good, count)).alias("first")).select(
         "run_id", "first.attempts"
     )
@@ -61,7 +67,7 @@ def history_address(
 def driver_log_links(executors: DataFrame) -> DataFrame:
     """stdout and stderr addresses of each run's driver, NULL where the reply has none."""
     good = F.col("status_code") == fixed.HTTP_OK
-    logs = F.when(good, replies.driver_logs(F.col("body")))
+    logs = F.when(good, replies.driver_logs(*_reply(executors)))
     return executors.select("run_id", logs.alias("logs")).select(
         "run_id", F.col("logs.stdout").alias("stdout"), F.col("logs.stderr").alias("stderr")
     )

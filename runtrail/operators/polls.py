@@ -47,25 +47,39 @@ def fold_polls(polls: DataFrame) -> DataFrame:
     return states_of_parts(poll_parts(polls))
 
 
+def _counts(states: DataFrame) -> tuple:
+    """Whether a poll's status line is malformed, its state final, and its call failed."""
+    malformed = F.coalesce("malformed", F.lit(False))
+    final = F.col("state").isin(*fixed.FINAL_STATES) | malformed
+    return malformed, final, F.coalesce(F.col("returncode") != 0, F.lit(False))
+
+
+def counted_polls(states: DataFrame, tolerated: int = fixed.TOLERATED_MISSES) -> DataFrame:
+    """The polls of each run that can decide how its tracking ends, numbered in ``counted``.
+
+    A poll counts if its state is final, its status line is malformed or its call failed. Of those
+    only the earliest, one more than tolerated, are needed, and Spark cuts each run to that many
+    inside every task before the shuffle. They come first in the window's order, so a run without
+    any still keeps a row. Applied to parts of the polls, the union of what is left gives the same.
+    """
+    _, final, missed = _counts(states)
+    in_order = Window.partitionBy("run_id").orderBy(~(final | missed), "poll_no")
+    return (
+        states.withColumn("counted", F.row_number().over(in_order))
+        .where(F.col("counted") <= tolerated + 1)
+    )
+
+
 def follow_polls(states: DataFrame, tolerated: int = fixed.TOLERATED_MISSES) -> DataFrame:
     """All polled runs, with the poll at which their tracking stops, if it does.
 
-    A poll counts if its state is final, its status line is malformed or its call failed.
     Tracking stops at the first final state, at the first malformed line, or at the failed
-    call after the ``tolerated`` ones, which wins even over a final state. So of those that
-    count only the earliest, one more than tolerated, are needed, and Spark cuts each run to
-    that many inside every task before the shuffle. They come first in the window's order, so
-    a run without any still keeps a row: one pass finds all runs and their stops.
+    call after the ``tolerated`` ones, which wins even over a final state. One pass over the polls
+    that count finds all runs and their stops.
     """
     last_miss = tolerated + 1
-    malformed = F.coalesce("malformed", F.lit(False))
-    final = F.col("state").isin(*fixed.FINAL_STATES) | malformed
-    missed = F.coalesce(F.col("returncode") != 0, F.lit(False))
-    in_order = Window.partitionBy("run_id").orderBy(~(final | missed), "poll_no")
-    counted = (
-        states.withColumn("counted", F.row_number().over(in_order))
-        .where(F.col("counted") <= last_miss)
-    )
+    counted = counted_polls(states, tolerated)
+    malformed, final, missed = _counts(counted)
     misses = F.col("counted") - F.when(missed, 0).otherwise(1)
     gives_up = missed & ~malformed & (misses >= last_miss)
     state = F.when(malformed, fixed.MALFORMED_STATE).otherwise(F.col("state"))

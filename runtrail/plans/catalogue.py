@@ -6,6 +6,7 @@ from runtrail.functions import text
 from runtrail.operators import connections as conn
 from runtrail.operators import fold, outcome, pages, polls
 from runtrail.plans import runs as plans
+from runtrail.plans.by_run import RunTables
 from runtrail.sources import tables
 from runtrail.sources.derived import derived_stream, derived_table
 from runtrail.streaming import parts, timed
@@ -183,6 +184,20 @@ def classify_runs_of_month(spark, sf_dir):
     return classified.select("run_id", "conn_id", "outcome", "reason")
 
 
+def classify_runs_by_run(spark, sf_dir):
+    """The outcomes out of facts landed by run in two increments, and the second one's logs again."""
+    folder = new_folder(spark, "by-run")
+    landed = RunTables(spark, "r" + folder.rsplit("-", 1)[-1], folder, buckets=8)
+    runs, log, polls, connections = _tables("runs", "submit_log", "status_polls", "connections")(spark, sf_dir)
+    for part in (0, 1, 1):
+        landed.append(submit_log=log.where(F.col("line_no") % 2 == part),
+                      status_polls=polls.where(F.col("poll_no") % 2 == part))
+    landed.append(runs)
+    return landed.outcomes(connections).select(
+        "run_id", "conn_id", "master", *fold.ID_COLUMNS, "tracked_state", "outcome", "reason"
+    )
+
+
 def log_fetch_plan(spark, sf_dir):
     ready = pages.page_attempts(derived_table(spark, sf_dir, "log_pages"))
     outcomes = _outcomes(spark, sf_dir).join(ready.hint("merge"), "run_id", "left")
@@ -215,6 +230,25 @@ def driver_log_links(spark, sf_dir):
     return pages.driver_log_links(derived_table(spark, sf_dir, "executors"))
 
 
+def _landed_replies(spark, sf_dir, name):
+    path = f"{new_folder(spark, name)}/variants"
+    tables.land_replies(derived_table(spark, sf_dir, name), path)
+    return tables.read_replies(spark, name, path)
+
+
+def app_log_address_landed(spark, sf_dir):
+    return pages.app_log_address(_landed_replies(spark, sf_dir, "app_info"))
+
+
+def history_address_landed(spark, sf_dir):
+    history = _landed_replies(spark, sf_dir, "history")
+    return pages.history_address(_routed(spark, sf_dir), history, HISTORY_BASE)
+
+
+def driver_log_links_landed(spark, sf_dir):
+    return pages.driver_log_links(_landed_replies(spark, sf_dir, "executors"))
+
+
 def first_log_text(spark, sf_dir):
     return pages.first_log_text(derived_table(spark, sf_dir, "log_pages"))
 
@@ -386,13 +420,13 @@ QUERIES = {
     for f in (
         classify_runs, fold_submit_log, strip_lines, extract_line_ids, strict_application_ids,
         route_lines, fold_routed_log, id_notices, resolve_connections,
-        resolve_connections_via_operator, resolve_connections_as_of, classify_runs_of_month, deployment_flags, executable_path, env_overlay,
+        resolve_connections_via_operator, resolve_connections_as_of, classify_runs_of_month, classify_runs_by_run, deployment_flags, executable_path, env_overlay,
         mask_command, tokenize_command, error_text, poll_address, fold_polls, track_polls,
         log_fetch_plan, cleanup_actions, app_log_address, first_history_reply, history_address,
         driver_log_links, first_log_text, cjk_lines, cjk_lines_of_bytes, cjk_lines_of_chunks, run_report, stream_fold,
         stream_fold_stateful, stream_fold_compacted, stream_track, stream_track_compacted,
         stream_fold_evicting, stream_track_timed, stream_line_ids, sink_run_facts, read_pod_log_bytes,
-        read_submit_log_text,
+        read_submit_log_text, app_log_address_landed, history_address_landed, driver_log_links_landed,
     )
 } | {
     "read_submit_log": _landed("submit_log", "parquet"),

@@ -355,6 +355,11 @@ SELECTS = {
                  "pod_log")
 }
 
+SELECTS |= {
+    "classify_runs_by_run": SELECTS["classify_runs"],
+    **{f"{name}_landed": SELECTS[name] for name in ("app_log_address", "history_address", "driver_log_links")},
+}
+
 
 def _with(names):
     """The blocks and derived tables a query needs, each after those it is built from."""

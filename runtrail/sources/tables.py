@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StructField, StructType, VariantType
 
 from runtrail import schemas
 from runtrail.sources.workdir import new_folder
@@ -111,6 +111,31 @@ def write_facts(facts: DataFrame, path: str, date: str = "run_date", mode="appen
     facts.hint("rebalance", date).write.mode(mode).partitionBy(date).parquet(path)
 
 
+def append_by_run(facts: DataFrame, table: str, path: str, buckets: int, key: str = "run_id") -> None:
+    """Append facts to a table bucketed and sorted by run, one file per bucket.
+
+    Tables with the same number of buckets meet on the key without an exchange. Facts hold few rows
+    per run, so that no bucket is much larger than the others.
+    """
+    writer = facts.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    writer.mode("append").format("parquet").option("path", path).saveAsTable(table)
+
+
+def land_replies(replies: DataFrame, path: str, body: str = "body", mode="append") -> None:
+    """Write service replies with their JSON text parsed once, as a variant column ``reply``.
+
+    Text that is no JSON is written as NULL.
+    """
+    parsed = replies.withColumn("reply", F.try_parse_json(body)).drop(body)
+    parsed.write.mode(mode).parquet(path)
+
+
+def read_replies(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Replies that ``land_replies`` has written, of the kind of an input table."""
+    kept = [f for f in schemas.TABLES[name].fields if f.name != "body"]
+    return spark.read.schema(StructType([*kept, StructField("reply", VariantType())])).parquet(path)
+
+
 def stream_facts(
     facts: DataFrame, path: str, checkpoint: str, date: str | None = None, trigger=None
 ) -> StreamingQuery:
