@@ -473,6 +473,61 @@ def test_mixed_documents(docs, empty):
     assert mixing.mix_documents(empty).count() == 0
 
 
+def votes_of_known_voters(n=6000):
+    """Classes, an annotator who is wrong on a tenth, and six voters of known rates."""
+    draw = np.random.default_rng(11)
+    toxic = draw.random(n) < 0.3
+    rates = np.array([[0.02, 0.05, 0.10, 0.01, 0.20, 0.05], [0.60, 0.50, 0.40, 0.30, 0.55, 0.70]])
+    votes = (draw.random((n, 6)) < rates[toxic.astype(int)]).astype(float)
+    labels = (toxic ^ (draw.random(n) < 0.1)).astype(int)
+    return toxic, rates, votes, labels
+
+
+def test_label_model_finds_the_voters_rates():
+    toxic, rates, votes, labels = votes_of_known_voters()
+    p, model = toxicity.label_model(votes, labels)
+    assert np.abs(model.alone - rates).max() < 0.04
+    assert np.abs(model.annotator - [0.1, 0.9]).max() < 0.03
+    assert abs(model.prior[1] - 0.3) < 0.03
+    assert ((p > 0.5) == toxic).mean() > max(0.95, (labels == toxic).mean())
+    assert (model.parent == -1).all()
+
+
+def test_label_model_counts_voters_that_repeat_each_other_once():
+    toxic, _, votes, labels = votes_of_known_voters()
+    plain, _ = toxicity.label_model(votes, labels)
+    repeated, model = toxicity.label_model(np.c_[votes, votes[:, [4] * 5]], labels)
+    assert np.abs(plain - repeated).mean() < 0.01
+    copies = [4, 6, 7, 8, 9, 10]
+    assert sorted(model.parent[copies] >= 0) == [False] + [True] * 5
+    assert set(model.parent[copies]) <= {-1, *copies}
+    # Without the forest the copies outvote the rest.
+    model.parent[:] = -1
+    model.fires = np.stack([model.alone, model.alone], 1)
+    assert np.abs(plain - model.posterior(np.c_[votes, votes[:, [4] * 5]], labels)).mean() > 0.02
+
+
+def test_label_model_learns_how_voters_depend():
+    toxic, _, votes, labels = votes_of_known_voters()
+    draw = np.random.default_rng(5)
+    # Fires on 0.9 of the rows where the first voter does, on 0.1 of the others.
+    follower = draw.random(len(votes)) < np.where(votes[:, 0] == 1, 0.9, 0.1)
+    _, model = toxicity.label_model(np.c_[votes, follower], labels)
+    child, other = (6, 0) if model.parent[6] >= 0 else (0, 6)
+    assert model.parent[child] == other
+    if child == 6:
+        assert np.abs(model.fires[1, :, 6] - [0.1, 0.9]).max() < 0.04
+
+
+def test_label_model_of_odd_votes():
+    """No voter at all, one that always fires, one that never does; rows that repeat."""
+    labels = np.array([1, 0, 0, 0] * 20)
+    p, _ = toxicity.label_model(np.zeros((80, 0)), labels)
+    assert p.shape == (80,) and np.isfinite(p).all()
+    p, _ = toxicity.label_model(np.c_[np.ones(80), np.zeros(80), labels, labels], labels)
+    assert ((p > 0.5) == (labels == 1)).all()
+
+
 def test_toxicity(spark, docs, empty):
     insult = ["you idiot", "what a moron", "loserling talk"]
     train = [(i, f"plain words number {i} about the weather and the garden" + (" " + insult[i % 3] if i % 4 == 0 else "")) for i in range(240)]
@@ -486,6 +541,8 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score_toxicity(empty, model).count() == 0
     none = toxicity.learn_toxicity(frame, spark.createDataFrame([], "doc_id long, toxic int"))
     assert {r.score < 0.01 for r in toxicity.score_toxicity(tests, none).collect()} == {True}
+    ones = toxicity.learn_toxicity(frame, spark.createDataFrame([(i, 1) for i, _ in labels], "doc_id long, toxic int"))
+    assert {r.score > 0.99 for r in toxicity.score_toxicity(tests, ones).collect()} == {True}
 
 
 def test_lines(docs, empty):
