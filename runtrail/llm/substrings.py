@@ -9,10 +9,13 @@ repeated is removed, as maximal intervals of words.
 
 A window that a third of all documents hold is sent once by each shard. Texts move once, to their
 shard; the three passes read the same shuffle. Shards and buckets have a fixed size, so their
-number grows with the data, not their memory.
+number grows with the data, not their memory; nor do the bytes of a task, as their number grows too.
 
-Defined results: a null text has no words. Windows are judged on the input. A row that repeats
-another repeats its windows. Documents with fewer words than a window lose nothing.
+Defined results: a null or empty text has no words. Windows are judged on the input, so copies of a
+window all go, none stays as the first. A row that repeats another repeats its windows; rows that
+are equal in id and text are spread by the tasks that read them. Documents with fewer words than a
+window lose nothing. A long text is one document of its shard, and hashed whole. An empty table gives
+an empty table. Carried columns stay apart in ``rest``, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from runtrail.llm.common import narrow
 SHARD_BYTES = 8 << 20
 #: Bytes of text hashed at once.
 CHUNK = 1 << 20
+#: Bytes of text whose shards, or the buckets of whose windows, a task takes one after another.
+TASK_BYTES = 64 << 20
 #: Windows of a bucket, on average.
 BUCKET_WINDOWS = 4 << 20
 BLANK = np.zeros(256, bool)
@@ -153,7 +158,7 @@ def packed_rows(shard: int, buckets: np.ndarray, values: np.ndarray, width: int)
     })
 
 
-def repeated_across(rows: DataFrame, width: int) -> DataFrame:
+def repeated_across(rows: DataFrame, width: int, n_tasks: int) -> DataFrame:
     """To each shard, from each bucket, its values that another shard holds too."""
 
     def count(table: pa.Table) -> pa.Table:
@@ -171,7 +176,7 @@ def repeated_across(rows: DataFrame, width: int) -> DataFrame:
             "packed": pa.array([pack(shared[i], width) for i in keep], pa.binary()),
         })
 
-    return rows.groupBy("bucket").applyInArrow(count, PACKED)
+    return rows.repartition(n_tasks, "bucket").groupBy("bucket").applyInArrow(count, PACKED)
 
 
 def answered(reply: pa.Table, buckets: np.ndarray, values: np.ndarray, width: int) -> np.ndarray:
@@ -203,9 +208,12 @@ def find_repeats(
     size = docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
     n_shards = max(1, math.ceil(size / shard_bytes))
     bucket_bits = max(0, math.ceil(math.log2(max(1, size / 6 / BUCKET_WINDOWS))))
+    # As many tasks as the session's shuffles have, if there are that many shards, and more for large tables.
+    usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_tasks = max(min(n_shards, usual), math.ceil(size / TASK_BYTES))
     dealt = narrow(docs, id_col, text_col, carry).withColumn(
-        "shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_shards))
-    )
+        "shard", F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(n_shards))
+    ).repartition(n_tasks, "shard")
     find, verify = 0, 1
     rest = (1 << 40) - 1
 
@@ -264,12 +272,13 @@ def find_repeats(
         return pa.table({c: columns[c] for c in names})
 
     def with_reply(reply: DataFrame, function, schema):
-        return dealt.groupBy("shard").cogroup(reply.groupBy("from_shard")).applyInArrow(function, schema)
+        own = reply.repartition(n_tasks, "from_shard").groupBy("from_shard")
+        return dealt.groupBy("shard").cogroup(own).applyInArrow(function, schema)
 
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
     schema = T.StructType([f for f in dealt.schema.fields if f.name != "shard"])
     schema = schema.add("n_words", "long").add("n_removed", "long").add("spans", T.ArrayType(span))
     names = schema.names
-    suspects = repeated_across(dealt.groupBy("shard").applyInArrow(send, PACKED), 5)
-    proven = repeated_across(with_reply(suspects, send_again, PACKED), 8)
+    suspects = repeated_across(dealt.groupBy("shard").applyInArrow(send, PACKED), 5, n_tasks)
+    proven = repeated_across(with_reply(suspects, send_again, PACKED), 8, n_tasks)
     return with_reply(proven, remove, schema)

@@ -64,6 +64,29 @@ def test_substrings(docs, empty, width, monkeypatch):
     assert substrings.find_repeats(empty).count() == 0
 
 
+def test_substring_tasks_follow_the_bytes_of_the_table(spark, docs, monkeypatch):
+    monkeypatch.setattr(substrings, "TASK_BYTES", 20000)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    found = substrings.find_repeats(docs, width=5, shard_bytes=5000)
+    assert found.rdd.getNumPartitions() == -(-size // 20000) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    mine = [(r.doc_id, r.n_words, r.n_removed, " ".join(brute.BLANK_WORD.findall(r.text or ""))) for r in found.collect()]
+    assert ordered(mine) == ordered(brute.substrings(ROWS, 5))
+    # Texts are shuffled once; replies meet them without a further exchange.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    assert plan.count("ReusedExchange") == 2
+
+
+def test_rows_equal_in_id_and_text_are_spread(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    hot = spark.createDataFrame([(None, text)] * 400 + [(1, "only " + text), (2, "alone")], "doc_id long, text string")
+    found = substrings.find_repeats(hot.repartition(8), shard_bytes=2000).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in found) == [(0, 40, 40)] * 400 + [(1, 41, 40), (2, 1, 0)]
+    # Without copies in other rows, the two of one shard still find each other.
+    twice = spark.createDataFrame([(None, text)] * 2, "doc_id long, text string").repartition(2)
+    assert [r.n_removed for r in substrings.find_repeats(twice).collect()] == [40, 40]
+
+
 def test_packing_is_lossless():
     rng = np.random.default_rng(1)
     for width, high in ((5, 1 << 40), (8, (1 << 64) - 1)):
