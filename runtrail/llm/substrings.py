@@ -39,7 +39,7 @@ TASK_BYTES = 64 << 20
 BUCKET_WINDOWS = 4 << 20
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
-PACKED = "bucket long, from_shard long, n long, packed binary"
+PACKED = "bucket int, from_shard int, n long, packed binary"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -151,8 +151,8 @@ def packed_rows(shard: int, buckets: np.ndarray, values: np.ndarray, width: int)
     heads = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]][:len(buckets)])
     tails = np.r_[heads[1:], len(buckets)]
     return pa.table({
-        "bucket": pa.array(buckets[heads].astype(np.int64)),
-        "from_shard": pa.array(np.full(len(heads), shard, np.int64)),
+        "bucket": pa.array(buckets[heads].astype(np.int32)),
+        "from_shard": pa.array(np.full(len(heads), shard, np.int32)),
         "n": pa.array((tails - heads).astype(np.int64)),
         "packed": pa.array([pack(values[a:b], width) for a, b in zip(heads, tails)], pa.binary()),
     })
@@ -170,13 +170,13 @@ def repeated_across(rows: DataFrame, width: int, n_tasks: int) -> DataFrame:
         shared = [np.intersect1d(own, twice, assume_unique=True) for own in lists]
         keep = [i for i, own in enumerate(shared) if len(own)]
         return pa.table({
-            "bucket": table["bucket"].take(pa.array(keep, pa.int64())),
-            "from_shard": table["from_shard"].take(pa.array(keep, pa.int64())),
+            "bucket": table["bucket"].take(pa.array(keep, pa.int32())),
+            "from_shard": table["from_shard"].take(pa.array(keep, pa.int32())),
             "n": pa.array([len(shared[i]) for i in keep], pa.int64()),
             "packed": pa.array([pack(shared[i], width) for i in keep], pa.binary()),
         })
 
-    return rows.repartition(n_tasks, "bucket").groupBy("bucket").applyInArrow(count, PACKED)
+    return rows.repartitionById(n_tasks, "bucket").groupBy("bucket").applyInArrow(count, PACKED)
 
 
 def answered(reply: pa.Table, buckets: np.ndarray, values: np.ndarray, width: int) -> np.ndarray:
@@ -212,8 +212,8 @@ def find_repeats(
     usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_tasks = max(min(n_shards, usual), math.ceil(size / TASK_BYTES))
     dealt = narrow(docs, id_col, text_col, carry).withColumn(
-        "shard", F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(n_shards))
-    ).repartition(n_tasks, "shard")
+        "shard", F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(n_shards)).cast("int")
+    ).repartitionById(n_tasks, "shard")  # in turn, so that every task has as many shards
     find, verify = 0, 1
     rest = (1 << 40) - 1
 
@@ -237,7 +237,7 @@ def find_repeats(
 
     def send_again(table: pa.Table, reply: pa.Table) -> pa.Table:
         if not len(table):
-            return pa.table({"bucket": pa.array([], pa.int64()), "from_shard": pa.array([], pa.int64()),
+            return pa.table({"bucket": pa.array([], pa.int32()), "from_shard": pa.array([], pa.int32()),
                              "n": pa.array([], pa.int64()), "packed": pa.array([], pa.binary())})
         (first, second), _, _ = shard_windows(texts_of(table), width, [RollingHash(find), RollingHash(verify)])
         flag = answered(reply, *placed(first), 5)
@@ -272,7 +272,7 @@ def find_repeats(
         return pa.table({c: columns[c] for c in names})
 
     def with_reply(reply: DataFrame, function, schema):
-        own = reply.repartition(n_tasks, "from_shard").groupBy("from_shard")
+        own = reply.repartitionById(n_tasks, "from_shard").groupBy("from_shard")
         return dealt.groupBy("shard").cogroup(own).applyInArrow(function, schema)
 
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
