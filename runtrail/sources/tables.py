@@ -57,28 +57,44 @@ def read_pod_log_bytes(spark: SparkSession, path: str, fmt="parquet") -> DataFra
 BROADCAST_SPLITS = 1 << 18
 
 
-def read_submit_log_text(spark: SparkSession, path: str) -> DataFrame:
+def _places(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Lines of text with the split that each was read from, and a ``row`` that grows within it."""
+    return lines.select(
+        "run_id", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), F.col(line).alias("line"),
+    )
+
+
+def _shifts(splits: DataFrame, first, purpose: str) -> DataFrame:
+    """What to add to a line's number in its split: the lines in the run's earlier splits, less ``first``."""
+    earlier = Window.partitionBy("run_id").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - first
+    spark = splits.sparkSession
+    counted = f"{new_folder(spark, purpose)}/splits"
+    splits.select("run_id", "file", "block", shift.alias("shift")).write.parquet(counted)
+    return spark.read.schema("run_id bigint, file string, block bigint, shift bigint").parquet(counted)
+
+
+def read_submit_log_text(spark: SparkSession, path: str, shared: bool = False) -> DataFrame:
     """Plain log files under ``run_id=<id>`` folders, split at \\n, \\r\\n and \\r, with their lines
-    numbered from 1 within each run.
+    numbered from 1 within each run; ``shared`` files hold many runs, as ``write_shared_text`` writes them.
 
     Text has no line numbers. Spark reads a file in splits, each by one task from top to bottom, so
     a line's number is its place in its split after all lines of the run's earlier splits, by file
     name and offset. A first pass counts the lines of each split, which needs no text; running sums of
     these few numbers then meet the lines by a broadcast, and no text is shuffled. Beyond
     ``BROADCAST_SPLITS`` splits the numbers meet the lines by a shuffle join.
+
+    In shared files the lines of a run may lie among those of others: they meet by run and split to
+    be numbered, and only the runs in more than one split have earlier lines to add. A run with most
+    lines is spread by its splits.
     """
-    kind = "value string, run_id bigint"
+    if shared:
+        return _read_shared_text(spark, path)
+    lines = _places(spark.read.schema("value string, run_id bigint").text(path))
     places = ["run_id", "file", "block"]
-    lines = spark.read.schema(kind).text(path).select(
-        "run_id", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"), F.col("value").alias("line"),
-    )
     splits = lines.groupBy(*places).agg(F.count("*").alias("n"), F.min("row").alias("first"))
-    earlier = Window.partitionBy("run_id").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first") + 1
-    counted = f"{new_folder(spark, 'line-counts')}/splits"
-    splits.select(*places, shift.alias("shift")).write.parquet(counted)
-    shifts = spark.read.schema("run_id bigint, file string, block bigint, shift bigint").parquet(counted)
+    shifts = _shifts(splits, F.col("first") - 1, "line-counts")
     if shifts.count() <= BROADCAST_SPLITS:
         shifts = F.broadcast(shifts)
     same = [lines[c].eqNullSafe(shifts[c]) for c in places]
@@ -87,6 +103,38 @@ def read_submit_log_text(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _read_shared_text(spark: SparkSession, path: str) -> DataFrame:
+    run, line = F.substring_index("value", "\t", 1), F.col("value").substr(F.instr("value", "\t") + 1, F.length("value"))
+    lines = _places(spark.read.text(path).select(F.nullif(run, F.lit("")).cast("bigint").alias("run_id"), line.alias("line"), "_metadata"), "line")
+    places = ["run_id", "file", "block"]
+    splits = lines.groupBy(*places).agg(F.count("*").alias("n"))
+    several = splits.withColumn("splits", F.count("*").over(Window.partitionBy("run_id"))).where("splits > 1")
+    shifts = _shifts(several, F.lit(0), "line-counts")
+    in_split = F.row_number().over(Window.partitionBy(*places).orderBy("row"))
+    numbered = lines.withColumn("at", in_split)
+    if shifts.count() <= BROADCAST_SPLITS:
+        shifts = F.broadcast(shifts)
+    same = [numbered[c].eqNullSafe(shifts[c]) for c in places]
+    return numbered.join(shifts, same, "left").select(
+        numbered["run_id"], (numbered["at"] + F.coalesce(shifts["shift"], F.lit(0))).alias("line_no"), numbered["line"]
+    )
+
+
+def write_shared_text(log: DataFrame, path: str) -> None:
+    """Write log lines as text files of many runs, each line after its run's id and a tab.
+
+    A file per run costs more to open than to read when there are many runs. Ranges of run and line
+    number make the files, so that a run with most lines is spread; a line that holds line ends is
+    written as several, a null one as an empty one, a null run as no id.
+    """
+    ordered = log.repartitionByRange("run_id", "line_no").sortWithinPartitions("run_id", "line_no")
+    pieces = F.explode(F.split(F.coalesce("line", F.lit("")), "\r\n|\n|\r"))
+    tagged = ordered.select("run_id", pieces.alias("line")).select(
+        F.concat(F.coalesce(F.col("run_id").cast("string"), F.lit("")), F.lit("\t"), "line").alias("value")
+    )
+    tagged.write.text(path)
+
+
 #: The tables that a run's outcome needs, each with a row's run: landed by the month the run started.
 BY_RUN = ("runs", "submit_log", "status_polls")
 

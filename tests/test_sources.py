@@ -64,6 +64,24 @@ def test_text_logs_keep_their_line_order(spark, tmp_path):
     assert (ids[3].application_id, ids[3].announced_application_id) == ("application_3", "application_1")
 
 
+def test_shared_text_logs_number_each_runs_lines(spark, tmp_path):
+    """Many runs in few files; a long run spans splits, null runs and lines and line ends are kept."""
+    rows = [(1, n, f"line {n}") for n in range(3000)] + [(run, n, f"{run}\t{n}") for run in range(2, 300) for n in (1, 2)]
+    rows += [(None, 1, "lost"), (400, 1, None), (400, 2, "a\r\nb\rc\n"), (400, 3, "")]
+    log = spark.createDataFrame(rows, schemas.SUBMIT_LOG)
+    tables.write_shared_text(log, f"{tmp_path}/text")
+    assert len(list((tmp_path / "text").glob("part-*"))) < 10
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        read = tables.read_submit_log_text(spark, f"{tmp_path}/text", shared=True)
+        found = sorted(map(tuple, read.collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    expected = [(1, n + 1, f"line {n}") for n in range(3000)] + [(run, n, f"{run}\t{n}") for run in range(2, 300) for n in (1, 2)]
+    expected += [(None, 1, "lost")] + [(400, n, t) for n, t in enumerate(["", "a", "b", "c", "", ""], 1)]
+    assert found == sorted(expected, key=str)
+
+
 def test_facts_are_partitioned_by_date(spark, tmp_path):
     facts = spark.range(100).select(
         F.col("id").alias("run_id"), F.date_add(F.lit("2024-01-01"), (F.col("id") % 3).cast("int")).alias("run_date")
