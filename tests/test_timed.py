@@ -139,3 +139,31 @@ def test_a_long_run_keeps_few_polls():
     timed.merge_lines(held, ((n, 2, 1, n, None, False) for n in range(0, 5000, 7)))
     kept = timed.kept_polls(held, 4990, 10)
     assert len(kept) == 11 + 9 and timed.follow(kept, 10) == timed.follow(held, 10)
+
+
+def test_runs_share_groups_and_keep_their_own_timers(spark, tmp_path):
+    """Far fewer groups than runs; a null run and ids beyond a double's digits are told apart."""
+    large = (1 << 60) + 1
+    ids = [*range(1, 300), large, large + 1, None]
+    batches = [
+        [poll(run, 1, 1, 0, said("RUNNING")) for run in ids],
+        [poll(run, 2, 1, 20, said("FAILED")) for run in ids if run is None or run % 2],
+        [poll(-1, 1, 1, 100, said("RUNNING"))],   # the watermark passes the even runs' timers only
+        [poll(-2, 1, 1, 115, said("RUNNING"))],
+    ]
+    counts, before = [], 0
+    for batch in batches:
+        found, progress = tracked(spark, [batch], tmp_path)
+        counts.append(len(found) - before)
+        before = len(found)
+    failed = {(run, "FAILED", "FAILED", 2, 0, False, False) for run in ids if run is None or run % 2}
+    assert found == failed | {(run, "STILL_RUNNING", None, None, None, False, True) for run in ids if run and not run % 2}
+    assert counts == [0, 0, 150, 152]
+
+
+def test_a_group_serves_many_runs(spark, tmp_path):
+    land(spark, [poll(run, 1, 1, 0, said("RUNNING")) for run in range(500)], schemas.TIMED_POLLS, f"{tmp_path}/in")
+    stream = stream_table(spark, "timed_polls", f"{tmp_path}/in")
+    query = timed._append_batches(timed.timed_tracking(stream, groups=8), f"{tmp_path}/out", f"{tmp_path}/state", None)
+    query.awaitTermination()
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 8
