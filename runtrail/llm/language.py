@@ -33,12 +33,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runtrail.llm.common import narrow
+from runtrail.llm.common import narrow, written
 
 #: Characters parsed side by side.
 BATCH = 8 << 20
 #: With fewer texts than this left, the rest of each is parsed by itself.
 FEW = 32
+#: States of an automaton put into the table at a time.
+STATES = 4096
 #: Marks a letter that is spelled out, ahead of spelling.
 OTHER, SPACE = 0, 1
 DIGITS, BASE_BITS = 4, 5
@@ -163,21 +165,26 @@ class CrossParser:
         if size * np.dtype(kind).itemsize > table_bytes:
             raise ValueError(f"{len(self.languages)} languages need a table of over {table_bytes} bytes; learn fewer symbols")
         self.table = np.zeros(size, kind)
-        for automaton, base in automata:
-            own = self._table(automaton, base)
-            self.table[base:base + len(own)] = own
-
-    def _table(self, automaton: SuffixAutomaton, base: int) -> np.ndarray:
-        n, width = len(automaton.next), self.width
-        moves = np.full((n, width), -1, np.int64)
-        for state, arcs in enumerate(automaton.next):
-            for symbol, to in arcs.items():
-                moves[state, symbol] = to
-        root = moves[0]
+        while automata:
+            self._fill(*automata.pop())
+
+    def _fill(self, automaton: SuffixAutomaton, base: int) -> None:
+        """The automaton's part of the table, some states at a time: the driver's memory is small."""
+        width = self.width
+        root = np.full(width, -1, np.int64)
+        root[list(automaton.next[0])] = list(automaton.next[0].values())
         again = np.where(root >= 0, (root * width + base) * 4 + 1, base * 4 + 2)
-        entries = np.where(moves >= 0, (moves * width + base) * 4, again)
-        entries[0] = np.where(root >= 0, (root * width + base) * 4, base * 4 + 1)
-        return entries.ravel()
+        for first in range(0, len(automaton.next), STATES):
+            states = automaton.next[first:first + STATES]
+            moves = np.full((len(states), width), -1, np.int64)
+            for state, arcs in enumerate(states):
+                for symbol, to in arcs.items():
+                    moves[state, symbol] = to
+            entries = np.where(moves >= 0, (moves * width + base) * 4, again)
+            if first == 0:
+                entries[0] = np.where(root >= 0, (root * width + base) * 4, base * 4 + 1)
+            at = base + first * width
+            self.table[at:at + entries.size] = entries.ravel()
 
     def pieces(self, symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Pieces that each language (row) needs for each text (column)."""
@@ -258,26 +265,63 @@ def _in_order() -> Window:
     return Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
 
 
+#: Values that the driver takes to find one by rank.
+FEW_VALUES = 10_000
+
+
+def exact_percentile(values: DataFrame, column: str, share: float) -> float:
+    """What ``percentile`` gives, without holding the values in one task.
+
+    Counts by bin narrow the range that holds the rank until few values, or one, are left.
+    """
+    n, low, high = values.agg(F.count(column), F.min(column), F.max(column)).first()
+
+    def at_rank(rank: int) -> float:
+        least, most, inside, before = low, high, n, 0
+        own = values.where(F.col(column).isNotNull())
+        while least < most and inside > FEW_VALUES:
+            own = values.where(F.col(column).between(least, most))
+            place = F.floor((F.col(column) - least) / (most - least) * 1024).alias("bin")
+            bins = own.groupBy(place).agg(F.count("*").alias("n"), F.min(column).alias("least"), F.max(column).alias("most"))
+            for found in bins.orderBy("bin").collect():
+                if rank < before + found.n:
+                    break
+                before += found.n
+            least, most, inside = found.least, found.most, found.n
+        if least == most:
+            return least
+        left = values.where(F.col(column).between(least, most)).select(column).collect()
+        return sorted(row[0] for row in left)[rank - before]
+
+    position = (n - 1) * share
+    down, up = math.floor(position), math.ceil(position)
+    if down == up or (one := at_rank(down)) == (two := at_rank(up)):
+        return at_rank(down) if down == up else one
+    return (up - position) * one + (position - down) * two
+
+
 def rejection_limit(
     labelled: DataFrame, parser: CrossParser, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    docs_per_language: int = 48, rows: int = 500, least_letters: int = 40, least_rows: int = 50, margin: float = 1.5,
+    docs_per_language: int = 48, least_letters: int = 40, least_rows: int = 50, margin: float = 1.5,
 ) -> float | None:
     """Pieces per symbol beyond which a text of ``least_letters`` and more is in none of the languages.
 
-    Calibrated on a bounded sample: of each language the ``rows`` labelled documents that follow those
-    it was learned from. The limit is ``margin`` times what 999 of 1,000 of them stay under; None, for no
-    limit, with fewer than ``least_rows`` of them.
+    Calibrated on all labelled documents but those that the languages were learned from. The limit is
+    ``margin`` times what 999 of 1,000 of them stay under; None, for no limit, with fewer than
+    ``least_rows`` of them.
     """
     known = labelled.select(
         labelled[id_col].alias("doc_id"), labelled[text_col].alias("text"), labelled[lang_col].alias("lang")
     ).where("lang IS NOT NULL AND text IS NOT NULL")
-    ids = known.select("lang", "doc_id").withColumn("place", F.row_number().over(_in_order())).where(
-        F.col("place").between(docs_per_language + 1, docs_per_language + rows)
+    learned = known.select("lang", "doc_id").withColumn("place", F.row_number().over(_in_order())).where(
+        F.col("place") <= docs_per_language
     )
-    sample = known.join(F.broadcast(ids.select("lang", "doc_id").distinct()), ["lang", "doc_id"], "left_semi")
-    parsed = predict_languages(sample, parser).where(F.col("letters") >= least_letters)
-    n, high = parsed.agg(F.count("*"), F.expr("percentile(pieces_per_symbol, 0.999D)")).first()
-    return None if n < least_rows else margin * high
+    rest = known.join(F.broadcast(learned.select("lang", "doc_id").distinct()), ["lang", "doc_id"], "left_anti")
+    parsed = predict_languages(rest, parser).where(F.col("letters") >= least_letters)
+    rates = written(parsed.select("pieces_per_symbol"), "language-rates")
+    if rates.count() < least_rows:
+        return None
+    return margin * exact_percentile(rates, "pieces_per_symbol", 0.999)
 
 
 def predict_languages(

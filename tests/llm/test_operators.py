@@ -600,3 +600,24 @@ def test_texts_of_many_lines_take_time_in_proportion(spark):
 def test_lines_are_hashed_once(docs):
     plan = dedup_lines(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "explode" not in plan
+
+
+@pytest.mark.parametrize("values", [[0.5], [0.25, 0.5], [0.125] * 500, [n * n / 7 for n in range(900)], [0.0] * 800 + [1e9, 2e9]])
+def test_percentiles_are_exact(spark, monkeypatch, values):
+    monkeypatch.setattr(language, "FEW_VALUES", 5)
+    table = spark.createDataFrame([(v,) for v in values], "v double")
+    for share in (0.0, 0.5, 0.999, 1.0):
+        assert language.exact_percentile(table, "v", share) == pytest.approx(table.selectExpr(f"percentile(v, {share}D)").first()[0], rel=1e-12)
+
+
+def test_the_rejection_limit_heeds_all_labelled_texts(spark):
+    """Odd texts far behind the first in the order of the ids' hashes raise the limit too."""
+    prose = "the quick brown fox jumps over the lazy dog and runs away from the hounds again "
+    odd = "zq xj kv wq pz vx qk jx zv kq xw vz qj kx zw jq vk xz qw kj zx vq "
+    rows = [(n, prose, "en") for n in range(1200)]
+    place = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    last = {r.doc_id for r in place.orderBy(F.xxhash64("doc_id").desc()).limit(60).collect()}
+    docs = spark.createDataFrame([(n, odd if n in last else prose, "en") for n in range(1200)], "doc_id long, text string, lang string")
+    parser = language.learn_languages(docs)
+    plain = language.rejection_limit(place, parser)
+    assert language.rejection_limit(docs, parser) > 1.5 * plain
