@@ -19,6 +19,14 @@ from runtrail.sources.tables import append_by_run
 
 FACTS = ("runs", "log_facts", "poll_facts")
 
+#: Runs that a bucket holds. A bucket is one task's work: its facts meet there without an exchange.
+RUNS_PER_BUCKET = 100_000
+
+
+def buckets_for(runs: int, least: int = 8) -> int:
+    """Buckets for tables of so many runs, so that no task grows with the tables."""
+    return max(least, -(-runs // RUNS_PER_BUCKET))
+
 
 @dataclass(frozen=True)
 class RunTables:
