@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 from runtrail import schemas
 from runtrail.operators import pages
 
@@ -67,3 +68,17 @@ def test_cjk_lines(spark):
     assert {tuple(r) for r in found.collect()} == {
         (1, 0, "完成 1", False), (1, 1, "错", False), (2, None, None, True),
     }
+
+
+def test_history_is_folded_by_hash_without_sorting(spark):
+    """The first good try and its count go into one integer; missing counts and odd tries are kept apart."""
+    rows = [
+        (1, 2, 200, '{"attempts":[{},{}]}'), (1, 3, 200, '{"attempts":[{}]}'), (2, 1, 503, ""), (3, 1, 200, "none"),
+        (4, -5, 200, '{"attempts":[{}]}'), (4, 1, 200, '{"attempts":[{},{}]}'), (5, None, 200, '{"attempts":[{}]}'), (6, 99, 200, "{}"),
+    ]
+    history = spark.createDataFrame(rows, schemas.HISTORY)
+    ids = spark.createDataFrame([(n, f"application_{n}") for n in range(1, 7)], "run_id bigint, application_id string")
+    packed = pages.history_address(ids, history, "http://h")
+    wide = pages.history_address(ids, history.withColumn("attempt", F.col("attempt").cast("bigint")), "http://h")
+    assert packed.schema == wide.schema and sorted(packed.collect()) == sorted(wide.collect())
+    assert "SortAggregate" not in packed._jdf.queryExecution().executedPlan().toString()
