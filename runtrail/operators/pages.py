@@ -155,39 +155,80 @@ def _cut_chunks(chunks: DataFrame) -> DataFrame:
     )
 
 
+#: Chunks that lie together, as a power of two: a task takes whole slices of so many chunks of a log.
+SLICE_BITS = 8
+
+
+def _lines_of_cuts(cut: DataFrame) -> DataFrame:
+    """Each piece with the chunk that its ``line`` starts in, -1 for the log's first line: a chunk's ``head``
+    ends an earlier line; its ``tail`` starts one, and comes with the ``texts`` of the lines before it.
+    """
+    place = F.shiftright("chunk_no", SLICE_BITS).alias("slice")
+    cut = cut.select("*", place)
+    last = F.max(F.when(F.col("ended"), F.col("chunk_no")))
+    slices = cut.groupBy("run_id", "slice").agg(last.alias("last"))
+    earlier = Window.partitionBy("run_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    inherited = slices.select("run_id", "slice", F.max("last").over(earlier).alias("inherited")).where("inherited IS NOT NULL")
+    in_slice = Window.partitionBy("run_id", "slice").orderBy("chunk_no")
+    placed = cut.select(
+        "*", last.over(in_slice.rangeBetween(Window.unboundedPreceding, -1)).alias("opened"),
+        F.count("*").over(in_slice.rangeBetween(0, 0)).alias("copies"),
+    ).join(inherited.hint("merge"), ["run_id", "slice"], "left")
+    opened = F.coalesce("opened", "inherited", F.lit(-1))
+    # A chunk number that comes again follows the first, so its head ends the line that the first one starts.
+    again = F.array_repeat(F.when(F.col("ended"), F.col("chunk_no")).otherwise(F.col("start")), F.col("copies").cast("int") - 1)
+    starts = F.when(F.col("copies") > 1, F.concat(F.array("start"), again)).otherwise(F.array("start"))
+    none = F.array().cast("array<string>")
+    heads = F.transform(starts, lambda start: F.struct(
+        start.alias("line"), F.col("head").alias("piece"), none.alias("texts")))
+    tail = F.struct(F.col("chunk_no").alias("line"), F.col("tail").alias("piece"), F.col("texts"))
+    nothing = F.filter(heads, lambda _: F.lit(False))
+    known = F.col("run_id").isNotNull() & F.col("chunk_no").isNotNull() & (F.col("head") != "")
+    pieces = F.concat(F.when(known, heads).otherwise(nothing), F.when(F.col("ended"), F.array(tail)).otherwise(nothing))
+    return placed.withColumn("start", opened).select("run_id", "chunk_no", F.inline_outer(pieces)).where("piece IS NOT NULL")
+
+
 def cjk_lines_of_chunks(chunks: DataFrame) -> DataFrame:
     """The same as ``cjk_lines_of_bytes`` for pod logs cut into chunks anywhere, inside characters too.
 
-    Each chunk is read by itself; only the pieces of the lines that a cut went through meet, keyed by
-    the chunk that a line starts in, and are put together in order. What comes before a chunk is
-    known from numbers alone: the last chunk with a line end, and how many texts there were. So a log
-    of any length spreads over all tasks by its chunks; a task holds a chunk, or a line. A null
-    chunk is empty; ``chunk_no`` is unique within its run.
+    Each chunk is read by itself; the pieces of the lines that a cut went through meet, keyed by the
+    chunk that a line starts in, and are put together in order. Chunks and lines move once each, by
+    slices of a log; what comes before a slice is known from numbers alone: the last chunk with a line
+    end, and how many texts there were. So a log of any length spreads over all tasks by its slices, a
+    row holds a chunk, or a line with the texts before it. A null chunk is empty; ``chunk_no`` is unique
+    within its run.
     """
-    cut = _cut_chunks(chunks)
-    earlier = Window.partitionBy("run_id").orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, -1)
-    starts_in = F.coalesce(F.max(F.when(F.col("ended"), F.col("chunk_no"))).over(earlier), F.lit(-1))
-    openers = cut.select("run_id", "chunk_no", "ended").select("run_id", "chunk_no", starts_in.alias("line"))
-    heads = cut.select("run_id", "chunk_no", F.col("head").alias("piece")).join(openers, ["run_id", "chunk_no"])
-    tails = cut.where("ended").select("run_id", "chunk_no", F.col("tail").alias("piece"), F.col("chunk_no").alias("line"))
-    pieces = heads.unionByName(tails).where("piece <> ''")
-    whole = F.array_sort(F.collect_list(F.struct("chunk_no", "piece")))
-    joined = F.array_join(F.transform(whole, lambda p: p["piece"]), "")
-    lines = pieces.groupBy("run_id", F.col("line").alias("chunk_no")).agg(joined.alias("latin"))
+    pieces = _lines_of_cuts(_cut_chunks(chunks)).withColumn("slice", F.shiftright("line", SLICE_BITS))
+    cuts = F.array_sort(F.collect_list(F.when(F.col("piece") != "", F.struct("chunk_no", "piece"))))
+    joined = F.array_join(F.transform(cuts, lambda p: p["piece"]), "")
     # The line that starts in a chunk comes after the lines that lie in it.
-    of_lines = lines.select("run_id", "chunk_no", F.lit(1).alias("part"), cjk_texts(F.encode("latin", "ISO-8859-1")).alias("texts"))
-    of_chunks = cut.select("run_id", "chunk_no", F.lit(0).alias("part"), "texts")
-    found = of_chunks.unionByName(of_lines).where("texts IS NULL OR size(texts) > 0")
-    order = Window.partitionBy("run_id").orderBy("chunk_no", "part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = found.select("run_id", "chunk_no", "part", F.size("texts").alias("n"), F.col("texts").isNull().alias("invalid"))
-    broken = counts.groupBy("run_id").agg(F.max("invalid").alias("invalid_utf8"))
-    before = counts.select("run_id", "chunk_no", "part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
-    numbered = found.join(before, ["run_id", "chunk_no", "part"]).join(broken.where("NOT invalid_utf8"), "run_id").select(
-        "run_id", F.posexplode("texts").alias("at", "cjk_text"), "before", "invalid_utf8"
+    lines = pieces.repartition("run_id", "slice").groupBy("run_id", "slice", "line").agg(
+        F.collect_list(F.when(F.size("texts") > 0, F.col("texts"))).alias("of_chunk"), joined.alias("latin"),
+        F.max(F.col("texts").isNull()).alias("broken"),
+    ).select("run_id", "slice", "line", "broken", "of_chunk", cjk_texts(F.encode("latin", "ISO-8859-1")).alias("of_line"))
+    found = lines.withColumn("inner", F.flatten("of_chunk")).withColumns({
+        "n": F.size("inner") + F.coalesce(F.size("of_line"), F.lit(0)), "invalid": F.col("broken") | F.col("of_line").isNull(),
+    })
+    of_run = Window.partitionBy("run_id")
+    by_slice, by_line = of_run.orderBy("slice"), Window.partitionBy("run_id", "slice").orderBy("line")
+    so_far = (Window.unboundedPreceding, -1)
+    slices = found.groupBy("run_id", "slice").agg(F.sum("n").alias("n"), F.max("invalid").alias("invalid")).select(
+        "run_id", "slice", F.coalesce(F.sum("n").over(by_slice.rowsBetween(*so_far)), F.lit(0)).alias("before_slice"),
+        F.max("invalid").over(of_run).alias("invalid_utf8"), (F.row_number().over(by_slice) == 1).alias("first_slice"),
     )
-    nothing = broken.where("invalid_utf8").selectExpr(
-        "run_id", "CAST(NULL AS INT) AS text_no", "CAST(NULL AS STRING) AS cjk_text", "invalid_utf8"
+    placed = found.select(
+        "run_id", "slice", "of_chunk", "inner", "of_line", (F.row_number().over(by_line) == 1).alias("first_line"),
+        F.coalesce(F.sum("n").over(by_line.rowsBetween(*so_far)), F.lit(0)).alias("before"),
     )
-    return numbered.select(
-        "run_id", (F.col("before") + F.col("at")).cast("int").alias("text_no"), "cjk_text", "invalid_utf8"
-    ).unionByName(nothing)
+    texts = F.transform(F.concat("inner", "of_line"), lambda text, at: F.struct(at.alias("at"), text.alias("cjk_text")))
+    copies = F.size("of_chunk")
+    again = F.flatten(F.array_repeat(F.slice(texts, F.lit(1), F.size("inner")), copies - 1))
+    nothing = F.lit(None).cast("array<struct<at:int,cjk_text:string>>")
+    # A full join keeps what has no run or no number, and leaves both sides' exchange the same, so that it runs once.
+    texts_of_run = F.when(F.col("invalid_utf8"), nothing).otherwise(F.when(copies > 1, F.concat(texts, again)).otherwise(texts))
+    marked = F.col("invalid_utf8") & F.col("first_slice") & F.coalesce("first_line", F.lit(True))
+    rows = placed.join(slices.hint("merge"), ["run_id", "slice"], "full").select(
+        "run_id", "before_slice", "before", "invalid_utf8", marked.alias("marked"), F.inline_outer(texts_of_run)
+    ).where("marked OR NOT invalid_utf8 AND cjk_text IS NOT NULL")
+    number = (F.col("before_slice") + F.col("before") + F.col("at")).cast("int")
+    return rows.select("run_id", number.alias("text_no"), "cjk_text", "invalid_utf8")

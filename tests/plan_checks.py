@@ -22,5 +22,12 @@ def rows_written_to_shuffle(frame):
     return total
 
 
+def finished_plan(frame):
+    """The text of a plan as it ran, where exchanges that were run once for several uses say so."""
+    plan = frame._jdf.queryExecution().executedPlan()
+    frame._jdf.queryExecution().toRdd().count()
+    return plan.toString().partition("== Initial Plan ==")[0]
+
+
 def plan_text(frame):
     return frame._jdf.queryExecution().executedPlan().toString()

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from plan_checks import plan_text
+from plan_checks import finished_plan, plan_text
 from runtrail import schemas
 from runtrail.operators import pages
 from runtrail.sources import tables
@@ -51,6 +51,30 @@ def test_only_the_lines_at_cuts_meet(spark):
     assert "Python" not in text and "SinglePartition" not in text
 
 
+def test_chunks_meet_in_few_exchanges(spark):
+    """Chunks, lines and the numbers of slices move once each, however often they are used."""
+    chunks = [(run, n, b"abc 1" if n % 3 else "完成\n".encode()) for run in range(200) for n in range(12)]
+    frame = spark.createDataFrame(chunks, schemas.POD_LOG_CHUNKS).repartition(4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = pages.cjk_lines_of_chunks(frame)
+        text = finished_plan(found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found.count() == 800
+    assert text.count("ShuffleQueryStage") <= 8
+
+
+def test_a_log_of_many_slices(spark):
+    rng = random.Random(5)
+    log = "".join(rng.choice(["完成 x\n", "plain\n", "长" * 900, "\n", "尾 y"]) for _ in range(60)).encode()
+    chunks = [(run, n, part) for run in (1, 2) for n, part in enumerate(cut(log + b"\xe9" * (run - 1), lambda: 7))]
+    assert len(chunks) > 4 << pages.SLICE_BITS
+    whole = spark.createDataFrame([(1, log), (2, log + b"\xe9")], schemas.POD_LOG_BYTES)
+    frame = spark.createDataFrame(chunks, schemas.POD_LOG_CHUNKS).repartition(3)
+    assert rows(pages.cjk_lines_of_chunks(frame)) == rows(pages.cjk_lines_of_bytes(whole))
+
+
 def test_lines_of_text_files_are_numbered_without_shuffling_text(spark, tmp_path):
     expected = {}
     for run in (1, 2, 3):
