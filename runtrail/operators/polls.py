@@ -102,8 +102,9 @@ def follow_polls(states: DataFrame, tolerated: int = fixed.TOLERATED_MISSES) ->
 
 
 def stop_polls(states: DataFrame, tolerated: int = fixed.TOLERATED_MISSES) -> DataFrame:
-    """The same for the runs whose tracking has stopped."""
-    return follow_polls(states, tolerated).where(F.col("stop_poll").isNotNull())
+    """The same for the runs whose tracking has stopped: only the polls that count are shuffled by run."""
+    _, final, missed = _counts(states)
+    return follow_polls(states.where(final | missed), tolerated).where(F.col("stop_poll").isNotNull())
 
 
 def with_running(runs: DataFrame, stops: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+from plan_checks import rows_written_to_shuffle
 from runtrail import schemas
 from runtrail.fixed_values import FINAL_STATES
 from runtrail.operators import polls
@@ -116,3 +117,15 @@ def test_runs_that_were_never_polled_are_running(spark):
     runs = spark.createDataFrame([(1,), (2,)], "run_id bigint")
     tracked = polls.track_polls(frame, runs).orderBy("run_id").collect()
     assert [r.tracked_state for r in tracked] == ["ERROR", "STILL_RUNNING"]
+
+
+def test_stops_shuffle_by_run_only_the_polls_that_count(spark):
+    running, done = [state_line("RUNNING")], [state_line("FINISHED")]
+    runs = {run: [(0, running)] * 9 + [(0, done)] for run in range(50)} | {run: [(0, running)] * 10 for run in range(50, 100)}
+    rows = [row for run, replies in runs.items() for row in rows_of(run, replies)]
+    states = polls.fold_polls(spark.createDataFrame(rows, schemas.STATUS_POLLS).repartition(3))
+    stops = polls.stop_polls(states)
+    assert {(r.run_id, r.tracked_state, r.stop_poll) for r in stops.collect()} == {(n, "FINISHED", 10) for n in range(50)}
+    # Each of the 1,000 polls as it is dealt and as it is folded, and the 50 that count.
+    assert rows_written_to_shuffle(polls.stop_polls(states)) <= 1000 + 1000 + 50
+    assert rows_written_to_shuffle(polls.stop_polls(states)) + 900 < rows_written_to_shuffle(polls.follow_polls(states))
