@@ -23,17 +23,18 @@ def poll_parts(polls: DataFrame) -> DataFrame:
     )
 
 
-def merge_poll_parts(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("run_id", "poll_no").agg(
+def merge_poll_parts(parts: DataFrame, *by: str) -> DataFrame:
+    """Fold the picks of several parts into one row per poll; ``by`` names columns that follow from the poll."""
+    return parts.groupBy("run_id", *by, "poll_no").agg(
         F.max("last_state").alias("last_state"),
         F.max("returncode").alias("returncode"),
         F.max("malformed").alias("malformed"),
     )
 
 
-def states_of_parts(parts: DataFrame) -> DataFrame:
+def states_of_parts(parts: DataFrame, *by: str) -> DataFrame:
     return parts.select(
-        "run_id", "poll_no",
+        "run_id", *by, "poll_no",
         F.coalesce("last_state.state", F.lit(fixed.NO_STATE)).alias("state"),
         "returncode", "malformed",
     )
@@ -54,16 +55,17 @@ def _counts(states: DataFrame) -> tuple:
     return malformed, final, F.coalesce(F.col("returncode") != 0, F.lit(False))
 
 
-def counted_polls(states: DataFrame, tolerated: int = fixed.TOLERATED_MISSES) -> DataFrame:
+def counted_polls(states: DataFrame, tolerated: int = fixed.TOLERATED_MISSES, by: tuple = ()) -> DataFrame:
     """The polls of each run that can decide how its tracking ends, numbered in ``counted``.
 
     A poll counts if its state is final, its status line is malformed or its call failed. Of those
     only the earliest, one more than tolerated, are needed, and Spark cuts each run to that many
     inside every task before the shuffle. They come first in the window's order, so a run without
-    any still keeps a row. Applied to parts of the polls, the union of what is left gives the same.
+    any still keeps a row. Applied to parts of the polls, such as the slices that ``by``
+    names, the union of what is left gives the same.
     """
     _, final, missed = _counts(states)
-    in_order = Window.partitionBy("run_id").orderBy(~(final | missed), "poll_no")
+    in_order = Window.partitionBy("run_id", *by).orderBy(~(final | missed), "poll_no")
     return (
         states.withColumn("counted", F.row_number().over(in_order))
         .where(F.col("counted") <= tolerated + 1)

@@ -22,6 +22,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from runtrail import schemas
 from runtrail.operators.fold import fold_parts, ids_of_parts, merge_parts
 from runtrail.operators.polls import (
+    counted_polls,
     follow_polls,
     merge_poll_parts,
     poll_parts,
@@ -30,6 +31,36 @@ from runtrail.operators.polls import (
 
 BATCH = "stream_batch"
 
+#: Rows of polls that one task sorts.
+ROWS_PER_TASK = 1_000_000
+
+
+#: Polls of a run that lie together, as a power of two: the slices of a long run are dealt to many tasks.
+SLICE_BITS = 10
+
+
+def _more_tasks(rows: DataFrame) -> int | None:
+    """As many tasks as the rows need, where the session's number is too few.
+
+    A fold has as many tasks as the session says, however much comes in, so that what each sorts in
+    memory grows with the input.
+    """
+    tasks = -(-rows.count() // ROWS_PER_TASK)
+    return tasks if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def _by_poll(rows: DataFrame) -> DataFrame:
+    tasks = _more_tasks(rows)
+    return rows.repartition(tasks, "run_id", "poll_no") if tasks else rows
+
+
+def _poll_parts(polls: DataFrame) -> DataFrame:
+    return poll_parts(_by_poll(polls))
+
+
+def _merge_poll_parts(parts: DataFrame) -> DataFrame:
+    return merge_poll_parts(_by_poll(parts))
+
 
 def write_parts(
     stream: DataFrame, to_parts: Callable, path: str, checkpoint: str, trigger: dict
@@ -92,7 +123,7 @@ def compact_track(
     spark: SparkSession, path: str, upto: int, folder: str, last: tuple[str, int] | None = None
 ) -> tuple[str, int]:
     schema = _parts_schema(spark, poll_parts, schemas.STATUS_POLLS)
-    return _compact(spark, path, schema, merge_poll_parts, upto, folder, last)
+    return _compact(spark, path, schema, _merge_poll_parts, upto, folder, last)
 
 
 def stream_fold(
@@ -115,7 +146,7 @@ def stream_track(
     polls: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Fold status polls as they arrive; the lines of one poll may come in several batches."""
-    return write_parts(polls, poll_parts, path, checkpoint, trigger or {"availableNow": True})
+    return write_parts(polls, _poll_parts, path, checkpoint, trigger or {"availableNow": True})
 
 
 def read_track(
@@ -124,7 +155,14 @@ def read_track(
     """How the tracking of each polled run stands over all polls that have arrived."""
     schema = _parts_schema(spark, poll_parts, schemas.STATUS_POLLS)
     parts = read_parts(spark, path, schema, compacted)
-    return follow_polls(states_of_parts(merge_poll_parts(parts)))
+    tasks = _more_tasks(parts)
+    if tasks is None:
+        return follow_polls(states_of_parts(merge_poll_parts(parts)))
+    # Folded and cut by slices, so that few polls of a long run meet in the task that follows it.
+    dealt = parts.withColumn("slice", F.shiftright("poll_no", SLICE_BITS)).repartition(tasks, "run_id", "slice")
+    states = states_of_parts(merge_poll_parts(dealt, "slice"), "slice")
+    left = counted_polls(states, by=("slice",)).drop("slice", "counted")
+    return follow_polls(left.repartition(tasks, "run_id"))
 
 
 def stateful_fold(lines: DataFrame) -> DataFrame:

@@ -137,3 +137,17 @@ def test_a_compaction_goes_on_from_the_last_one(spark, log, tmp_path):
         assert rows(parts.read_fold(spark, f"{tmp_path}/folds", merged)) == rows(fold.fold_submit_log(log))
     with pytest.raises(Exception, match="already exists"):
         parts.compact_fold(spark, f"{tmp_path}/folds", 3, f"{tmp_path}/merged-1", last=later)
+
+
+def test_many_polls_are_dealt_to_more_tasks(spark, status_polls, tmp_path, monkeypatch):
+    """What a task sorts stays the same however many polls come in."""
+    monkeypatch.setattr(parts, "ROWS_PER_TASK", 100)
+    land(status_polls, f"{tmp_path}/in", 1)
+    stream = stream_table(spark, "status_polls", f"{tmp_path}/in")
+    parts.stream_track(stream, f"{tmp_path}/parts", f"{tmp_path}/state").awaitTermination()
+    tasks = -(-status_polls.count() // 100)
+    assert len(list((tmp_path / "parts").glob("stream_batch=0/part-*"))) > tasks / 2 > 4
+    tracked = parts.read_track(spark, f"{tmp_path}/parts")
+    polled = tracked._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [run_id" in polled
+    assert rows(tracked) == rows(polls.track_polls(status_polls))
