@@ -89,18 +89,24 @@ def page_attempts(pages: DataFrame, max_attempts: int | None = fixed.PAGE_ATTEMP
     return pages.groupBy("run_id").agg(F.min(ready).alias("page_attempt"))
 
 
-def first_log_text(
+def first_log_page(
     pages: DataFrame, max_attempts: int | None = fixed.PAGE_ATTEMPTS
 ) -> DataFrame:
-    """Last ``<pre>`` text of the first page within ``max_attempts`` tries that has one, NULL if
-    none has. None allows every try; ``beyond_limit`` counts the pages that were left out.
-
-    The page is chosen by its mark and only the chosen one is parsed.
+    """The first page within ``max_attempts`` tries with a log, by its mark and not parsed: ``attempt``
+    and ``html``, NULL if none has one. None allows every try; ``beyond_limit`` counts the pages that were
+    left out.
     """
     pick = F.when(_within(max_attempts) & has_pre(F.col("html")), F.struct("attempt", "html"))
     first = pages.groupBy("run_id").agg(F.min(pick).alias("first"), _beyond(max_attempts))
-    return first.select(
-        "run_id", "first.attempt", last_pre(F.col("first.html")).alias("log_text"), "beyond_limit"
+    return first.select("run_id", "first.attempt", "first.html", "beyond_limit")
+
+
+def first_log_text(
+    pages: DataFrame, max_attempts: int | None = fixed.PAGE_ATTEMPTS
+) -> DataFrame:
+    """Last ``<pre>`` text of the page of ``first_log_page``; only that one is parsed."""
+    return first_log_page(pages, max_attempts).select(
+        "run_id", "attempt", last_pre(F.col("html")).alias("log_text"), "beyond_limit"
     )
 
 

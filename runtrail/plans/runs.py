@@ -7,6 +7,7 @@ polls meet on one partitioning.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runtrail.functions.html import last_pre
 from runtrail.operators.connections import deployment_flags, executable_path, resolve_connections
 from runtrail.operators.fold import fold_routed_log
 from runtrail.operators.outcome import (
@@ -17,7 +18,7 @@ from runtrail.operators.outcome import (
     mask_commands,
     poll_addresses,
 )
-from runtrail.operators.pages import app_log_address, first_log_text, pod_texts
+from runtrail.operators.pages import app_log_address, first_log_page, pod_texts
 from runtrail.operators.polls import fold_polls, stop_polls
 
 
@@ -50,17 +51,18 @@ def run_report(
 ) -> DataFrame:
     """All facts of each run in one row."""
     outcomes = mask_commands(run_outcomes(runs, connections, submit_log, status_polls))
-    # The page that is read also says whether one was ready at all.
-    pages = first_log_text(log_pages).select("run_id", "log_text", F.col("attempt").alias("page_attempt"))
+    # The page that is read also says whether one was ready at all. It is parsed where its log is fetched.
+    pages = first_log_page(log_pages).select("run_id", "html", F.col("attempt").alias("page_attempt"))
     classified = error_texts(poll_addresses(executable_path(outcomes)))
     for facts in (app_log_address(app_info), pages, pod_texts(pod_log)):
         classified = classified.join(facts.hint("merge"), "run_id", "left")
     report = log_fetch_plan(classified, page_ready=F.col("page_attempt").isNotNull())
+    log_text = F.when(F.col("fetch_yarn"), last_pre(F.col("html"))).alias("log_text")
     return report.select(
         "run_id", "conn_id", "master", "deploy_mode", "queue", "namespace", "executable",
         "masked_command", "application_id", "driver_pod", "exit_code", "driver_id",
         "tracked_state", "misses", "outcome", "reason", "error_text", "poll_address",
-        *[F.when(F.col("fetch_yarn"), F.col(c)).alias(c) for c in ("log_address", "log_text")],
+        F.when(F.col("fetch_yarn"), F.col("log_address")).alias("log_address"), log_text,
         "fetch_pod",
         F.when(F.col("fetch_pod"), F.coalesce("pod_lines", F.lit(0))).alias("pod_lines"),
         *[F.when(F.col("fetch_pod"), F.col(c)).alias(c) for c in ("pod_first", "pod_last")],

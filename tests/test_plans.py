@@ -184,3 +184,11 @@ def test_same_result_for_any_partitioning_and_order(spark, landed):
     shuffled = {name: table.repartition(7).orderBy(F.rand(3)) for name, table in landed.items()}
     assert [str(r) for r in outcomes(landed)] == [str(r) for r in outcomes(shuffled)]
     assert schemas.TABLES.keys() == landed.keys()
+
+
+def test_the_report_parses_only_the_pages_whose_log_is_fetched(landed):
+    names = ("runs", "connections", "submit_log", "status_polls", "app_info", "log_pages", "pod_log")
+    report = plans.run_report(*[landed[name] for name in names])
+    lines = report._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    [line] = [line for line in lines if " AS log_text#" in line]
+    assert "fetch_yarn" in line.partition(" AS log_text#")[0].rpartition(" AS ")[2]
