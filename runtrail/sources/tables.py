@@ -151,6 +151,13 @@ def read_month(spark: SparkSession, name: str, path: str, month: str, fmt="parqu
     return rows.where(F.col("run_date") == F.lit(month).cast("date")).drop("run_date")
 
 
+def by_run_date(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """Rows of runs with the date of their run. The runs grow with the data, so they are never broadcast,
+    however small their file is.
+    """
+    return rows.join(starts.hint("merge"), "run_id")
+
+
 def write_facts(facts: DataFrame, path: str, date: str = "run_date", mode="append") -> None:
     """Write results partitioned by a date column of the input.
 

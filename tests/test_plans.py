@@ -10,7 +10,7 @@ from runtrail.operators import fold, pages, polls
 from runtrail.plans import runs as plans
 from runtrail.plans.catalogue import QUERIES
 from runtrail.sources.derived import derived_table
-from runtrail.sources.tables import read_table
+from runtrail.sources.tables import by_run_date, read_table
 
 
 @pytest.fixture(scope="module")
@@ -192,3 +192,10 @@ def test_the_report_parses_only_the_pages_whose_log_is_fetched(landed):
     lines = report._jdf.queryExecution().optimizedPlan().toString().splitlines()
     [line] = [line for line in lines if " AS log_text#" in line]
     assert "fetch_yarn" in line.partition(" AS log_text#")[0].rpartition(" AS ")[2]
+
+
+def test_rows_get_the_date_of_their_run_without_a_broadcast(landed):
+    starts = landed["runs"].selectExpr("run_id", "date'1998-03-01' AS run_date")
+    dated = by_run_date(landed["submit_log"], starts)
+    assert "Broadcast" not in plan_text(dated) and "SortMergeJoin" in plan_text(dated)
+    assert dated.count() == landed["submit_log"].count()
