@@ -167,3 +167,91 @@ def test_a_group_serves_many_runs(spark, tmp_path):
     query = timed._append_batches(timed.timed_tracking(stream, groups=8), f"{tmp_path}/out", f"{tmp_path}/state", None)
     query.awaitTermination()
     assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 8
+
+
+def test_the_lines_of_a_run_take_one_state_row(spark, tmp_path):
+    """However many lines a run has in a batch, few rows of state tell them again."""
+    lines = [poll(run, n, line_no, n, said("RUNNING")) for run in range(20) for n in range(1, 16) for line_no in (1, 2)]
+    found, progress = tracked(spark, [lines, lines[::2], lines], tmp_path)
+    assert not found and max(p["numRowsTotal"] for operators in progress for p in operators) <= 40
+
+
+def test_lines_that_come_again_among_others_change_nothing(spark, tmp_path):
+    first = [poll(1, n, 1, n, said("RUNNING")) for n in range(1, 4)] + [poll(2, 1, 1, 3, said("FAILED"))]
+    batches = [
+        first + [poll(9, 1, 1, 30)],
+        # Lines come again with a newer time, beside a new one; that of the second run alone.
+        [poll(1, 1, 1, 33, said("RUNNING")), poll(1, 4, 1, 20, said("RUNNING")), poll(2, 1, 1, 40, said("FAILED"))],
+        [poll(9, 2, 1, 111)],   # at 51 minutes the first run's timer has passed, had its lines not been told
+        [poll(2, 1, 1, 52, said("FAILED"))],  # the run is gone, its line still known
+        [poll(8, 1, 1, 130)],
+    ]
+    states, seen = [], []
+    for batch in batches:
+        found, _ = tracked(spark, [batch], tmp_path)
+        states.append(found)
+        seen.append(timed.read_reports(spark, f"{tmp_path}/out").count())
+    assert seen == [0, 0, 2, 2, 2]
+    assert states[2] == {(1, "STILL_RUNNING", None, None, None, False, True), (2, "FAILED", "FAILED", 1, 0, False, False)}
+
+
+def test_late_lines_among_newer_ones_are_left_out(spark, tmp_path):
+    batches = [
+        [poll(1, 1, 1, 500, said("RUNNING"))],
+        [poll(1, 2, 1, 501, said("RUNNING")), poll(1, 3, 1, 440, said("KILLED")), poll(2, 1, 1, 10, said("FAILED")),
+         poll(3, 1, 1, 10, said("FAILED")), poll(3, 2, 1, 502, said("RUNNING"))],
+        [poll(9, 1, 1, 3000)],
+    ]
+    found, _ = tracked(spark, batches, tmp_path)
+    assert found == {(run, "STILL_RUNNING", None, None, None, False, True) for run in (1, 3)}
+
+
+def plain_follow(held, tolerated):
+    misses = 0
+    for number in sorted(held):
+        _, state, code, malformed, _ = held[number]
+        state = "MALFORMED" if malformed else state or "UNKNOWN"
+        misses += bool(code)
+        gave_up = bool(code) and not malformed and misses > tolerated
+        if gave_up or malformed or state in timed.fixed.FINAL_STATES:
+            return ("POLL_GAVE_UP" if gave_up else state, state, number, misses, gave_up, False)
+    return ("STILL_RUNNING", None, None, None, False, True)
+
+
+def test_runs_folded_by_column_end_as_line_by_line():
+    draw = random.Random(5)
+    for _ in range(300):
+        bad = draw.choice([0.05, 0.6])
+        lines = [
+            (draw.randrange(1, 15), draw.randrange(1, 4), draw.choice([1, 28, timed.NO_CODE]) if draw.random() < bad else 0,
+             draw.randrange(100), draw.choice(["RUNNING"] * 12 + ["FAILED", "", "ZÄH"]), draw.random() < 0.02)
+            for _ in range(draw.randrange(1, 60))
+        ]
+        held, plain = {}, {}
+        for part in (lines[::2], lines[1::2]):
+            timed.merge_lines(held, iter(part))
+        for n, line, code, time, state, malformed in lines:
+            own = plain.setdefault(n, [None, None, None, False, time])
+            if state and (own[0] is None or (line, state) > (own[0], own[1])):
+                own[0], own[1] = line, state
+            if code != timed.NO_CODE:
+                own[2] = max(code, own[2] if own[2] is not None else code)
+            own[3], own[4] = own[3] or malformed, max(own[4], time)
+        assert held == plain
+        assert timed.follow(held, 3) == plain_follow(plain, 3)
+        counts = [n for n, p in sorted(plain.items()) if p[4] <= 50 and (p[2] or p[3] or (p[1] or "UNKNOWN") in timed.fixed.FINAL_STATES)]
+        assert set(timed.kept_polls(held, 50, 3)) == {n for n, p in plain.items() if p[4] > 50} | set(counts[:4])
+
+
+def test_a_long_run_comes_in_packs_of_bounded_length(monkeypatch):
+    monkeypatch.setattr(timed, "PACKED_LINES", 3000)
+    n = 8000
+    columns = {
+        "run_group": [5] * n, "run": [7] * n, "no_run": [False] * n, "poll_no": [*range(n)], "line_no": [1] * n,
+        "returncode": [0] * n, "us": [*range(n)], "state": ["RUNNING", ""] * (n // 2), "malformed": [False] * n,
+    }
+    batch = timed.pa.RecordBatch.from_pydict(columns)
+    packs = [p for b in timed.packed(batch.slice(k, 500) for k in range(0, n, 500)) for p in b.to_pylist()]
+    assert max(len(p["us"]) for p in packs) == timed.PACK_LENGTH
+    assert [x for p in packs for x in zip(p["poll_no"], p["us"], p["state"])] == [*zip(columns["poll_no"], columns["us"], columns["state"])]
+    assert all(p["polled_at"].microsecond == max(p["us"]) for p in packs)
